@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 CATEGORIES = ["month", "time_bin", "PULocationID", "DOLocationID", "day_of_week", "weather_pattern"]
 
 
+# Most training rows made from weighted cells.
+ROW_BUDGET = 50_000_000
+
+
 def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
 
@@ -69,18 +73,26 @@ def class_cells(outcomes: DataFrame, features: DataFrame, join_keys: list[str])
     )
 
 
-def repeat_by_weight(cells: DataFrame, chunk: int = 10_000) -> DataFrame:
+def repeat_by_weight(
+    cells: DataFrame, budget: int = ROW_BUDGET, chunk: int = 10_000
+) -> DataFrame:
     """Each cell as often as its weight, for estimators that know no weights.
 
-    Heavy cells are split into chunks that are spread over tasks before they are repeated.
+    Up to ``budget`` rows this is exact. Beyond it, pairs having grown with the square of the
+    trips, all weights are divided by one number and rounded; every cell keeps at least one
+    row. Heavy cells are split into chunks that are spread over tasks before they are repeated.
     """
-    weight = F.col("weight").cast("long")
-    parts = cells.withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.floor((weight - 1) / chunk)))
-    ).repartition("part", *[c for c in CATEGORIES if c in cells.columns])
-    rest = F.least(F.lit(chunk), weight - F.col("part") * chunk)
+    total = cells.agg(F.sum("weight")).first()[0] or 0.0
+    unit = max(1.0, total / budget)
+    copies = F.greatest(F.round(F.col("weight") / unit).cast("long"), F.lit(1))
+    parts = (
+        cells.withColumn("copies", copies)
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
+        .repartition("part", *[c for c in CATEGORIES if c in cells.columns])
+    )
+    rest = F.least(F.lit(chunk), F.col("copies") - F.col("part") * chunk)
     return parts.withColumn("copy", F.explode(F.sequence(F.lit(1), rest))).drop(
-        "part", "copy", "weight"
+        "part", "copy", "copies", "weight"
     )
 
 

@@ -85,7 +85,7 @@ def regression_metrics(scored: DataFrame, *by: str) -> DataFrame:
     """RMSE, R2 and naive RMSE over the trips or pairs that the cells stand for.
 
     The squares within a cell are added to the cell's own error, so the figures are those
-    of the single rows.
+    of the single rows. A single row has no spread: null.
     """
     w, y, p = F.col("weight"), F.col("label"), F.col("prediction")
     sums = scored.groupBy(*by).agg(
@@ -99,8 +99,8 @@ def regression_metrics(scored: DataFrame, *by: str) -> DataFrame:
         *by,
         F.col("n").alias("rows"),
         F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (1 - F.col("sse") / sst).alias("r2"),
-        F.sqrt(sst / (F.col("n") - 1)).alias("naive_rmse"),
+        (1 - F.try_divide(F.col("sse"), sst)).alias("r2"),
+        F.sqrt(F.try_divide(sst, F.col("n") - 1)).alias("naive_rmse"),
     )
 
 

@@ -73,7 +73,9 @@ def describe_counts(counts: DataFrame) -> DataFrame:
     base = counts.agg(
         size.alias("count"),
         (F.sum(v * n) / size).alias("mean"),
-        F.sqrt((F.sum(v * v * n) - F.pow(F.sum(v * n), 2) / size) / (size - 1)).alias("stddev"),
+        F.sqrt(
+            F.try_divide(F.sum(v * v * n) - F.pow(F.sum(v * n), 2) / size, size - 1)
+        ).alias("stddev"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
@@ -164,9 +166,9 @@ def with_components(rows: DataFrame, columns: list[str], k: int = 2, names=("pca
 def _term_columns(cells: DataFrame, numeric: list[str], categorical: list[str]):
     """Design columns: (term, column, level); the first level of a category is the base."""
     design = [(c, c, None) for c in numeric]
-    for c in categorical:
-        levels = [r[0] for r in cells.select(c).distinct().orderBy(c).collect()]
-        design += [(c, c, level) for level in levels[1:]]
+    if categorical:
+        levels = cells.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in categorical]).first()
+        design += [(c, c, level) for c in categorical for level in levels[c][1:]]
     return design
 
 

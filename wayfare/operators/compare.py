@@ -17,11 +17,14 @@ from wayfare.functions.calendar import HOUR_KEYS, with_calendar
 from wayfare.functions.codes import with_pair_codes
 from wayfare.operators import filters
 from wayfare.operators.enrich import with_weather
-from wayfare.operators.sides import bounded_side, materialise
+from wayfare.operators.sides import bounded_side, materialise, written_table
 
 PAIR_KEYS = [*HOUR_KEYS, "PULocationID", "DOLocationID", "day_of_week"]
 EXPANSION_CHUNK = 10_000
 
+# Rows of duration pairs of one key that a single task may produce before the key is split.
+KEY_PRODUCT = 1_000_000
+
 # Products of two counts, or of a count and a sum, exceed 64 bits at cluster scale.
 WIDE = "decimal(38,0)"
 
@@ -61,26 +64,51 @@ def _hour_traffic(counts: DataFrame) -> DataFrame:
     )
 
 
+def _join_durations(counts: DataFrame, key_product: int) -> DataFrame:
+    """Taxi durations with bike durations of the same key.
+
+    A key whose product of distinct durations is large is split: its taxi rows are dealt to
+    slots and its bike rows (at most ``max_seconds``) repeated per slot. Other keys stay whole.
+    """
+    taxis = counts.filter("n_taxis > 0").select(
+        *PAIR_KEYS, F.col("trip_duration").alias("trip_duration_taxis"), "n_taxis"
+    )
+    bikes = counts.filter("n_bikes > 0").select(
+        *PAIR_KEYS, F.col("trip_duration").alias("trip_duration_bikes"), "n_bikes"
+    )
+    product = F.count_if(F.col("n_taxis") > 0) * F.count_if(F.col("n_bikes") > 0)
+    busy = materialise(
+        counts.groupBy(*PAIR_KEYS)
+        .agg(F.ceil(product / key_product).cast("int").alias("slots"))
+        .filter("slots > 1")
+    )
+    if busy.isEmpty():
+        return taxis.join(bikes, PAIR_KEYS)
+    side = bounded_side(busy)
+    slots = F.coalesce(F.col("slots"), F.lit(1))
+    dealt = taxis.join(side, PAIR_KEYS, "left").withColumn(
+        "slot", F.pmod("trip_duration_taxis", slots).cast("int")
+    )
+    repeated = bikes.join(side, PAIR_KEYS, "left").withColumn(
+        "slot", F.explode(F.sequence(F.lit(0), slots - 1))
+    )
+    return dealt.drop("slots").join(repeated.drop("slots"), [*PAIR_KEYS, "slot"]).drop("slot")
+
+
 def merged_trips(
     taxis: DataFrame,
     bikes: DataFrame,
     weather: DataFrame,
     max_seconds: int = filters.MAX_SECONDS,
+    key_product: int = KEY_PRODUCT,
 ) -> DataFrame:
     """The merged table: one row per key and pair of durations, with its number of pairs.
 
     ``weather`` is a prepared join side. :func:`expand_pairs` gives one row per pair.
     """
-    counts = materialise(duration_counts(taxis, bikes, max_seconds))
-    usable = counts.filter(F.col("trip_duration").isNotNull())
-    taxi_side = usable.filter("n_taxis > 0").select(
-        *PAIR_KEYS, F.col("trip_duration").alias("trip_duration_taxis"), "n_taxis"
-    )
-    bike_side = usable.filter("n_bikes > 0").select(
-        *PAIR_KEYS, F.col("trip_duration").alias("trip_duration_bikes"), "n_bikes"
-    )
+    counts = written_table(duration_counts(taxis, bikes, max_seconds))
     pairs = (
-        taxi_side.join(bike_side, PAIR_KEYS)
+        _join_durations(counts.filter(F.col("trip_duration").isNotNull()), key_product)
         .withColumn("pairs", _wide("n_taxis") * _wide("n_bikes"))
         .drop("n_taxis", "n_bikes")
     )
@@ -217,7 +245,7 @@ def difference_spread(outcomes: DataFrame, *by: str) -> DataFrame:
     """Sample variance of the difference over pairs; its root is the naive RMSE."""
     n = F.col("pairs").cast("double")
     total, squares = F.col("s").cast("double"), F.col("q").cast("double")
-    spread = (squares - total * total / n) / (n - 1)
+    spread = F.try_divide(squares - total * total / n, n - 1)
     return (
         outcomes.groupBy(*by)
         .agg(

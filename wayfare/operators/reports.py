@@ -51,9 +51,9 @@ def merged_daily_pairs(sums: DataFrame, test_year: int) -> DataFrame:
 
 
 def scaled_by_peak(report: DataFrame, column: str) -> DataFrame:
-    """``scaled`` = value over the largest absolute value, by a scalar subquery."""
+    """``scaled`` = value over the largest absolute value, by a scalar subquery (null if that is 0)."""
     peak = report.select(F.max(F.abs(F.col(column)))).scalar()
-    return report.withColumn("scaled", F.col(column) / peak)
+    return report.withColumn("scaled", F.try_divide(F.col(column), peak))
 
 
 def with_origin_row(report: DataFrame, zone: int = ORIGIN_ZONE) -> DataFrame:

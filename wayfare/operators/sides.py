@@ -1,8 +1,9 @@
 """Join sides whose size is measured before Spark is told to broadcast them."""
 
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,25 +36,28 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _estimated_bytes(df: DataFrame) -> int:
-    row = reduce(
-        lambda total, f: total + _value_bytes(F.col(f"`{f.name}`"), f.dataType),
-        df.schema.fields,
-        F.lit(32),
-    )
-    return df.agg(F.coalesce(F.sum(row.cast("long")), F.lit(0))).first()[0]
+def written_table(df: DataFrame) -> DataFrame:
+    """Like :func:`materialise`, as Parquet: for results large enough to profit from columns."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def bounded_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     """A join side that is broadcast only if it was measured to fit.
 
-    The side is computed once into the shared folder, so measuring it does not repeat the
-    work behind it. Over the limit it is returned without a hint: Spark then shuffles both
-    inputs and AQE splits the hot keys, which is exact too because every caller joins
-    against unique keys.
+    The side is computed once into the shared folder and measured in that same job. Over the
+    limit it is returned without a hint: Spark then shuffles both inputs and AQE splits the
+    hot keys, which is exact too because every caller joins against unique keys.
     """
-    kept = materialise(df)
-    return F.broadcast(kept) if _estimated_bytes(kept) <= limit else kept
+    row = reduce(
+        lambda total, f: total + _value_bytes(F.col(f"`{f.name}`"), f.dataType),
+        df.schema.fields,
+        F.lit(32),
+    )
+    size = Observation()
+    kept = materialise(df.observe(size, F.sum(row.cast("long")).alias("bytes")))
+    return F.broadcast(kept) if (size.get["bytes"] or 0) <= limit else kept
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -151,7 +151,7 @@ def _crossings(ring: Column, x: Column, y: Column) -> Column:
 
     def crossed(a: Column, b: Column) -> Column:
         spans = (a["y"] > y) != (b["y"] > y)
-        at = a["x"] + (y - a["y"]) / (b["y"] - a["y"]) * (b["x"] - a["x"])
+        at = a["x"] + F.try_divide(y - a["y"], b["y"] - a["y"]) * (b["x"] - a["x"])
         return F.when(spans, x < at).otherwise(False)
 
     edges = F.size(closed) - 1
