@@ -10,7 +10,7 @@ from catalog.trips_part import _HOUR, _PAIRED, _mode_sql, _side, query, study_mo
 from wayfare.functions.calendar import HOUR_KEYS, with_calendar
 from wayfare.functions.codes import peak_code, season_code
 from wayfare.models import cells, features, fits, statistics
-from wayfare.operators import compare, filters, reports, splits, stations
+from wayfare.operators import columns, compare, filters, reports, splits, stations
 from wayfare.operators.sides import bounded_side, materialise
 from wayfare.sources.schemas import WEATHER_MEASURES
 
@@ -214,6 +214,42 @@ def sort_topk(spark, folder):
     return reports.first_rows(items, 60, *order, skip=60).drop("l_suppkey")
 
 
+@query(
+    "column_slice",
+    "SELECT ts AS moment, user_id AS who, event_type AS kind, 'Event' AS hue FROM events",
+)
+def column_slice(spark, folder):
+    """Columns by place, relabelled and tagged."""
+    sliced = columns.by_place(inputs.table(spark, folder, "events"), 1, -2)
+    return columns.tagged(columns.relabelled(sliced, ["moment", "who", "kind"]), "hue", "Event")
+
+
+@query(
+    "duration_variance",
+    with_trips(
+        """SELECT mode, year, count(*) AS rows, round(var_samp(trip_duration), 3) AS variance,
+  round(stddev_samp(trip_duration), 6) AS naive_rmse FROM kept GROUP BY mode, year""",
+        study=True,
+    ),
+)
+def duration_variance(spark, folder):
+    """Variance of single durations by mode and year; its root is the naive RMSE of a mean."""
+    parts = zip(("taxis", "bikes"), kept_modes(spark, folder, study=True))
+    tagged = [
+        columns.tagged(trips.select("year", "trip_duration"), "mode", mode) for mode, trips in parts
+    ]
+    return (
+        tagged[0]
+        .unionByName(tagged[1])
+        .groupBy("mode", "year")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.round(F.var_samp("trip_duration"), 3).alias("variance"),
+            F.round(F.stddev_samp("trip_duration"), 6).alias("naive_rmse"),
+        )
+    )
+
+
 # ---- stations ----
 
 
@@ -569,3 +605,106 @@ def glm_eval(spark, folder):
     encoded = materialise(encoder.transform(table))
     scored = fits.fit_log_linear(encoded.filter(_TRAIN)).transform(encoded)
     return fits.regression_metrics(scored.filter(F.col("split").isNotNull()), "split")
+
+
+# ---- evaluation of a fixed rule, which SQL can follow ----
+
+_RULED = f""", {_PAIRED}, ruled AS (
+  SELECT month, day_of_week, trip_difference AS d, CASE WHEN trip_difference > 0 THEN 1 ELSE 0 END AS label,
+    CASE WHEN (time_bin >= 8 AND time_bin < 11) OR (time_bin >= 16 AND time_bin < 19) THEN 1 ELSE 0 END AS peak,
+    CASE WHEN year = 2022 THEN 'test' WHEN year = 2021 AND month > 8 THEN 'validation' ELSE 'train' END AS split
+  FROM paired JOIN weather USING ({_HOUR})), """
+
+
+def _ruled_classes(spark, folder):
+    outcomes, weather = paired_outcomes(spark, folder)
+    table = cells.class_cells(outcomes, weather, HOUR_KEYS)
+    return table.withColumn("prediction", F.col("peak_hours").cast("double"))
+
+
+def _ruled_differences(spark, folder):
+    outcomes, weather = paired_outcomes(spark, folder)
+    table = cells.difference_cells(outcomes, weather, HOUR_KEYS)
+    return table.withColumn("prediction", F.col("peak_hours") * 100.0)
+
+
+_CONFUSION = """confusion AS (SELECT split, label, CAST(count(*) FILTER (peak = 0) AS DOUBLE) AS predicted_0,
+  CAST(count(*) FILTER (peak = 1) AS DOUBLE) AS predicted_1 FROM ruled GROUP BY ALL)"""
+
+
+@query("confusion_of_rule", with_trips(f"{_RULED} {_CONFUSION} SELECT * FROM confusion", study=True))
+def confusion_of_rule(spark, folder):
+    """Peak hour taken as the forecast that the taxi is slower: counts over all pairs."""
+    return fits.confusion(_ruled_classes(spark, folder), "split")
+
+
+@query(
+    "metrics_of_rule",
+    with_trips(
+        f"""{_RULED} {_CONFUSION}, n AS (SELECT split,
+    sum(CASE WHEN label = 0 THEN predicted_0 ELSE 0 END) AS tn, sum(CASE WHEN label = 0 THEN predicted_1 ELSE 0 END) AS fp,
+    sum(CASE WHEN label = 1 THEN predicted_0 ELSE 0 END) AS fn, sum(CASE WHEN label = 1 THEN predicted_1 ELSE 0 END) AS tp
+  FROM confusion GROUP BY 1)
+SELECT split, round((coalesce(tn / nullif(tn + fn, 0), 0) * (tn + fp) + coalesce(tp / nullif(tp + fp, 0), 0) * (fn + tp))
+    / (tn + fp + fn + tp), 9) AS weighted_precision,
+  round((tn + tp) / (tn + fp + fn + tp), 9) AS weighted_recall, round((tn + tp) / (tn + fp + fn + tp), 9) AS accuracy
+FROM n""",
+        study=True,
+    ),
+)
+def metrics_of_rule(spark, folder):
+    metrics = fits.class_metrics(confusion_of_rule(spark, folder), "split")
+    return metrics.select(
+        "split", *[F.round(c, 9).alias(c) for c in ("weighted_precision", "weighted_recall", "accuracy")]
+    )
+
+
+@query(
+    "regression_of_rule",
+    with_trips(
+        f"""{_RULED} m AS (SELECT split, avg(d) AS mean FROM ruled GROUP BY 1)
+SELECT split, CAST(count(*) AS DOUBLE) AS rows, round(sqrt(avg(pow(d - peak * 100, 2))), 6) AS rmse,
+  round(1 - sum(pow(d - peak * 100, 2)) / nullif(sum(pow(d - mean, 2)), 0), 6) AS r2, round(stddev_samp(d), 6) AS naive_rmse
+FROM ruled JOIN m USING (split) GROUP BY split""",
+        study=True,
+    ),
+)
+def regression_of_rule(spark, folder):
+    metrics = fits.regression_metrics(_ruled_differences(spark, folder), "split")
+    return metrics.select("split", "rows", *[F.round(c, 6).alias(c) for c in ("rmse", "r2", "naive_rmse")])
+
+
+@query(
+    "weekday_errors_of_rule",
+    with_trips(
+        f"""{_RULED} means AS (SELECT month, day_of_week, avg(peak * 100) AS p, avg(d) AS a FROM ruled
+  WHERE split = 'test' GROUP BY ALL), named AS (SELECT *, CASE day_of_week WHEN 2 THEN 'Monday' WHEN 3 THEN 'Tuesday'
+    WHEN 4 THEN 'Wednesday' WHEN 5 THEN 'Thursday' ELSE 'Friday' END AS days FROM means)
+SELECT month, days, 'Prediction' AS hue, round(abs(p), 6) AS avg FROM named
+UNION ALL SELECT month, days, 'Actual', round(abs(a), 6) FROM named""",
+        study=True,
+    ),
+)
+def weekday_errors_of_rule(spark, folder):
+    scored = _ruled_differences(spark, folder).filter("split = 'test'")
+    return fits.error_by_weekday(scored).withColumn("avg", F.round("avg", 6))
+
+
+@query(
+    "scale_weather",
+    with_trips(
+        f", {_PAIRED}, train AS (SELECT * FROM paired JOIN weather USING ({_HOUR}) WHERE year = 2020 OR (year = 2021 AND month <= 8)) "
+        + " UNION ALL ".join(
+            f"""SELECT '{m}' AS measure, round(stddev_samp("{m}"), 6) AS deviation FROM train""" for m in WEATHER_MEASURES
+        ),
+        study=True,
+    ),
+)
+def scale_weather(spark, folder):
+    """The deviations by which training divides the weather, over the training pairs."""
+    outcomes, weather = paired_outcomes(spark, folder)
+    table = materialise(cells.difference_cells(outcomes, weather, HOUR_KEYS)).filter(_TRAIN)
+    scales = cells.weighted_scales(table, WEATHER_MEASURES)
+    rows = [(name, deviation) for name, (_, deviation) in scales.items()]
+    fitted = spark.createDataFrame(rows, "measure string, deviation double")
+    return fitted.withColumn("deviation", F.round("deviation", 6))

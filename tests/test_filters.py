@@ -1,8 +1,8 @@
+import pytest
 from pyspark.sql import functions as F
 
-from wayfare.operators import filters, reports, sampling, splits
+from wayfare.operators import columns, filters, reports, sampling, splits
 from wayfare.operators.sides import bounded_side, require_unique
-import pytest
 
 
 def test_codes_drop_nulls_and_unknown(spark):
@@ -98,3 +98,11 @@ def test_first_rows_and_first_per_key(spark):
     df = spark.createDataFrame([(1, 3), (1, 2), (2, 9)], "k int, v int")
     assert [tuple(r) for r in reports.first_rows(df, 1, "v", skip=1).collect()] == [(1, 3)]
     assert sorted(tuple(r) for r in reports.first_per_key(df, ["k"], "v").collect()) == [(1, 2), (2, 9)]
+
+
+def test_columns_by_place(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], "a int, `b c` int, d int, e int")
+    assert columns.by_place(df, 1, 3).columns == ["b c", "d"]
+    assert columns.by_place(df, stop=-1).columns == ["a", "b c", "d"]
+    assert columns.relabelled(columns.by_place(df, 0, 2), ["x", "y"]).columns == ["x", "y"]
+    assert columns.tagged(df, "hue", "Actual").first()["hue"] == "Actual"

@@ -68,7 +68,7 @@ def test_monthly_overwrite_keeps_other_months(spark, tmp_path):
 def test_split_write_partitions_the_input(spark, tmp_path):
     path = str(tmp_path / "split")
     df = spark.createDataFrame([(2020, 1), (2021, 2), (2022, 3)], "year int, v int")
-    sinks.write_split(df, path)
+    assert sinks.write_split(df, path) == {"train": 2, "test": 1}
     found = {(r["split"], r["v"]) for r in sinks.read_table(spark, path).collect()}
     assert found == {("train", 1), ("train", 2), ("test", 3)}
 
@@ -139,12 +139,13 @@ def raw(spark, tmp_path):
 def test_whole_run(spark, raw, tmp_path):
     root, months = raw
     curated, out = str(tmp_path / "curated"), str(tmp_path / "out")
-    process.clean_all(spark, root, curated, months)
+    rows = process.clean_all(spark, root, curated, months)
+    assert rows == {"yellow": 2, "green": 2, "fhvhv": 2, "citi": 2}
     taxis, bikes = process.curated_trips(spark, curated)
     assert taxis.count() == 6 and bikes.count() == 2
     assert taxis.columns == schemas.TRIP_COLUMNS
 
-    process.process_all(spark, root, curated, out)
+    assert process.process_all(spark, root, curated, out) == {"merged": 2}
     merged = spark.read.parquet(f"{out}/merged").orderBy("month").collect()
     # Three equal taxi trips meet one bike trip in both months; weather exists in January only.
     assert [(r["month"], int(r["pairs"]), r["trip_difference"]) for r in merged] == [
@@ -155,7 +156,8 @@ def test_whole_run(spark, raw, tmp_path):
     assert [(r["count_taxis"], r["count_bikes"]) for r in merged] == [(3, 1), (3, 1)]
     assert compare.expand_pairs(spark.read.parquet(f"{out}/merged")).count() == 6
 
-    process.process_all(spark, root, curated, out, overall=True)
+    rows = process.process_all(spark, root, curated, out, overall=True)
+    assert rows == {"taxis": {"train": 6, "test": 0}, "bikes": {"train": 2, "test": 0}}
     modes = spark.read.parquet(f"{out}/taxis")
     assert modes.count() == 6 and {r["split"] for r in modes.collect()} == {"train"}
     assert "weather_pattern" in modes.columns and "pickup_datetime" not in modes.columns

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.calendar import minutes
 from wayfare.operators import filters
+from wayfare.operators.columns import tagged
 from wayfare.operators.compare import pair_means, pair_totals
 
 # The origin zone of the destination reports and the appended constant row.
@@ -23,10 +24,8 @@ def hourly_profile(trips: DataFrame, duration: str = "trip_duration") -> DataFra
 
 def hourly_profiles(taxis: DataFrame, bikes: DataFrame) -> DataFrame:
     """Both modes in long form; ``hue`` is 0 for bikes and 1 for taxis."""
-    return (
-        hourly_profile(bikes)
-        .withColumn("hue", F.lit(0))
-        .unionByName(hourly_profile(taxis).withColumn("hue", F.lit(1)))
+    return tagged(hourly_profile(bikes), "hue", 0).unionByName(
+        tagged(hourly_profile(taxis), "hue", 1)
     )
 
 

@@ -28,15 +28,17 @@ def mode_trips(trips: DataFrame, weather: DataFrame, max_seconds: int = filters.
     return with_weather(coded, weather.drop("Date")).drop("pickup_datetime", "dropoff_datetime")
 
 
-def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> None:
-    """Cleans every feed and writes it by month below ``curated``."""
+def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> dict[str, int]:
+    """Cleans every feed and writes it by month below ``curated``; returns the rows per feed."""
     months = months or feeds.expand_months()
     stations = feeds.read_feed(spark, raw, "b")
     zones = clean.bike_zones(stations)
     street = {"yellow": ("y", clean.clean_yellow), "green": ("g", clean.clean_green),
               "fhvhv": ("hv", clean.clean_for_hire)}
+    rows = {}
     for name, (code, step) in street.items():
-        sinks.write_months(step(feeds.read_months(spark, raw, code, months), zones), f"{curated}/{name}")
+        trips = step(feeds.read_months(spark, raw, code, months), zones)
+        rows[name] = sinks.write_months(trips, f"{curated}/{name}")
     layouts = {
         "old": [m for m in months if m < feeds.NEW_BIKES_FROM],
         "new": [m for m in months if m >= feeds.NEW_BIKES_FROM],
@@ -46,7 +48,8 @@ def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> None:
         for layout, part in layouts.items()
         if part
     ]
-    sinks.write_months(feeds.union_feeds(cleaned), f"{curated}/citi")
+    rows["citi"] = sinks.write_months(feeds.union_feeds(cleaned), f"{curated}/citi")
+    return rows
 
 
 def curated_trips(spark: SparkSession, curated: str) -> tuple[DataFrame, DataFrame]:
@@ -58,12 +61,13 @@ def curated_trips(spark: SparkSession, curated: str) -> tuple[DataFrame, DataFra
     return feeds.union_feeds([read(n) for n in ("yellow", "green", "fhvhv")]), read("citi")
 
 
-def process_all(spark: SparkSession, raw: str, curated: str, out: str, overall: bool = False) -> None:
-    """Writes the merged table, or with ``overall`` one split table per mode."""
+def process_all(spark: SparkSession, raw: str, curated: str, out: str, overall: bool = False) -> dict:
+    """Writes the merged table, or with ``overall`` one split table per mode; returns row counts."""
     taxis, bikes = curated_trips(spark, curated)
     weather = weather_side(prepare_weather(feeds.read_feed(spark, raw, "w")))
     if overall:
-        for name, trips in (("taxis", taxis), ("bikes", bikes)):
-            sinks.write_split(mode_trips(trips, weather), f"{out}/{name}")
-    else:
-        sinks.write_table(merged_trips(taxis, bikes, weather), f"{out}/merged")
+        return {
+            name: sinks.write_split(mode_trips(trips, weather), f"{out}/{name}")
+            for name, trips in (("taxis", taxis), ("bikes", bikes))
+        }
+    return {"merged": sinks.write_table(merged_trips(taxis, bikes, weather), f"{out}/merged")}

@@ -1,12 +1,21 @@
-"""Writers. All overwrite; monthly tables overwrite only the months they contain."""
+"""Writers. All overwrite; monthly tables overwrite only the months they contain.
 
-from pyspark.sql import DataFrame, SparkSession
+Table writers return the number of rows. It is observed by the job that writes, so that no
+second pass over the input is needed to report it.
+"""
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+def _observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    seen = Observation()
+    return df.observe(seen, *[value.alias(name) for name, value in counts.items()]), seen
+
+
 def write_months(
     trips: DataFrame, path: str, moment: str = "pickup_datetime", compact: bool = False
-) -> None:
+) -> int:
     """Partitioned by year and month, so that month filters prune folders.
 
     A feed arrives by month, so each task already holds one or two months. ``compact``
@@ -15,16 +24,20 @@ def write_months(
     keyed = trips.withColumns({"year": F.year(moment), "month": F.month(moment)})
     if compact:
         keyed = keyed.hint("rebalance", "year", "month")
+    counted, seen = _observed(keyed, rows=F.count(F.lit(1)))
     (
-        keyed.write.mode("overwrite")
+        counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(path)
     )
+    return seen.get["rows"]
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: str) -> int:
+    counted, seen = _observed(df, rows=F.count(F.lit(1)))
+    counted.write.mode("overwrite").parquet(path)
+    return seen.get["rows"]
 
 
 def with_year_split(df: DataFrame, test_year: int = 2022) -> DataFrame:
@@ -35,15 +48,16 @@ def with_year_split(df: DataFrame, test_year: int = 2022) -> DataFrame:
     )
 
 
-def write_split(df: DataFrame, path: str, test_year: int = 2022) -> None:
-    """One pass over the input writes both splits as folders."""
-    (
-        with_year_split(df, test_year)
-        .filter(F.col("split").isNotNull())
-        .write.mode("overwrite")
-        .partitionBy("split")
-        .parquet(path)
+def write_split(df: DataFrame, path: str, test_year: int = 2022) -> dict[str, int]:
+    """One pass over the input writes both splits as folders; returns the rows of each."""
+    split = F.col("split")
+    counted, seen = _observed(
+        with_year_split(df, test_year).filter(split.isNotNull()),
+        train=F.count_if(split == "train"),
+        test=F.count_if(split == "test"),
     )
+    counted.write.mode("overwrite").partitionBy("split").parquet(path)
+    return dict(seen.get)
 
 
 def write_csv(df: DataFrame, path: str) -> None:
