@@ -8,10 +8,10 @@ from catalog import inputs
 from catalog.inputs import RAW_TAXIS_SQL, RIDES_SQL, ZONES_SQL, with_trips
 from catalog.trips_part import _HOUR, _PAIRED, _mode_sql, _side, query, study_mode
 from wayfare.functions.calendar import HOUR_KEYS, with_calendar
-from wayfare.functions.codes import peak_code, season_code
 from wayfare.models import cells, features, fits, statistics
-from wayfare.operators import columns, compare, filters, reports, splits, stations
-from wayfare.operators.sides import bounded_side, materialise
+from wayfare.operators import columns, compare, filters, reports, stations
+from wayfare.operators.sides import materialise
+from wayfare.plans import modelling
 from wayfare.sources.schemas import WEATHER_MEASURES
 
 # ---- reports ----
@@ -436,10 +436,35 @@ def boxcox_profile(spark, folder):
     return statistics.boxcox_profile(counts, _LAMBDAS).select("lambda", F.round("llf", 3).alias("llf"))
 
 
-@query("boxcox_lambda")
+def _refine(before: str, name: str, low: str, step: str) -> str:
+    """One grid of 81 lambdas from ``low`` in steps, and the best of them."""
+    return f"""{name}_grid AS (SELECT round({low} + i * CAST({step} AS DOUBLE), 10) AS lam
+    FROM generate_series(0, 80) AS g(i){before}),
+{name}_y AS (SELECT lam, v AS x, n, CASE WHEN lam = 0 THEN ln(v) ELSE (pow(v, lam) - 1) / lam END AS y
+    FROM counted, {name}_grid),
+{name} AS (SELECT lam, (lam - 1) * sum(n * ln(x)) - sum(n) / CAST(2 AS DOUBLE)
+    * ln(sum(n * y * y) / sum(n) - pow(sum(n * y) / sum(n), 2)) AS llf FROM {name}_y GROUP BY lam
+    ORDER BY llf DESC, lam LIMIT 1)"""
+
+
+@query(
+    "boxcox_lambda",
+    with_trips(
+        ", counted AS (SELECT CAST(trip_duration AS DOUBLE) AS v, count(*) AS n FROM taxis GROUP BY 1), "
+        + ", ".join(
+            [
+                _refine("", "coarse", "CAST(-2 AS DOUBLE)", "0.05"),
+                _refine(", coarse", "middle", "coarse.lam - CAST(0.05 AS DOUBLE)", "0.00125"),
+                _refine(", middle", "fine", "middle.lam - CAST(0.00125 AS DOUBLE)", "0.00003125"),
+            ]
+        )
+        + ' SELECT round(lam, 3) AS "lambda", round(llf, 3) AS llf FROM fine'
+    ),
+)
 def boxcox_lambda(spark, folder):
     counts = statistics.value_counts(kept_modes(spark, folder)[0], "trip_duration")
-    return statistics.boxcox_lambda(counts)
+    best = statistics.boxcox_lambda(counts)
+    return best.select(F.round("lambda", 3).alias("lambda"), F.round("llf", 3).alias("llf"))
 
 
 _NORMAL = ", ".join(
@@ -500,6 +525,33 @@ def anova_one_term(spark, folder):
     )
 
 
+_TWO_TERMS = ["Temperature", "Precipitation"]
+
+
+@query(
+    "anova_two_terms",
+    with_trips(
+        _mode_sql("bikes")
+        + """, used AS (SELECT pow(trip_duration, CAST(0.2 AS DOUBLE)) AS y, "Temperature" AS a, "Precipitation" AS b
+  FROM processed WHERE "Temperature" IS NOT NULL AND trip_duration > 0),
+m AS (SELECT count(*) AS n, regr_sxx(a, a) AS aa, regr_sxx(b, b) AS bb, regr_sxy(a, b) AS ab,
+  regr_sxy(y, a) AS ya, regr_sxy(y, b) AS yb, regr_syy(y, a) AS yy FROM used),
+e AS (SELECT n, yy - (ya * ya * bb - 2 * ya * yb * ab + yb * yb * aa) / (aa * bb - ab * ab) AS sse,
+  yy - ya * ya / aa AS only_a, yy - yb * yb / bb AS only_b FROM m)
+SELECT 'Temperature' AS term, round(only_b - sse, 6) AS sum_sq, CAST(1 AS DOUBLE) AS df,
+  round((only_b - sse) / (sse / (n - 3)), 4) AS f FROM e
+UNION ALL SELECT 'Precipitation', round(only_a - sse, 6), 1, round((only_a - sse) / (sse / (n - 3)), 4) FROM e
+UNION ALL SELECT 'Residual', round(sse, 6), n - 3, NULL FROM e""",
+        study=True,
+    ),
+)
+def anova_two_terms(spark, folder):
+    table = cells.label_cells(_reduced(spark, folder), "reduced", _TWO_TERMS)
+    return statistics.anova_type2(table, _TWO_TERMS).select(
+        "term", F.round("sum_sq", 6).alias("sum_sq"), "df", F.round("f", 4).alias("f")
+    )
+
+
 @query("anova_type2")
 def anova_type2(spark, folder):
     numeric, categorical = [*WEATHER_MEASURES, "count"], ["PULocationID", "DOLocationID", "day_of_week", "month"]
@@ -509,102 +561,106 @@ def anova_type2(spark, folder):
 
 # ---- models ----
 
-# Three-way splits name the study's years; see wayfare.operators.splits.
-_TRAIN = "split = 'train'"
 
 
 def paired_outcomes(spark, folder):
-    """Outcomes per key of the study's trips, coded and split, with the hour's weather."""
-    taxis, bikes = inputs.modes(inputs.study_trips(spark, folder))
-    outcomes = compare.key_outcomes(compare.duration_counts(taxis, bikes))
-    coded = outcomes.withColumns(
-        {"peak_hours": peak_code(F.col("time_bin")), "weather_pattern": season_code(F.col("day"))}
-    )
-    return splits.three_way_split(coded), _side(inputs.study_weather(spark, folder)).drop("Date")
+    """Outcomes per key of the study's trips, and the hours' weather."""
+    outcomes = modelling.coded_outcomes(*inputs.modes(inputs.study_trips(spark, folder)))
+    return outcomes, _side(inputs.study_weather(spark, folder))
 
 
-@query(
-    "encode",
-    with_trips(
-        f""", {_PAIRED}, used AS (SELECT month, time_bin, PULocationID, DOLocationID, day_of_week,
+_LEVELS = f""", {_PAIRED}, used AS (SELECT month, time_bin, PULocationID, DOLocationID, day_of_week,
   CASE WHEN day < 60 OR day >= 330 THEN 0 WHEN day >= 150 AND day < 240 THEN 1 ELSE 2 END AS weather_pattern,
-  year = 2020 OR (year = 2021 AND month <= 8) AS train FROM paired JOIN weather USING ({_HOUR})),
-long AS (SELECT category, value, train FROM used UNPIVOT (value FOR category IN
+  CASE WHEN (time_bin >= 8 AND time_bin < 11) OR (time_bin >= 16 AND time_bin < 19) THEN 1 ELSE 0 END AS peak_hours,
+  year = 2020 OR (year = 2021 AND month <= 8) AS train, weather.* EXCLUDE (year, month, day, time_bin)
+  FROM paired JOIN weather USING ({_HOUR})),
+long AS (SELECT category, CAST(value AS VARCHAR) AS value, train FROM used UNPIVOT (value FOR category IN
   (month, time_bin, PULocationID, DOLocationID, day_of_week, weather_pattern))),
-levels AS (SELECT category, CAST(value AS VARCHAR) AS value,
-  CAST(count(*) FILTER (train) AS DOUBLE) AS weight FROM long GROUP BY ALL),
+levels AS (SELECT category, value, CAST(count(*) FILTER (train) AS DOUBLE) AS weight FROM long GROUP BY ALL),
 indexed AS (SELECT *, CAST(row_number() OVER (PARTITION BY category ORDER BY weight DESC, value) - 1 AS INTEGER) AS index,
   count(*) OVER (PARTITION BY category) AS n FROM levels)
-SELECT category, value, weight, index, CASE WHEN index < n - 1 THEN index END AS slot FROM indexed""",
+"""
+
+
+@query(
+    "encode",
+    with_trips(
+        _LEVELS
+        + "SELECT category, value, weight, index, CASE WHEN index < n - 1 THEN index END AS slot FROM indexed",
         study=True,
     ),
 )
 def encode(spark, folder):
     """Category levels in index order, and the one-hot slot of each."""
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = cells.difference_cells(outcomes, weather, HOUR_KEYS)
-    return features.index_levels(cells.category_levels(table, cells.CATEGORIES, _TRAIN))
+    table = modelling.difference_table(*paired_outcomes(spark, folder))
+    return features.index_levels(cells.category_levels(table, cells.CATEGORIES, modelling.TRAIN))
+
+
+_PLACES = ", ".join(f"({i}, '{c}')" for i, c in enumerate(cells.CATEGORIES))
+
+
+@query(
+    "feature_totals",
+    with_trips(
+        f"""{_LEVELS}, sizes AS (SELECT p.place, p.category, max(n) - 1 AS size
+    FROM (VALUES {_PLACES}) p(place, category) JOIN indexed USING (category) GROUP BY ALL),
+starts AS (SELECT category, coalesce(sum(size) OVER (ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+    AS start FROM sizes), width AS (SELECT sum(size) AS w FROM sizes)
+SELECT CAST(start + index AS INTEGER) AS slot, CAST(count(*) AS DOUBLE) AS total FROM long
+  JOIN indexed USING (category, value) JOIN starts USING (category) WHERE index < n - 1 GROUP BY 1
+UNION ALL SELECT CAST(w AS INTEGER), CAST((SELECT sum(peak_hours) FROM used) AS DOUBLE) FROM width
+"""
+        + "".join(
+            f"""UNION ALL SELECT CAST(w + {i} AS INTEGER), round((SELECT coalesce(sum("{m}")
+  / nullif(stddev_samp("{m}") FILTER (train), 0), 0) FROM used), 5) FROM width """
+            for i, m in enumerate(WEATHER_MEASURES, start=1)
+        ),
+        study=True,
+    ),
+)
+def feature_totals(spark, folder):
+    """The assembled feature vectors added up over all pairs, slot by slot."""
+    encoded = encode_features(spark, folder).select("weight", F.posexplode("features").alias("slot", "v"))
+    total = F.round(F.sum(F.col("v") * F.col("weight")), 5)
+    return encoded.groupBy("slot").agg(total.alias("total"))
 
 
 @query("encode_features")
 def encode_features(spark, folder):
     from pyspark.ml.functions import vector_to_array
 
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = materialise(cells.difference_cells(outcomes, weather, HOUR_KEYS))
-    encoded = features.fit_encoder(table, _TRAIN).transform(table)
+    encoded = modelling.encoded(modelling.difference_table(*paired_outcomes(spark, folder)))
     return encoded.select(*compare.PAIR_KEYS, "label", "weight", vector_to_array("features").alias("features"))
 
 
-def fitted_classes(spark, folder):
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = materialise(cells.class_cells(outcomes, weather, HOUR_KEYS))
-    encoded = materialise(features.fit_encoder(table, _TRAIN).transform(table))
-    return fits.fit_classifier(encoded.filter(_TRAIN)).transform(encoded)
-
-
 @query("mlp_eval")
 def mlp_eval(spark, folder):
-    scored = fitted_classes(spark, folder).filter(F.col("split").isNotNull())
+    scored = modelling.scored_classes(*paired_outcomes(spark, folder)).filter("split IS NOT NULL")
     return fits.class_metrics(fits.confusion(scored, "split"), "split")
 
 
 @query("confusion")
 def confusion(spark, folder):
-    return fits.confusion(fitted_classes(spark, folder).filter("split = 'test'"))
-
-
-def fitted_differences(spark, folder):
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = materialise(cells.difference_cells(outcomes, weather, HOUR_KEYS))
-    encoded = materialise(features.fit_encoder(table, _TRAIN).transform(table))
-    return fits.fit_boosted(encoded.filter(_TRAIN)).transform(encoded)
+    scored = modelling.scored_classes(*paired_outcomes(spark, folder))
+    return fits.confusion(scored.filter("split = 'test'"))
 
 
 @query("gbt_eval")
 def gbt_eval(spark, folder):
-    scored = fitted_differences(spark, folder).filter(F.col("split").isNotNull())
+    scored = modelling.scored_differences(*paired_outcomes(spark, folder)).filter("split IS NOT NULL")
     return fits.regression_metrics(scored, "split")
 
 
 @query("error_by_weekday")
 def error_by_weekday(spark, folder):
-    return fits.error_by_weekday(fitted_differences(spark, folder).filter("split = 'test'"))
+    scored = modelling.scored_differences(*paired_outcomes(spark, folder))
+    return fits.error_by_weekday(scored.filter("split = 'test'"))
 
 
 @query("glm_eval")
 def glm_eval(spark, folder):
-    trips = filters.keep(
-        study_mode(spark, folder, "taxis"), filters.duration_rule("trip_duration")
-    )
-    used = ["year", *cells.CATEGORIES, "peak_hours", *WEATHER_MEASURES, "count"]
-    table = materialise(
-        splits.three_way_split(cells.label_cells(trips, "trip_duration", used))
-    )
-    encoder = features.fit_encoder(table, _TRAIN, measures=[*WEATHER_MEASURES, "count"])
-    encoded = materialise(encoder.transform(table))
-    scored = fits.fit_log_linear(encoded.filter(_TRAIN)).transform(encoded)
-    return fits.regression_metrics(scored.filter(F.col("split").isNotNull()), "split")
+    scored = modelling.scored_durations(study_mode(spark, folder, "taxis"))
+    return fits.regression_metrics(scored.filter("split IS NOT NULL"), "split")
 
 
 # ---- evaluation of a fixed rule, which SQL can follow ----
@@ -617,14 +673,12 @@ _RULED = f""", {_PAIRED}, ruled AS (
 
 
 def _ruled_classes(spark, folder):
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = cells.class_cells(outcomes, weather, HOUR_KEYS)
+    table = modelling.class_table(*paired_outcomes(spark, folder))
     return table.withColumn("prediction", F.col("peak_hours").cast("double"))
 
 
 def _ruled_differences(spark, folder):
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = cells.difference_cells(outcomes, weather, HOUR_KEYS)
+    table = modelling.difference_table(*paired_outcomes(spark, folder))
     return table.withColumn("prediction", F.col("peak_hours") * 100.0)
 
 
@@ -702,8 +756,7 @@ def weekday_errors_of_rule(spark, folder):
 )
 def scale_weather(spark, folder):
     """The deviations by which training divides the weather, over the training pairs."""
-    outcomes, weather = paired_outcomes(spark, folder)
-    table = materialise(cells.difference_cells(outcomes, weather, HOUR_KEYS)).filter(_TRAIN)
+    table = materialise(modelling.difference_table(*paired_outcomes(spark, folder))).filter(modelling.TRAIN)
     scales = cells.weighted_scales(table, WEATHER_MEASURES)
     rows = [(name, deviation) for name, (_, deviation) in scales.items()]
     fitted = spark.createDataFrame(rows, "measure string, deviation double")

@@ -152,3 +152,16 @@ def test_od_advantage_scales_by_the_peak(spark):
     assert got == {1: (100.0, 0.25), 2: (-400.0, -1.0)}
     mapped = reports.with_origin_row(reports.od_advantage(taxis, bikes, 7, 10).select("DO_ID", "scaled"))
     assert sorted(tuple(r) for r in mapped.collect()) == [(1, 0.25), (2, -1.0), (239, 1.0)]
+
+
+def test_cells_of_the_merged_table_equal_those_of_the_outcomes(modes, weather):
+    """Training can start from the stored merged table as well as from the trips."""
+    from wayfare.models import cells
+
+    merged = compare.merged_trips(*modes, weather)
+    stored = cells.label_cells(merged, "trip_difference", PAIR_KEYS, weight="pairs")
+    direct = cells.difference_cells(
+        compare.key_outcomes(compare.duration_counts(*modes)), weather.drop("Date"), enrich.HOUR_KEYS
+    )
+    columns = [*PAIR_KEYS, *(F.round(c, 6).alias(c) for c in ("weight", "label", "within"))]
+    assert stored.count() > 0 and _same(stored.select(*columns), direct.select(*columns))

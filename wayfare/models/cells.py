@@ -21,18 +21,28 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
 
 
-def label_cells(rows: DataFrame, label: str, features: list[str]) -> DataFrame:
-    """One row per distinct feature row: ``weight``, mean ``label`` and ``within`` squares."""
+def label_cells(
+    rows: DataFrame, label: str, features: list[str], weight: str | None = None
+) -> DataFrame:
+    """One row per distinct feature row: ``weight``, mean ``label`` and ``within`` squares.
+
+    ``weight`` names a column saying how often a row counts, such as the merged table's
+    ``pairs``; without it every row counts once.
+    """
+    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
     value = F.col(label).cast("double")
-    return (
+    named = [f"`{c}`" for c in features]
+    sums = (
         rows.na.drop()
-        .groupBy(*features)
+        .groupBy(*named)
         .agg(
-            F.count(F.lit(1)).cast("double").alias("weight"),
-            F.avg(value).alias("label"),
-            (F.var_pop(value) * F.count(F.lit(1))).alias("within"),
+            F.sum(w).alias("weight"),
+            weighted_mean(value, w).alias("label"),
+            F.sum(w * value * value).alias("squares"),
         )
     )
+    within = F.col("squares") - F.col("weight") * F.col("label") * F.col("label")
+    return sums.withColumn("within", F.greatest(within, F.lit(0.0))).drop("squares")
 
 
 def difference_cells(outcomes: DataFrame, features: DataFrame, join_keys: list[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from wayfare.functions.codes import peak_code, season_code
 from wayfare.operators import filters
 from wayfare.operators.compare import merged_trips
 from wayfare.operators.enrich import prepare_weather, weather_side, with_traffic, with_weather
+from wayfare.operators.sampling import bernoulli_sample
 from wayfare.plans import clean
 from wayfare.sources import feeds, sinks
 
@@ -52,18 +53,30 @@ def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> dict[
     return rows
 
 
-def curated_trips(spark: SparkSession, curated: str) -> tuple[DataFrame, DataFrame]:
-    """Taxis (all three feeds) and bikes, every month."""
+def curated_trips(
+    spark: SparkSession, curated: str, taxi_share: float = 1.0, bike_share: float = 1.0
+) -> tuple[DataFrame, DataFrame]:
+    """Taxis (all three feeds) and bikes, every month, whole unless a share is asked for."""
 
-    def read(name: str) -> DataFrame:
-        return feeds.trip_shape(spark.read.parquet(f"{curated}/{name}"))
+    def read(name: str, share: float) -> DataFrame:
+        trips = feeds.trip_shape(spark.read.parquet(f"{curated}/{name}"))
+        return trips if share >= 1 else bernoulli_sample(trips, share)
 
-    return feeds.union_feeds([read(n) for n in ("yellow", "green", "fhvhv")]), read("citi")
+    taxis = feeds.union_feeds([read(n, taxi_share) for n in ("yellow", "green", "fhvhv")])
+    return taxis, read("citi", bike_share)
 
 
-def process_all(spark: SparkSession, raw: str, curated: str, out: str, overall: bool = False) -> dict:
+def process_all(
+    spark: SparkSession,
+    raw: str,
+    curated: str,
+    out: str,
+    overall: bool = False,
+    taxi_share: float = 1.0,
+    bike_share: float = 1.0,
+) -> dict:
     """Writes the merged table, or with ``overall`` one split table per mode; returns row counts."""
-    taxis, bikes = curated_trips(spark, curated)
+    taxis, bikes = curated_trips(spark, curated, taxi_share, bike_share)
     weather = weather_side(prepare_weather(feeds.read_feed(spark, raw, "w")))
     if overall:
         return {

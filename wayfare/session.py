@@ -12,13 +12,15 @@ def build_session(app: str = "wayfare", zone: str = TRIP_ZONE, **settings: str)
     """A session with the trip clock's zone; other settings are passed through unchanged.
 
     Executor sizes, shuffle partitions and the checkpoint folder belong to the cluster,
-    so nothing else is fixed here except that AQE stays on.
+    so nothing else is fixed here except that AQE stays on and that checkpoints nobody
+    refers to any more are removed.
     """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.session.timeZone", zone)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)
