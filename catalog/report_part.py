@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import inputs
 from catalog.inputs import RAW_TAXIS_SQL, RIDES_SQL, ZONES_SQL, with_trips
-from catalog.trips_part import _HOUR, _PAIRED, _mode_sql, _side, query, study_mode
+from catalog.trips_part import _HOUR, _PAIRED, _mode_sql, _side, plain, query, study_mode
 from wayfare.functions.calendar import HOUR_KEYS, with_calendar
 from wayfare.models import cells, features, fits, statistics
 from wayfare.operators import columns, compare, filters, reports, stations
@@ -80,14 +80,14 @@ def quiet_days(spark, folder):
 @query(
     "daily_pairs",
     with_trips(
-        f""", {_PAIRED} SELECT day, CAST(count(*) AS DECIMAL(38,0)) AS pairs
+        f""", {_PAIRED} SELECT day, CAST(count(*) AS DOUBLE) AS pairs
 FROM paired WHERE year <> 2022 GROUP BY 1""",
         study=True,
     ),
 )
 def daily_pairs(spark, folder):
     sums = compare.key_sums(*inputs.modes(inputs.study_trips(spark, folder)))
-    return reports.merged_daily_pairs(sums, 2022)
+    return plain(reports.merged_daily_pairs(sums, 2022))
 
 
 def _advantage_sql(low: int, high: int) -> str:

@@ -34,6 +34,18 @@ def _rows(names, rows):
     return sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+# Spark type names and DuckDB's names of the same types.
+TYPES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
+}
+
+
 def compare(connection, frame, sql: str) -> str:
     """Empty if both agree, else the first difference."""
     found = connection.execute(sql)
@@ -42,6 +54,10 @@ def compare(connection, frame, sql: str) -> str:
     actual = _rows(frame.columns, frame.collect())
     if sorted(frame.columns) != sorted(expected_names):
         return f"columns {sorted(frame.columns)} != {sorted(expected_names)}"
+    spark_types = {name: TYPES.get(kind, kind) for name, kind in frame.dtypes}
+    sql_types = {d[0]: str(d[1]) for d in found.description}
+    if spark_types != sql_types:
+        return f"types {sorted(set(spark_types.items()) ^ set(sql_types.items()))}"
     if len(actual) != len(expected):
         return f"{len(actual)} rows, expected {len(expected)}"
     for a, b in zip(actual, expected):
