@@ -5,7 +5,7 @@ from statistics import NormalDist
 from pyspark.sql import functions as F
 
 from catalog import inputs
-from catalog.inputs import RAW_TAXIS_SQL, RIDES_SQL, ZONES_SQL, with_trips
+from catalog.inputs import RIDES_SQL, ZONES_SQL, with_trips
 from catalog.trips_part import _HOUR, _PAIRED, _mode_sql, _side, plain, query, study_mode
 from wayfare.functions.calendar import HOUR_KEYS, with_calendar
 from wayfare.models import cells, features, fits, statistics

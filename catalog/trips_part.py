@@ -1,11 +1,14 @@
 """Queries on cleaning, calendar, enrichment and pairing."""
 
+from uuid import uuid4
+
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from catalog import inputs
 from catalog.inputs import RAW_TAXIS_SQL, with_trips
 from wayfare.functions import calendar, codes
-from wayfare.operators import compare, enrich, filters, sampling, splits
+from wayfare.operators import compare, enrich, filters, reports, sampling, splits
 from wayfare.plans import clean, process
 from wayfare.session import shared_folder
 from wayfare.sources import feeds, schemas, sinks
@@ -99,9 +102,7 @@ UNION ALL SELECT 5, 'distance', n4, n5 FROM totals
 UNION ALL SELECT 6, 'different_zones', n5, n6 FROM totals""",
 )
 def rule_report(spark, folder):
-    from wayfare.operators.reports import rule_report
-
-    return rule_report(inputs.raw_taxis(spark, folder), clean.street_taxi_rules())
+    return reports.rule_report(inputs.raw_taxis(spark, folder), clean.street_taxi_rules())
 
 
 def _raw(spark, folder, code: str):
@@ -386,9 +387,7 @@ count("{c}") < count(*) AS any_null FROM joined"""
     ),
 )
 def null_audit(spark, folder):
-    from wayfare.operators.reports import null_report
-
-    return null_report(weather_left(spark, folder))
+    return reports.null_report(weather_left(spark, folder))
 
 
 # ---- pairs ----
@@ -573,8 +572,6 @@ def split_two_way(spark, folder):
 
 
 def _fresh_path(spark, name: str) -> str:
-    from uuid import uuid4
-
     return f"{shared_folder(spark)}/{name}-{uuid4().hex}"
 
 
@@ -611,8 +608,6 @@ def month_write(spark, folder):
 )
 def station_csv(spark, folder):
     """The station dimension as CSV with a header, read back under its schema."""
-    from pyspark.sql import types as T
-
     path = _fresh_path(spark, "stations")
     named = inputs.stations(spark, folder)
     sinks.write_csv(named, path)

@@ -41,6 +41,8 @@ _TAXI_KINDS = {
     "payment_type": "int",
     "RatecodeID": "int",
     "trip_type": "int",
+    "shared_match_flag": "string",
+    "wav_match_flag": "string",
 }
 
 # Feed codes, file locations and column names of the published feeds.
@@ -100,13 +102,13 @@ def bike_schema(year: int, month: int) -> T.StructType:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """A CSV with a header; without a schema every column is text.
 
-    The header is checked against the schema instead of being ignored, so a file whose
-    columns were reordered fails instead of loading values under wrong names.
+    Columns are taken by name, so their order in the file does not matter, extra ones are
+    ignored and a missing one is an error. Values that do not parse become null.
     """
-    reader = spark.read.option("header", True)
-    if schema is not None:
-        reader = reader.schema(schema).option("enforceSchema", False)
-    return reader.csv(path)
+    text = spark.read.option("header", True).csv(path)
+    if schema is None:
+        return text
+    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 def harmonise(trips: DataFrame, source: Feed) -> DataFrame:
@@ -138,9 +140,16 @@ def read_months(
 ) -> DataFrame:
     """Several months of a feed as one table.
 
-    Months are cast before the union because the published files change types over time.
+    The published files change types and gain columns over time, so each month is cast and
+    reduced to the columns that cleaning uses before the union.
     """
-    return union_feeds([read_feed(spark, root, code, y, m) for y, m in months])
+    used = feed(code).kinds
+
+    def month(year: int, number: int) -> DataFrame:
+        trips = read_feed(spark, root, code, year, number)
+        return trips.select(*[c for c in used if c in trips.columns]) if used else trips
+
+    return union_feeds([month(y, m) for y, m in months])
 
 
 def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:
