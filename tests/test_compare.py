@@ -165,3 +165,20 @@ def test_cells_of_the_merged_table_equal_those_of_the_outcomes(modes, weather):
     )
     columns = [*PAIR_KEYS, *(F.round(c, 6).alias(c) for c in ("weight", "label", "within"))]
     assert stored.count() > 0 and _same(stored.select(*columns), direct.select(*columns))
+
+
+def test_oversized_sides_give_the_same_rows(spark, modes, weather, monkeypatch):
+    """Without the broadcast hint the joins are shuffled instead, with equal results."""
+    from wayfare.operators import sides
+    from wayfare.plans import process
+
+    expected = process.mode_trips(modes[0], weather)
+    monkeypatch.setattr(
+        enrich, "bounded_side", lambda df: sides.bounded_side(df, limit=-1)
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        shuffled = process.mode_trips(modes[0], weather.hint("merge"))
+        assert _same(shuffled, expected) and not shuffled.isEmpty()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
