@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 
@@ -16,7 +17,20 @@ from wayfare.session import shared_folder
 SLICE_BYTES = 2_000_000
 
 
+#: The folder that holds the package.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package wherever the session was started."""
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, known)])
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -44,6 +58,7 @@ def removed(frame: DataFrame) -> None:
 
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, whatever other columns there are; null texts are empty."""
+    importable(docs.sparkSession)
     return docs.select(
         F.col(key).cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
@@ -55,6 +70,13 @@ def raw_column(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return column.cast(pa.binary()).to_pylist()
 
 
+def shorter(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, so that few Python objects are held at a time."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, bytes, offsets with one more entry than rows) for runs of rows of bounded size.
 

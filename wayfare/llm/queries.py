@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from wayfare.llm import eliasfano, prefixcounts
+from wayfare.llm import decontaminate, eliasfano, prefixcounts
 
 QUERIES = {
+    "op2_decontaminate": decontaminate.op2_decontaminate,
     "op5_elias_fano": eliasfano.op5_elias_fano,
     "op10_prefix_counts": prefixcounts.op10_prefix_counts,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op2_decontaminate": decontaminate.SQL,
+}
