@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from wayfare.llm import decontaminate, eliasfano, prefixcounts
+from wayfare.llm import decontaminate, eliasfano, packing, pii, prefixcounts, secretscan
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op4_personal_data": pii.op4_personal_data,
     "op5_elias_fano": eliasfano.op5_elias_fano,
+    "op6_secrets": secretscan.op6_secrets,
+    "op7_best_fit": packing.op7_best_fit,
     "op10_prefix_counts": prefixcounts.op10_prefix_counts,
 }
 SQL: dict[str, str] = {
