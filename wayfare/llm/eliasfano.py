@@ -5,6 +5,7 @@ A file is a Parquet folder with one row per chunk, in ascending document order b
 * `ids`: the chunk's ids, little-endian, two bytes each if the vocabulary allows it;
 * `ends`: the cumulative ends of its documents, Elias-Fano coded: `low_bits` low bits of each end
   packed together, then the high parts as a unary bit vector, with a sample of every 256th one-bit;
+* `before`: the ids of the part's earlier chunks;
 * `doc_ids`: the documents in order.
 
 n documents over u ids take about 2 + log2(u / n) bits each. `Ends.select(i)` finds the i-th end from
@@ -28,13 +29,11 @@ from wayfare.llm.vocabulary import encoder
 CHUNK_IDS = 1 << 20
 #: Every so many one-bits, the place of one is stored.
 SAMPLE = 256
-#: Input bytes of a range of documents that one task encodes.
-PART_BYTES = 48_000_000
 
 COUNTS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1)
 
 FILE = (
-    "part int, chunk int, n_docs int, n_ids long, id_bytes int, low_bits int, "
+    "part int, chunk int, before long, n_docs int, n_ids long, id_bytes int, low_bits int, "
     "low binary, high binary, samples binary, ids binary, doc_ids array<long>"
 )
 
@@ -89,36 +88,12 @@ class Ends:
         return ((ones - np.arange(self.count)) << self.low_bits) | low
 
 
-def _parts(docs: DataFrame, part_bytes: int) -> DataFrame:
-    """Deals documents out into ranges of ids, sorted inside each range.
-
-    The borders are approximate quantiles of the ids alone, so the texts are read once. All
-    documents of an id are in one part, null ids in the first.
-    """
-    size = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    count = int(size // part_bytes) + 1
-    borders = docs.select("doc_id").na.drop().approxQuantile(
-        "doc_id", [k / count for k in range(1, count)], 0.1 / count
-    ) if count > 1 else []
-    borders = sorted({int(border) for border in borders})
-    if not borders:
-        return docs.repartition(1).sortWithinPartitions("doc_id", "text")
-    found = F.array(*map(F.lit, borders))
-    part = F.when(F.col("doc_id").isNull(), 0).otherwise(
-        F.size(F.filter(found, lambda border: border < F.col("doc_id")))
-    )
-    return docs.repartitionById(len(borders) + 1, part.cast("int")).sortWithinPartitions(
-        "doc_id", "text"
-    )
-
-
 def write_ids(
     docs: DataFrame,
     folder: str,
     tokenizer: str,
     end_id: int = 0,
     chunk_ids: int = CHUNK_IDS,
-    part_bytes: int = PART_BYTES,
 ) -> None:
     """Writes every document's ids, each followed by end_id, in ascending doc_id order.
 
@@ -134,7 +109,7 @@ def write_ids(
         end = np.array([end_id], known.width).tobytes()
         pieces: list[bytes] = []
         ids: list[int | None] = []
-        held = 0
+        held = before = 0
 
         def closed() -> pa.RecordBatch:
             sizes = np.array([len(piece) for piece in pieces], np.int64) // known.width.itemsize
@@ -143,6 +118,7 @@ def write_ids(
                 {
                     "part": pa.array([part], pa.int32()),
                     "chunk": pa.array([chunk], pa.int32()),
+                    "before": pa.array([before], pa.int64()),
                     "n_docs": pa.array([len(ids)], pa.int32()),
                     "n_ids": pa.array([int(sizes.sum())], pa.int64()),
                     "id_bytes": pa.array([known.width.itemsize], pa.int32()),
@@ -155,11 +131,12 @@ def write_ids(
                 }
             )
 
-        for batch in batches:
+        for batch in frames.shorter(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 piece = known.packed(text) + end
                 if pieces and held + len(piece) > chunk_ids * known.width.itemsize:
                     yield closed()
+                    before += held // known.width.itemsize
                     pieces, ids, held, chunk = [], [], 0, chunk + 1
                 pieces.append(piece)
                 ids.append(doc_id)
@@ -167,26 +144,23 @@ def write_ids(
         if pieces:
             yield closed()
 
-    parts = _parts(frames.texts(docs), part_bytes)
+    # All documents of an id are in one range, and ranges are numbered in the order of ids.
+    parts = frames.texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     parts.mapInArrow(encode, FILE).write.mode("overwrite").parquet(folder)
 
 
 def read_ids(spark: SparkSession, folder: str) -> DataFrame:
     """The chunks of a written file, with `base`, the ids of all chunks before."""
     chunks = spark.read.schema(FILE).parquet(folder)
-    # One row per part; a part is a write task, so this stays a few thousand rows at any size.
+    # One row per write task, so at most as many as there were shuffle partitions.
     totals = chunks.groupBy("part").agg(F.sum("n_ids").alias("__ids"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(
-        "part", F.coalesce(F.sum("__ids").over(before), F.lit(0)).alias("__before")
+        "part", F.coalesce(F.sum("__ids").over(earlier), F.lit(0)).alias("__earlier")
     )
-    inside = Window.partitionBy("part").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    places = chunks.select("part", "chunk", "n_ids").join(totals, "part").select(
-        "part",
-        "chunk",
-        (F.col("__before") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).alias("base"),
+    return chunks.join(F.broadcast(totals), "part").select(
+        *chunks.columns, (F.col("__earlier") + F.col("before")).alias("base")
     )
-    return chunks.join(places, ["part", "chunk"])
 
 
 def documents(chunks: DataFrame) -> DataFrame:

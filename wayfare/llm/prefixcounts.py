@@ -23,8 +23,10 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from wayfare.llm import frames
-from wayfare.llm.vocabulary import CONTRACTIONS, KEPT_WORDS, byte_letters, encoder
+from wayfare.llm.vocabulary import CONTRACTIONS, byte_letters, encoder
 
+#: Words whose counts a worker keeps; later ones are worked out each time they occur.
+KEPT_WORDS = 800_000
 #: Border checks that a worker remembers.
 KEPT_BORDERS = 500_000
 ALWAYS = 1 << 60
@@ -221,7 +223,7 @@ def token_counts(docs: DataFrame, tokenizer: str, limit: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counter(tokenizer)
-        for batch in batches:
+        for batch in frames.shorter(batches):
             found = batch.column(1).to_pylist()
             tokens = np.array([known.total(text) for text in found], np.int64)
             yield pa.RecordBatch.from_arrays(
@@ -247,7 +249,7 @@ def within_budget(docs: DataFrame, tokenizer: str, budget: int) -> DataFrame:
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = counter(tokenizer)
-        for batch in batches:
+        for batch in frames.shorter(batches):
             out, tokens = [], []
             for text in batch.column(1).to_pylist():
                 shown, counts = known.table(text)

@@ -33,7 +33,7 @@ LOWER_WORDS = re.compile(
 )
 
 #: Words that a worker keeps; later ones are encoded each time they occur.
-KEPT_WORDS = 1_000_000
+KEPT_WORDS = 200_000
 
 
 def byte_letters() -> dict[int, str]:
