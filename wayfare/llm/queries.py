@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from wayfare.llm import decontaminate, eliasfano, packing, pii, prefixcounts, secretscan
+from wayfare.llm import (
+    decontaminate,
+    eliasfano,
+    ngramjoin,
+    packing,
+    pii,
+    prefixcounts,
+    secretscan,
+)
 
 QUERIES = {
     "op2_decontaminate": decontaminate.op2_decontaminate,
+    "op3_ngram_join": ngramjoin.op3_ngram_join,
     "op4_personal_data": pii.op4_personal_data,
     "op5_elias_fano": eliasfano.op5_elias_fano,
     "op6_secrets": secretscan.op6_secrets,
@@ -14,4 +23,5 @@ QUERIES = {
 }
 SQL: dict[str, str] = {
     "op2_decontaminate": decontaminate.SQL,
+    "op3_ngram_join": ngramjoin.SQL,
 }
