@@ -10,6 +10,7 @@ from wayfare.llm import (
     pii,
     prefixcounts,
     secretscan,
+    toxicity,
 )
 
 QUERIES = {
@@ -19,6 +20,7 @@ QUERIES = {
     "op5_elias_fano": eliasfano.op5_elias_fano,
     "op6_secrets": secretscan.op6_secrets,
     "op7_best_fit": packing.op7_best_fit,
+    "op9_kneser_ney": toxicity.op9_kneser_ney,
     "op10_prefix_counts": prefixcounts.op10_prefix_counts,
 }
 SQL: dict[str, str] = {
