@@ -5,6 +5,7 @@ from __future__ import annotations
 from wayfare.llm import (
     decontaminate,
     eliasfano,
+    language,
     ngramjoin,
     packing,
     pii,
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_elias_fano": eliasfano.op5_elias_fano,
     "op6_secrets": secretscan.op6_secrets,
     "op7_best_fit": packing.op7_best_fit,
+    "op8_byte_network": language.op8_byte_network,
     "op9_kneser_ney": toxicity.op9_kneser_ney,
     "op10_prefix_counts": prefixcounts.op10_prefix_counts,
 }
