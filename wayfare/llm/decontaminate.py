@@ -139,7 +139,8 @@ def _scanned(docs: DataFrame, shared) -> DataFrame:
                 intervals.append(hit)
                 spans.append(list(zip(flat[::2], flat[1::2])))
                 items.append(sorted(own))
-            yield pa.RecordBatch.from_arrays(
+            yield frames.carried(
+                batch,
                 [
                     batch.column(0),
                     batch.column(1),
@@ -148,10 +149,10 @@ def _scanned(docs: DataFrame, shared) -> DataFrame:
                     pa.array(spans, SPANS),
                     pa.array(items, pa.list_(pa.string())),
                 ],
-                names=["doc_id", "text", "n_words", "words", "spans", "items"],
+                ["doc_id", "text", "n_words", "words", "spans", "items"],
             )
 
-    return docs.mapInArrow(run, HITS)
+    return docs.mapInArrow(run, frames.carrying(HITS, docs))
 
 
 def contamination(
@@ -160,6 +161,7 @@ def contamination(
     size: int = 13,
     share: int = 20,
     automaton_bytes: int = AUTOMATON_BYTES,
+    rows: bool = False,
 ) -> DataFrame:
     """What each document holds of the items' windows of `size` consecutive words.
 
@@ -167,7 +169,8 @@ def contamination(
     as text, sorted), spans (hit passages in code points of the original text) and contaminated
     (some word is hit, and share * n_hit >= n_words). Shorter items are one window. Null texts and
     texts without words have no words and no hits. Items with a null id count as hits but are not
-    listed. Repeated documents and items are allowed; other columns are not read.
+    listed. Repeated documents and items are allowed; other columns are not read, but the whole
+    document is returned as the struct `row` if asked for.
     """
     spark = docs.sparkSession
     found = windows(items, size).groupBy("window").agg(
@@ -176,7 +179,9 @@ def contamination(
     found = frames.written(found)
     total = found.agg(F.sum(F.length("window") + F.size("items") * 8)).first()[0] or 0
     passes = int(total // automaton_bytes) + 1
-    state = frames.texts(docs).select(
+    state = frames.with_rows(docs) if rows else frames.texts(docs)
+    kept = ["row"] if rows else []
+    state = state.select(
         "doc_id",
         "text",
         F.lit(0).cast("long").alias("n_words"),
@@ -185,15 +190,17 @@ def contamination(
             ("spans", "array<struct<start:int,end:int>>"),
             ("items", "array<string>"),
         )),
+        *kept,
     )
     for k in range(passes):
         part = found.filter(F.pmod(F.xxhash64("window"), F.lit(passes)) == k)
-        rows = {bytes(row["window"]): tuple(row["items"]) for row in part.toLocalIterator()}
-        shared = spark.sparkContext.broadcast(rows)
+        own = {bytes(row["window"]): tuple(row["items"]) for row in part.toLocalIterator()}
+        shared = spark.sparkContext.broadcast(own)
         state = _scanned(state if k == 0 else frames.written(state), shared)
     frames.removed(found)
     hits = F.aggregate("words", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
-    return state.select("doc_id", "n_words", hits.alias("n_hit"), "items", "spans").withColumn(
+    found = state.select("doc_id", "n_words", hits.alias("n_hit"), "items", "spans", *kept)
+    return found.withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
     )
 

@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.session import shared_folder
 
@@ -65,6 +66,29 @@ def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame
     )
 
 
+def with_rows(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """As texts(), with the whole document as a struct `row`, so that decisions need no join back."""
+    importable(docs.sparkSession)
+    return docs.select(
+        F.col(key).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+    )
+
+
+def carrying(fields: str, docs: DataFrame) -> T.StructType:
+    """The fields, and `row` if the frame has it."""
+    found = T._parse_datatype_string(fields)
+    return T.StructType(found.fields + [x for x in docs.schema.fields if x.name == "row"])
+
+
+def carried(batch: pa.RecordBatch, arrays: list[pa.Array], names: list[str]) -> pa.RecordBatch:
+    """A batch of the arrays, and of the input's `row` if it has one."""
+    if "row" in batch.schema.names:
+        arrays, names = [*arrays, batch.column(batch.schema.names.index("row"))], [*names, "row"]
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
 def raw_column(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """The texts as UTF-8."""
     return column.cast(pa.binary()).to_pylist()

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from wayfare.llm import (
     decontaminate,
     eliasfano,
     language,
+    mtree,
     ngramjoin,
     packing,
     pii,
@@ -15,6 +17,7 @@ from wayfare.llm import (
 )
 
 QUERIES = {
+    "op1_m_tree": mtree.op1_m_tree,
     "op2_decontaminate": decontaminate.op2_decontaminate,
     "op3_ngram_join": ngramjoin.op3_ngram_join,
     "op4_personal_data": pii.op4_personal_data,
@@ -24,8 +27,10 @@ QUERIES = {
     "op8_byte_network": language.op8_byte_network,
     "op9_kneser_ney": toxicity.op9_kneser_ney,
     "op10_prefix_counts": prefixcounts.op10_prefix_counts,
+    "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
+    "op1_m_tree": mtree.SQL,
     "op2_decontaminate": decontaminate.SQL,
     "op3_ngram_join": ngramjoin.SQL,
 }

@@ -30,7 +30,7 @@ DISCOUNT = 0.9
 #: Folds that are learned from.
 FOLDS = (0, 1, 3)
 #: N-grams in the model that tasks get; if there are more, the rarest are left to the backoff.
-MODEL_ENTRIES = 2_000_000
+MODEL_ENTRIES = 1_000_000
 #: Labelled documents that the logistic curve is fitted on, about.
 CURVE_DOCUMENTS = 20_000
 #: Words whose evidence a worker keeps.
@@ -349,8 +349,9 @@ def _described(rows: DataFrame, model: Evidence) -> list[tuple[tuple[float, ...]
 _scorers: dict[str, Scorer] = {}
 
 
-def toxicity(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
-    """One row per document: doc_id, score (0 to 1), predicted (1 if score >= limit, else 0).
+def toxicity(docs: DataFrame, model: Model, limit: float = 0.3, rows: bool = False) -> DataFrame:
+    """One row per document: doc_id, score (0 to 1), predicted (1 if score >= limit, else 0), and if
+    asked for the whole document as the struct `row`.
 
     Null texts are empty; texts without words have the score of no evidence. Ids may be null or
     repeat; other columns are not read.
@@ -364,14 +365,18 @@ def toxicity(docs: DataFrame, model: Model, limit: float = 0.3) -> DataFrame:
             _scorers[name] = Scorer(shared.value.evidence)
         scorer = _scorers[name]
         for batch in frames.shorter(batches):
-            rows = scorer.features(frames.raw_column(batch.column(1)))
-            scores = shared.value.curve.scores(rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores), pa.array((scores >= limit).astype(np.int32))],
-                names=["doc_id", "score", "predicted"],
+            found = scorer.features(frames.raw_column(batch.column(1)))
+            scores = shared.value.curve.scores(found)
+            predicted = pa.array((scores >= limit).astype(np.int32))
+            yield frames.carried(
+                batch,
+                [batch.column(0), pa.array(scores), predicted],
+                ["doc_id", "score", "predicted"],
             )
 
-    return frames.texts(docs).mapInArrow(run, "doc_id long, score double, predicted int")
+    docs = frames.with_rows(docs) if rows else frames.texts(docs)
+    fields = frames.carrying("doc_id long, score double, predicted int", docs)
+    return docs.mapInArrow(run, fields)
 
 
 def op9_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
