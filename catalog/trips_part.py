@@ -597,8 +597,35 @@ def split_write(spark, folder):
 def month_write(spark, folder):
     """Trips written by year and month and read back as one table."""
     path = _fresh_path(spark, "months")
-    columns = inputs.study_trips(spark, folder).select(*schemas.TRIP_COLUMNS)
-    sinks.write_months(columns, path, compact=True)
+    sinks.write_months(_filed(spark, folder), path, MONTHS, compact=True)
+    return sinks.read_table(spark, path)
+
+
+MONTHS = feeds.expand_months()
+
+
+def _filed(spark, folder, year: str = "year(pickup_datetime)", month: str = "month(pickup_datetime)"):
+    """Study trips with the month of the file that they are said to come from."""
+    trips = inputs.study_trips(spark, folder).select(*schemas.TRIP_COLUMNS)
+    return trips.withColumns({"file_year": F.expr(year), "file_month": F.expr(month)})
+
+
+@query(
+    "month_rewrite",
+    with_trips(
+        f"SELECT {_TRIP}, year, month FROM feat WHERE NOT (year = 2021 AND month IN (2, 3)) "
+        f"UNION ALL SELECT {_TRIP}, 2021 AS year, 2 AS month FROM feat WHERE PULocationID = 0",
+        study=True,
+    ),
+)
+def month_rewrite(spark, folder):
+    """All months written, then one again with strays of other months, and one emptied."""
+    path = _fresh_path(spark, "months")
+    trips = _filed(spark, folder)
+    sinks.write_months(trips, path, MONTHS)
+    strays = _filed(spark, folder, "2021", "2").filter("PULocationID = 0")
+    sinks.write_months(strays, path, [(2021, 2)])
+    sinks.write_months(trips.filter("false"), path, [(2021, 3)])
     return sinks.read_table(spark, path)
 
 

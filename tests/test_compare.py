@@ -182,3 +182,9 @@ def test_oversized_sides_give_the_same_rows(spark, modes, weather, monkeypatch):
         assert _same(shuffled, expected) and not shuffled.isEmpty()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_row_with_very_many_pairs_begins_to_expand(spark, modes, weather):
+    row = compare.merged_trips(*modes, weather).limit(1)
+    huge = row.withColumn("pairs", F.lit(4 * 10**13).cast("decimal(38,0)"))
+    assert len(compare.expand_pairs(huge.coalesce(1), chunk=10**7).limit(3).collect()) == 3

@@ -10,18 +10,19 @@ from wayfare.models import cells, features, fits, statistics
 from wayfare.models.tails import f_upper_tail
 
 
-def test_six_row_encoder(spark):
+def test_encoder_of_a_small_table(spark):
     """Index by falling frequency, ties by text, last level without a slot."""
-    rows = [(0, "a"), (1, "b"), (2, "c"), (3, "a"), (4, "a"), (5, "c")]
+    rows = [(0, "q"), (1, "m"), (2, "q"), (3, "x"), (4, "m"), (5, "k"), (6, "m"), (7, "q"), (8, "x")]
     df = spark.createDataFrame(rows, "id int, category string").withColumns(
         {"weight": F.lit(1.0), "wind": F.col("id").cast("double")}
     )
     encoder = features.fit_encoder(df, "true", ["category"], ["wind"])
-    assert encoder.levels == {"category": ["a", "c", "b"]}
+    assert encoder.levels == {"category": ["m", "q", "x", "k"]}
     encoded = features.Encoder(encoder.levels, encoder.scales, ()).transform(df)
-    got = {r["id"]: list(r["v"])[:2] for r in encoded.select("id", vector_to_array("features").alias("v")).collect()}
-    assert got == {0: [1, 0], 1: [0, 0], 2: [0, 1], 3: [1, 0], 4: [1, 0], 5: [0, 1]}
-    assert encoder.scales["wind"][1] == pytest.approx(np.std(range(6), ddof=1))
+    got = {r["id"]: list(r["v"])[:3] for r in encoded.select("id", vector_to_array("features").alias("v")).collect()}
+    slots = {"m": [1, 0, 0], "q": [0, 1, 0], "x": [0, 0, 1], "k": [0, 0, 0]}
+    assert got == {i: slots[c] for i, c in rows}
+    assert encoder.scales["wind"][1] == pytest.approx(np.std(range(9), ddof=1))
 
 
 def test_levels_count_training_rows_only(spark):
@@ -76,8 +77,18 @@ def test_repeat_by_weight(spark):
     table = spark.createDataFrame([(1, 3.0), (2, 25.0)], "k int, weight double")
     exact = {r[0]: r[1] for r in cells.repeat_by_weight(table, chunk=4).groupBy("k").count().collect()}
     assert exact == {1: 3, 2: 25}
-    scaled = {r[0]: r[1] for r in cells.repeat_by_weight(table, budget=3).groupBy("k").count().collect()}
-    assert scaled == {1: 1, 2: 3}
+
+
+def test_rows_beyond_the_bound_keep_their_shares(spark):
+    """A thousand light cells of one class and one heavy cell of the other."""
+    rows = [(k, 0.0, 1.0) for k in range(20_000)] + [(-1, 1.0, 20_000.0)]
+    table = spark.createDataFrame(rows, "k int, label double, weight double")
+    found = cells.repeat_by_weight(table, max_training_rows=10_000).groupBy("label").count()
+    counts = {r["label"]: r["count"] for r in found.collect()}
+    assert abs(sum(counts.values()) - 10_000) < 200
+    assert abs(counts[1.0] / sum(counts.values()) - 0.5) < 0.01
+    again = cells.repeat_by_weight(table, max_training_rows=10_000).count()
+    assert again == sum(counts.values())
 
 
 def test_fits_on_cells_equal_fits_on_rows(weighted):
@@ -153,6 +164,29 @@ def test_anova_equals_least_squares(spark):
     assert {r["term"]: r["df"] for r in aliased.collect()} == {"a": 0, "b": 0, "ab": 0, "Residual": n - 3}
 
 
+@pytest.mark.parametrize("true", [3.0, -3.0])
+def test_boxcox_finds_a_lambda_beyond_the_first_interval(spark, true):
+    rng = np.random.default_rng(4)
+    values = rng.normal(40, 6, 20_000) if true > 0 else rng.normal(2e-3, 2e-4, 20_000)
+    x = np.abs(values) ** (1 / true)
+    counts = spark.createDataFrame([(float(v), 1) for v in x], "value double, n long")
+    assert statistics.boxcox_lambda(counts).first()["lambda"] == pytest.approx(true, abs=0.4)
+
+
+def test_boxcox_of_a_narrow_range(spark):
+    x = np.random.default_rng(5).uniform(10_000, 10_799, 3000).astype(int).astype(float)
+    counts = spark.createDataFrame([(float(v), 1) for v in x], "value double, n long")
+    best = statistics.boxcox_lambda(counts).first()
+    z = np.log(x) - np.log(x).mean()
+
+    def llf(lam):
+        return -len(x) / 2 * np.log((z if lam == 0 else np.expm1(lam * z) / lam).var())
+
+    assert llf(best["lambda"]) >= max(llf(g) for g in np.arange(-20, 20, 0.25)) - 1e-3
+    with pytest.raises(ValueError):
+        statistics.boxcox_lambda(spark.createDataFrame([(5.0, 9)], "value double, n long"))
+
+
 def test_boxcox_lambda_of_a_lognormal_is_near_zero(spark):
     rng = np.random.default_rng(1)
     rows = [(int(v),) for v in np.exp(rng.normal(6, 0.6, 4000)) + 1]

@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from wayfare.operators import compare
-from wayfare.plans import clean, process
+from wayfare.plans import clean, modelling, process
 from wayfare.sources import feeds, schemas, sinks
 
 
@@ -64,10 +64,23 @@ def test_monthly_overwrite_keeps_other_months(spark, tmp_path):
             rows, "pickup_datetime timestamp, dropoff_datetime timestamp, PULocationID int, DOLocationID int"
         )
 
-    sinks.write_months(trips(datetime(2021, 1, 5), datetime(2021, 2, 5)), path)
-    sinks.write_months(trips(datetime(2021, 2, 7)), path)
-    days = sorted(r["pickup_datetime"].day for r in spark.read.parquet(path).collect())
-    assert days == [5, 7]
+    def filed(df, month):
+        return df.withColumns({"file_year": F.lit(2021), "file_month": F.lit(month)})
+
+    def days():
+        return sorted(r["pickup_datetime"].day for r in spark.read.parquet(path).collect())
+
+    both = filed(trips(datetime(2021, 1, 5)), 1).unionByName(filed(trips(datetime(2021, 2, 5)), 2))
+    assert sinks.write_months(both, path, [(2021, 1), (2021, 2)]) == 2
+    # A trip dated in January comes with February's file: January keeps its own.
+    strays = filed(trips(datetime(2021, 2, 7), datetime(2021, 1, 31)), 2)
+    assert sinks.write_months(strays, path, [(2021, 2)]) == 2
+    assert days() == [5, 7, 31]
+    # A month that becomes empty keeps no stale rows.
+    assert sinks.write_months(strays.limit(0), path, [(2021, 2)]) == 0
+    assert days() == [5]
+    with pytest.raises(Exception, match="not named"):
+        sinks.write_months(strays, path, [(2021, 3)])
 
 
 def test_split_write_partitions_the_input(spark, tmp_path):
@@ -152,8 +165,13 @@ def test_whole_run(spark, raw, tmp_path):
     assert taxis.count() == 6 and bikes.count() == 2
     assert taxis.columns == schemas.TRIP_COLUMNS
 
-    assert process.process_all(spark, root, curated, out) == {"merged": 2}
-    merged = spark.read.parquet(f"{out}/merged").orderBy("month").collect()
+    rows = process.process_all(spark, root, curated, out)
+    assert rows["outcomes"] == 2
+    stored = process.stored_pairs(spark, root, out)
+    january = spark.createDataFrame([(1,)], "month int")
+    assert process.stored_pairs(spark, root, out, january).count() == 1
+    assert modelling.stored_outcomes(spark, out).agg(F.sum("pairs")).first()[0] == 6
+    merged = stored.orderBy("month").collect()
     # Three equal taxi trips meet one bike trip in both months; weather exists in January only.
     assert [(r["month"], int(r["pairs"]), r["trip_difference"]) for r in merged] == [
         (1, 3, 1200 - 600),
@@ -161,7 +179,7 @@ def test_whole_run(spark, raw, tmp_path):
     ]
     assert [r["Temperature"] for r in merged] == [40.0, None]
     assert [(r["count_taxis"], r["count_bikes"]) for r in merged] == [(3, 1), (3, 1)]
-    assert compare.expand_pairs(spark.read.parquet(f"{out}/merged")).count() == 6
+    assert compare.expand_pairs(stored).count() == 6
 
     rows = process.process_all(spark, root, curated, out, overall=True)
     assert rows == {"taxis": {"train": 6, "test": 0}, "bikes": {"train": 2, "test": 0}}

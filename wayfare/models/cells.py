@@ -6,15 +6,17 @@ of the label and the spread around it. Least-squares losses over the cells diffe
 over the trips by a constant, so fits agree while the table no longer grows with the trips.
 """
 
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The categorical features and the measured ones.
 CATEGORIES = ["month", "time_bin", "PULocationID", "DOLocationID", "day_of_week", "weather_pattern"]
 
 
-# Most training rows made from weighted cells.
-ROW_BUDGET = 50_000_000
+# Training rows made from weighted cells, about, unless a caller gives another bound.
+TRAINING_ROWS = 50_000_000
 
 
 def weighted_mean(value: Column, weight: Column) -> Column:
@@ -84,19 +86,25 @@ def class_cells(outcomes: DataFrame, features: DataFrame, join_keys: list[str])
 
 
 def repeat_by_weight(
-    cells: DataFrame, budget: int = ROW_BUDGET, chunk: int = 10_000
+    cells: DataFrame, max_training_rows: int = TRAINING_ROWS, chunk: int = 10_000
 ) -> DataFrame:
     """Each cell as often as its weight, for estimators that know no weights.
 
-    Up to ``budget`` rows this is exact. Beyond it, pairs having grown with the square of the
-    trips, all weights are divided by one number and rounded; every cell keeps at least one
-    row. Heavy cells are split into chunks that are spread over tasks before they are repeated.
+    Up to ``max_training_rows`` rows this is exact. Beyond it, pairs having grown with the square
+    of the trips, about that many rows are drawn: a cell gets the whole part of its share, and one
+    more with the chance of the rest (by a hash of the cell, so a run repeats). Every cell, and so
+    every class, keeps its share of the weight in expectation. Heavy cells are split into chunks
+    that are spread over tasks before they are repeated.
     """
     total = cells.agg(F.sum("weight")).first()[0] or 0.0
-    unit = max(1.0, total / budget)
-    copies = F.greatest(F.round(F.col("weight") / unit).cast("long"), F.lit(1))
+    unit = max(1.0, total / max_training_rows)
+    share = F.col("weight") / unit
+    keys = [F.col(f"`{f.name}`") for f in cells.schema if not isinstance(f.dataType, (VectorUDT, T.MapType))]
+    chance = F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
+    copies = F.round(share) if unit == 1.0 else F.floor(share) + (chance < share - F.floor(share)).cast("long")
     parts = (
-        cells.withColumn("copies", copies)
+        cells.withColumn("copies", copies.cast("long"))
+        .filter("copies > 0")
         .withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
         .repartition("part", *[c for c in CATEGORIES if c in cells.columns])
     )

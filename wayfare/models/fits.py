@@ -1,12 +1,16 @@
 """The three models and their evaluation over weighted cells."""
 
 from pyspark.ml.classification import MultilayerPerceptronClassifier
-from pyspark.ml.regression import GBTRegressor, GeneralizedLinearRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.regression import (
+    GBTRegressor,
+    GeneralizedLinearRegression,
+    GeneralizedLinearRegressionModel,
+)
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.calendar import weekday_name
-from wayfare.models.cells import repeat_by_weight, weighted_mean
+from wayfare.models.cells import TRAINING_ROWS, repeat_by_weight, weighted_mean
 from wayfare.models.features import feature_width
 
 # Settings of the study's models.
@@ -15,9 +19,12 @@ GBT_ITERATIONS, GBT_DEPTH, GBT_SEED = 20, 8, 669
 GLM_ITERATIONS, GLM_REGULARISATION = 10, 0.3
 
 
-def fit_classifier(train: DataFrame, iterations: int = MLP_ITERATIONS):
-    """Perceptron on encoded class cells. Spark's has no weights, so cells are repeated."""
-    rows = repeat_by_weight(train).select("features", F.col("label").cast("double").alias("label"))
+def fit_classifier(
+    train: DataFrame, iterations: int = MLP_ITERATIONS, max_training_rows: int = TRAINING_ROWS
+):
+    """Perceptron on encoded class cells. Spark's has no weights, so cells are repeated; if there
+    are more than ``max_training_rows``, about that many are drawn by weight."""
+    rows = repeat_by_weight(train, max_training_rows).select("features", F.col("label").cast("double").alias("label"))
     return MultilayerPerceptronClassifier(
         layers=[feature_width(train), HIDDEN_UNITS, CLASSES],
         maxIter=iterations,
@@ -43,6 +50,35 @@ def fit_log_linear(train: DataFrame):
     ).fit(train.filter(F.col("label") > 0))
 
 
+def glm_summary(model: GeneralizedLinearRegressionModel, names: list[str]) -> DataFrame:
+    """Coefficients of a fitted log-linear model with what can be said of each, and the fit as rows.
+
+    term, coefficient, and for models without a penalty standard error, t and p; then `(deviance)`,
+    `(null deviance)`, `(dispersion)` and `(aic)` with their value as coefficient. ``names`` are
+    those of the features, in order.
+    """
+    summary = model.summary
+    values = [*model.coefficients, model.intercept]
+    try:
+        spread = list(zip(summary.coefficientStandardErrors, summary.tValues, summary.pValues))
+    except Exception:  # penalised fits have no standard errors
+        spread = [(None, None, None)] * len(values)
+    rows = [
+        (term, float(value), *(None if x is None else float(x) for x in errors))
+        for term, value, errors in zip([*names, "(intercept)"], values, spread)
+    ]
+    figures = {
+        "(deviance)": summary.deviance,
+        "(null deviance)": summary.nullDeviance,
+        "(dispersion)": summary.dispersion,
+        "(aic)": summary.aic,
+    }
+    rows += [(term, float(value), None, None, None) for term, value in figures.items()]
+    return SparkSession.active().createDataFrame(
+        rows, "term string, coefficient double, standard_error double, t double, p double"
+    )
+
+
 def confusion(scored: DataFrame, *by: str) -> DataFrame:
     """Weighted label by prediction counts; both classes always have a column."""
     table = (

@@ -6,7 +6,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +14,10 @@ from wayfare.models.tails import f_upper_tail
 from wayfare.operators.sides import materialise
 
 
+#: Grids that a search for lambda tries before it gives up.
+WIDEST = 60
+
+
 def value_counts(rows: DataFrame, column: str) -> DataFrame:
     """``value`` and ``n`` per distinct value.
 
@@ -87,30 +90,49 @@ def describe_counts(counts: DataFrame) -> DataFrame:
 
 
 def boxcox_profile(counts: DataFrame, grid: list[float]) -> DataFrame:
-    """Box-Cox log-likelihood per lambda, for positive values."""
+    """Box-Cox log-likelihood per lambda, for positive values.
+
+    Values are divided by their geometric mean first. That adds the same to every likelihood's
+    parts and leaves transformed values near zero, so their variance does not cancel.
+    """
+    positive = counts.filter(F.col("value") > 0)
     x, n, lam = F.col("value").cast("double"), F.col("n"), F.col("lambda")
-    y = F.when(lam == 0, F.log(x)).otherwise((F.pow(x, lam) - 1) / lam)
     size = F.sum(n)
+    middle = positive.agg((F.sum(n * F.log(x)) / size).alias("m")).first()["m"] or 0.0
+    z = F.log(x) - F.lit(middle)
+    y = F.when(lam == 0, z).otherwise(F.expm1(lam * z) / lam)
     spread = F.sum(n * y * y) / size - F.pow(F.sum(n * y) / size, 2)
     return (
-        counts.filter(F.col("value") > 0)
-        .withColumn("lambda", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
+        positive.withColumn("lambda", F.explode(F.array(*[F.lit(float(g)) for g in grid])))
         .groupBy("lambda")
-        .agg(((F.first(lam) - 1) * F.sum(n * F.log(x)) - size / 2 * F.log(spread)).alias("llf"))
+        .agg((-size * F.lit(middle) - size / 2 * F.log(spread)).alias("llf"))
     )
 
 
 def boxcox_lambda(counts: DataFrame, low: float = -2.0, high: float = 2.0, rounds: int = 3) -> DataFrame:
-    """The lambda of the largest likelihood: a grid refined around its best point."""
+    """The lambda of the largest likelihood: a grid refined around its best point.
+
+    While the best point is on a border, the interval moves and doubles. Fewer than two distinct
+    positive values have no best lambda: an error.
+    """
     kept = materialise(counts)
-    best = None
-    for _ in range(rounds):
+    if kept.filter("value > 0").select("value").distinct().limit(2).count() < 2:
+        raise ValueError("the best lambda needs two distinct positive values")
+    left, best = rounds, None
+    for _ in range(WIDEST):
         step = (high - low) / 80
         grid = [round(low + i * step, 10) for i in range(81)]
         best = boxcox_profile(kept, grid).orderBy(F.desc("llf"), "lambda").limit(1)
         centre = best.first()["lambda"]
+        if centre in (grid[0], grid[-1]):
+            wide = high - low
+            low, high = centre - wide, centre + wide
+            continue
+        left -= 1
+        if not left:
+            return best
         low, high = centre - step, centre + step
-    return best
+    raise ValueError("the likelihood has no largest value in reach")
 
 
 def boxcox(rows: DataFrame, column: str, lam: float, name: str) -> DataFrame:
@@ -143,12 +165,22 @@ def power_correlations(
 def correlation_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Pearson correlations in long form; rows with nulls are left out."""
     numeric = rows.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).na.drop()
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(numeric)
-    matrix = Correlation.corr(vectors, "v").first()[0].toArray()
-    cells = [
-        (a, b, float(matrix[i][j])) for i, a in enumerate(columns) for j, b in enumerate(columns)
-    ]
-    return rows.sparkSession.createDataFrame(cells, "a string, b string, correlation double")
+    places = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
+    # The upper triangle in one aggregation.
+    found = numeric.agg(
+        *[F.corr(F.col(f"`{columns[i]}`"), F.col(f"`{columns[j]}`")).alias(f"c{i}_{j}") for i, j in places],
+        *[F.when(F.stddev_pop(F.col(f"`{c}`")) > 0, 1.0).otherwise(float("nan")).alias(f"c{i}_{i}") for i, c in enumerate(columns)],
+    )
+    lines = F.array(
+        *[
+            F.struct(
+                F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("correlation")
+            )
+            for i, a in enumerate(columns)
+            for j, b in enumerate(columns)
+        ]
+    )
+    return found.select(F.inline(lines))
 
 
 def with_components(rows: DataFrame, columns: list[str], k: int = 2, names=("pca_a", "pca_b")):

@@ -107,8 +107,19 @@ def merged_trips(
     ``weather`` is a prepared join side. :func:`expand_pairs` gives one row per pair.
     """
     counts = written_table(duration_counts(taxis, bikes, max_seconds))
+    return merged_counts(counts, weather, key_product=key_product)
+
+
+def merged_counts(
+    counts: DataFrame,
+    weather: DataFrame,
+    keys: DataFrame | None = None,
+    key_product: int = KEY_PRODUCT,
+) -> DataFrame:
+    """The merged table of stored :func:`duration_counts`; ``keys`` limits it to some keys."""
+    asked = counts if keys is None else counts.join(bounded_side(keys), keys.columns, "left_semi")
     pairs = (
-        _join_durations(counts.filter(F.col("trip_duration").isNotNull()), key_product)
+        _join_durations(asked.filter(F.col("trip_duration").isNotNull()), key_product)
         .withColumn("pairs", _wide("n_taxis") * _wide("n_bikes"))
         .drop("n_taxis", "n_bikes")
     )
@@ -117,14 +128,25 @@ def merged_trips(
 
 
 def expand_pairs(merged: DataFrame, chunk: int = EXPANSION_CHUNK) -> DataFrame:
-    """One row per pair. A row with many pairs is spread over tasks in chunks."""
-    pairs = F.col("pairs").cast("long")
-    chunks = merged.withColumn(
-        "chunk", F.explode(F.sequence(F.lit(0), F.floor((pairs - 1) / chunk)))
-    ).repartition("chunk", *PAIR_KEYS)
-    rest = F.least(F.lit(chunk), pairs - F.col("chunk") * chunk)
-    return chunks.withColumn("copy", F.explode(F.sequence(F.lit(1), rest))).drop(
-        "chunk", "copy", "pairs"
+    """One row per pair. A row with many pairs is spread over tasks in chunks, and many chunks in
+    turn, so that no list is longer than a few hundred thousand items even for 10**14 pairs."""
+    size = F.lit(chunk).cast("long")
+    wide = merged.withColumn("pairs", F.col("pairs").cast("long"))
+
+    def dealt(df: DataFrame, name: str, count: Column) -> DataFrame:
+        return df.withColumn(name, F.explode(F.sequence(F.lit(0).cast("long"), count - 1))).repartition(
+            name, *PAIR_KEYS
+        )
+
+    def parts(whole: Column, part: Column) -> Column:
+        return F.floor((whole + part - 1) / part).cast("long")
+
+    groups = dealt(wide, "_group", parts(F.col("pairs"), size * size))
+    inside = F.least(size * size, F.col("pairs") - F.col("_group") * size * size)
+    chunks = dealt(groups.withColumn("_inside", inside), "_chunk", parts(F.col("_inside"), size))
+    rest = F.least(size, F.col("_inside") - F.col("_chunk") * size)
+    return chunks.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), rest))).drop(
+        "_group", "_inside", "_chunk", "_copy", "pairs"
     )
 
 

@@ -4,7 +4,8 @@ Each function fits on the training split and returns all cells with a ``predicti
 metrics of ``wayfare.models.fits`` then apply per split.
 """
 
-from pyspark.sql import DataFrame
+from pyspark.ml.regression import GeneralizedLinearRegressionModel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.calendar import HOUR_KEYS
@@ -19,7 +20,15 @@ TRAIN = "split = 'train'"
 
 def coded_outcomes(taxis: DataFrame, bikes: DataFrame) -> DataFrame:
     """Outcomes per key with peak and season codes and the time split."""
-    outcomes = compare.key_outcomes(compare.duration_counts(taxis, bikes))
+    return with_codes(compare.key_outcomes(compare.duration_counts(taxis, bikes)))
+
+
+def stored_outcomes(spark: SparkSession, out: str) -> DataFrame:
+    """As :func:`coded_outcomes`, from the tables of a stored run."""
+    return with_codes(spark.read.parquet(f"{out}/outcomes"))
+
+
+def with_codes(outcomes: DataFrame) -> DataFrame:
     coded = outcomes.withColumns(
         {"peak_hours": peak_code(F.col("time_bin")), "weather_pattern": season_code(F.col("day"))}
     )
@@ -47,9 +56,13 @@ def encoded(table: DataFrame, measures: list[str] = WEATHER_MEASURES) -> DataFra
     return materialise(features.fit_encoder(kept, TRAIN, measures=measures).transform(kept))
 
 
-def scored_classes(outcomes: DataFrame, weather: DataFrame) -> DataFrame:
+def scored_classes(
+    outcomes: DataFrame, weather: DataFrame, max_training_rows: int = cells.TRAINING_ROWS
+) -> DataFrame:
+    """``max_training_rows`` bounds what the classifier is fitted on, see
+    :func:`wayfare.models.cells.repeat_by_weight`."""
     table = encoded(class_table(outcomes, weather))
-    return fits.fit_classifier(table.filter(TRAIN)).transform(table)
+    return fits.fit_classifier(table.filter(TRAIN), max_training_rows=max_training_rows).transform(table)
 
 
 def scored_differences(outcomes: DataFrame, weather: DataFrame) -> DataFrame:
@@ -58,5 +71,11 @@ def scored_differences(outcomes: DataFrame, weather: DataFrame) -> DataFrame:
 
 
 def scored_durations(trips: DataFrame) -> DataFrame:
+    return fitted_durations(trips)[0]
+
+
+def fitted_durations(trips: DataFrame) -> tuple[DataFrame, GeneralizedLinearRegressionModel]:
+    """The scored cells, and the model for its :func:`wayfare.models.fits.glm_summary`."""
     table = encoded(duration_table(trips), [*WEATHER_MEASURES, "count"])
-    return fits.fit_log_linear(table.filter(TRAIN)).transform(table)
+    model = fits.fit_log_linear(table.filter(TRAIN))
+    return model.transform(table), model

@@ -5,8 +5,7 @@ from pyspark.sql import functions as F
 
 from wayfare.functions.calendar import with_calendar
 from wayfare.functions.codes import peak_code, season_code
-from wayfare.operators import filters
-from wayfare.operators.compare import merged_trips
+from wayfare.operators import compare, filters
 from wayfare.operators.enrich import prepare_weather, weather_side, with_traffic, with_weather
 from wayfare.operators.sampling import bernoulli_sample
 from wayfare.plans import clean
@@ -39,7 +38,7 @@ def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> dict[
     rows = {}
     for name, (code, step) in street.items():
         trips = step(feeds.read_months(spark, raw, code, months), zones)
-        rows[name] = sinks.write_months(trips, f"{curated}/{name}")
+        rows[name] = sinks.write_months(trips, f"{curated}/{name}", months)
     layouts = {
         "old": [m for m in months if m < feeds.NEW_BIKES_FROM],
         "new": [m for m in months if m >= feeds.NEW_BIKES_FROM],
@@ -49,7 +48,7 @@ def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> dict[
         for layout, part in layouts.items()
         if part
     ]
-    rows["citi"] = sinks.write_months(feeds.union_feeds(cleaned), f"{curated}/citi")
+    rows["citi"] = sinks.write_months(feeds.union_feeds(cleaned), f"{curated}/citi", months)
     return rows
 
 
@@ -75,12 +74,31 @@ def process_all(
     taxi_share: float = 1.0,
     bike_share: float = 1.0,
 ) -> dict:
-    """Writes the merged table, or with ``overall`` one split table per mode; returns row counts."""
+    """Writes the tables that pairing needs, or with ``overall`` one split table per mode; returns
+    row counts.
+
+    Pairs grow with the square of a busy key, so they are not stored: ``counts`` (trips per key and
+    second of duration) and ``outcomes`` (what models of pairs need, one row per key) are, which
+    grow with the trips. :func:`stored_pairs` builds pairs from them, for the keys asked for.
+    """
     taxis, bikes = curated_trips(spark, curated, taxi_share, bike_share)
-    weather = weather_side(prepare_weather(feeds.read_feed(spark, raw, "w")))
     if overall:
+        weather = stored_weather(spark, raw)
         return {
             name: sinks.write_split(mode_trips(trips, weather), f"{out}/{name}")
             for name, trips in (("taxis", taxis), ("bikes", bikes))
         }
-    return {"merged": sinks.write_table(merged_trips(taxis, bikes, weather), f"{out}/merged")}
+    counts = sinks.write_table(compare.duration_counts(taxis, bikes), f"{out}/counts")
+    outcomes = compare.key_outcomes(spark.read.parquet(f"{out}/counts"))
+    return {"counts": counts, "outcomes": sinks.write_table(outcomes, f"{out}/outcomes")}
+
+
+def stored_weather(spark: SparkSession, raw: str) -> DataFrame:
+    return weather_side(prepare_weather(feeds.read_feed(spark, raw, "w")))
+
+
+def stored_pairs(spark: SparkSession, raw: str, out: str, keys: DataFrame | None = None) -> DataFrame:
+    """The merged rows of a stored run, of all keys or of those in ``keys`` (some of the pair keys'
+    columns, without repeats)."""
+    counts = spark.read.parquet(f"{out}/counts")
+    return compare.merged_counts(counts, stored_weather(spark, raw), keys)

@@ -141,13 +141,15 @@ def read_months(
     """Several months of a feed as one table.
 
     The published files change types and gain columns over time, so each month is cast and
-    reduced to the columns that cleaning uses before the union.
+    reduced to the columns that cleaning uses before the union. ``file_year`` and ``file_month``
+    tell which file a row came from.
     """
     used = feed(code).kinds
 
     def month(year: int, number: int) -> DataFrame:
         trips = read_feed(spark, root, code, year, number)
-        return trips.select(*[c for c in used if c in trips.columns]) if used else trips
+        trips = trips.select(*[c for c in used if c in trips.columns]) if used else trips
+        return trips.withColumns({"file_year": F.lit(year), "file_month": F.lit(number)})
 
     return union_feeds([month(y, m) for y, m in months])
 
@@ -157,13 +159,16 @@ def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def trip_shape(trips: DataFrame, **renames: str) -> DataFrame:
-    """The four common columns; ``renames`` gives common name = the feed's name."""
-    return trips.select(*[F.col(f"`{renames.get(c, c)}`").alias(c) for c in schemas.TRIP_COLUMNS])
+FILE_COLUMNS = ["file_year", "file_month"]
 
 
-def literal_table(spark: SparkSession, rows: list[tuple], names: list[str]) -> DataFrame:
-    return spark.createDataFrame(rows, names)
+def trip_shape(trips: DataFrame, **renames: str) -> DataFrame:
+    """The four common columns, and the file's month if known; ``renames`` gives common name =
+    the feed's name."""
+    return trips.select(
+        *[F.col(f"`{renames.get(c, c)}`").alias(c) for c in schemas.TRIP_COLUMNS],
+        *[c for c in FILE_COLUMNS if c in trips.columns],
+    )
 
 
 def schema_report(df: DataFrame) -> DataFrame:

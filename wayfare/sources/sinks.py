@@ -14,26 +14,50 @@ def _observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
 
 
 def write_months(
-    trips: DataFrame, path: str, moment: str = "pickup_datetime", compact: bool = False
+    trips: DataFrame, path: str, months: list[tuple[int, int]], compact: bool = False
 ) -> int:
-    """Partitioned by year and month, so that month filters prune folders.
-
-    A feed arrives by month, so each task already holds one or two months. ``compact``
-    rebalances first (AQE then splits a month that holds much of the data over many tasks).
+    """Partitioned by year and month of the file a trip came from; replaces exactly ``months``.
+
+    Files hold some trips dated in a neighbouring month. Those stay with their file, so writing
+    one month again never touches another, and a month that became empty is emptied.
+    ``trips`` has the columns ``file_year`` and ``file_month``; a trip of a month that is not
+    named is an error, as its old rows would be lost. A feed arrives by month, so each task
+    already holds one or two months. ``compact`` rebalances first (AQE then splits a month that
+    holds much of the data over many tasks).
     """
-    keyed = trips.withColumns({"year": F.year(moment), "month": F.month(moment)})
+    named = F.array(*[F.lit(year * 100 + month) for year, month in months])
+    own = F.col("file_year") * 100 + F.col("file_month")
+    checked = trips.withColumn(
+        "file_year",
+        F.when(F.array_contains(named, own), F.col("file_year")).otherwise(
+            F.raise_error(F.concat(F.lit("trip of a month not named: "), F.coalesce(own.cast("string"), F.lit("null"))))
+        ),
+    )
+    keyed = checked.withColumnsRenamed({"file_year": "year", "file_month": "month"})
     if compact:
         keyed = keyed.hint("rebalance", "year", "month")
-    counted, seen = _observed(keyed, rows=F.count(F.lit(1)))
+    each = {
+        f"n{year}_{month}": F.count_if((F.col("year") == year) & (F.col("month") == month))
+        for year, month in months
+    }
+    counted, seen = _observed(keyed, rows=F.count(F.lit(1)), **each)
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("year", "month")
         .parquet(path)
     )
+    for year, month in months:
+        if not seen.get[f"n{year}_{month}"]:  # keeps no earlier rows
+            _delete(trips.sparkSession, f"{path}/year={year}/month={month}")
     return seen.get["rows"]
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def write_table(df: DataFrame, path: str) -> int:
     counted, seen = _observed(df, rows=F.count(F.lit(1)))
     counted.write.mode("overwrite").parquet(path)
