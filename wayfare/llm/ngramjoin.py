@@ -3,13 +3,14 @@
 Equal shingle sets are one node. Shingles have a global order, rare ones first: by the count of their
 cell in a fixed-size count table over the whole corpus, then by number. Two sets that are similar
 enough share a shingle in the first part of both, so candidates meet at these shingles only. For
-candidates, the order of shingle numbers is cut into fragments: the common shingles of a pair are
-counted in each fragment separately and summed per pair, which gives the exact similarity.
+candidates, the global order is cut into fragments: the common shingles of a pair are counted in each
+fragment separately and summed per pair, which gives the exact similarity.
 
 No group is expanded into all its pairs. First every node is compared with a few nodes of each shingle
-it shares; that joins most of a group of copies. Then only pairs whose nodes are still in different
-components are compared, after bounds on size, place and a bitmap of the sets, none of which can
-drop a link. Nodes and shingles are 64-bit hashes; everything else is exact.
+it shares, then with its nearest one in another component; that joins groups of copies. At last all
+pairs whose nodes are still in different components are compared, after bounds on size, place and a
+bitmap of the sets, none of which can drop a link. Nodes and shingles are 64-bit hashes; everything
+else is exact.
 """
 
 from __future__ import annotations
@@ -18,18 +19,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm import frames
 from wayfare.llm.components import components
-from wayfare.llm.shingles import mixed, set_numbers, shingle_sets
+from wayfare.llm.shingles import mixed, set_numbers, shingle_sets, sorted_inside
+from wayfare.operators.sides import bounded_side
 
 #: Cells of the count table: fixed, whatever the corpus; it is all that every task is sent.
-CELL_BITS = 18
+CELL_BITS = 20
+#: Cells in one row of partial counts.
+ROW_CELLS = 1 << 12
 #: Nodes that the others at a shingle are compared with at first.
 FIRST = 3
-#: Fragments of the order of shingle numbers.
+#: Fragments of the global order.
 FRAGMENTS = 4
 #: Bits of the bitmap of a set.
 BITMAP = 1024
@@ -38,6 +43,8 @@ BLOCK = 2000
 #: The membership filter of candidate nodes has 16 bits for each, at most this many.
 FILTER_BITS = 1 << 27
 
+#: Stands for a null id.
+NO_ID = -(1 << 63)
 SALT = np.uint64(0x2545F4914F6CDD1D)
 ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.uint8)
 
@@ -56,44 +63,85 @@ def _sets(batch: pa.RecordBatch, words: int):
         yield (first, *shingle_sets(data, offsets, words))
 
 
-def _cell_counts(docs: DataFrame, words: int) -> np.ndarray:
-    """How many shingles of the corpus fall into each cell."""
+def _cells(values: np.ndarray) -> np.ndarray:
+    return (values >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.int64)
-        for batch in batches:
-            for _, values, _ in _sets(batch, words):
-                cells = (values >> np.uint64(64 - CELL_BITS)).astype(np.int64)
-                total += np.bincount(cells, minlength=len(total))
-        used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int32)), pa.array(total[used])], names=["cell", "n"]
-        )
 
-    sums = docs.mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
-    found = sums.toArrow()  # at most 2 ** CELL_BITS rows
-    total = np.zeros(1 << CELL_BITS, np.int64)
-    total[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return total
+def _surveyed(docs: DataFrame, words: int) -> DataFrame:
+    """One pass over all texts, with two kinds of rows: of documents (doc_id, n_shingles, node, bitmap;
+    node is 0 for an empty set), and of ranges of cells (cells, salt, counts), with how many shingles a
+    task saw in each cell."""
 
+    def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-def _numbered(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, node (0 for an empty set) of every document."""
-
-    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1 << CELL_BITS, np.int64)
+        names = ["doc_id", "n_shingles", "node", "bitmap", "cells", "salt", "counts"]
         for batch in batches:
             for first, values, firsts in _sets(batch, words):
+                total += np.bincount(_cells(values), minlength=len(total))
                 sizes = np.diff(firsts)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, len(sizes)),
                         pa.array(sizes),
                         _signed(set_numbers(values, firsts)),
+                        pa.array(bitmaps(values, firsts), pa.binary()),
+                        *(pa.nulls(len(sizes), kind) for kind in (pa.int32(), pa.int32(), pa.binary())),
                     ],
-                    names=["doc_id", "n_shingles", "node"],
+                    names=names,
                 )
+        rows = total.reshape(-1, ROW_CELLS)
+        used = np.flatnonzero(rows.any(axis=1))
+        empty = [pa.nulls(len(used), kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.binary())]
+        salt = TaskContext.get().partitionId() % 64
+        yield pa.RecordBatch.from_arrays(
+            [
+                *empty,
+                pa.array(used.astype(np.int32)),
+                pa.array(np.full(len(used), salt, np.int32)),
+                pa.array([rows[k].tobytes() for k in used], pa.binary()),
+            ],
+            names=names,
+        )
+
+    schema = (
+        "doc_id long, n_shingles long, node long, bitmap binary, cells int, salt int, counts binary"
+    )
+    return docs.mapInArrow(survey, schema)
+
+
+def _cell_order(surveyed: DataFrame) -> np.ndarray:
+    """The place of every cell among all, by the count of shingles in it."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(ROW_CELLS, np.int64)
+        for counts in table.column("counts"):
+            total += np.frombuffer(counts.as_buffer(), np.int64)
+        return pa.table(
+            {"cells": table.column("cells")[:1], "salt": table.column("salt")[:1], "counts": [total.tobytes()]},
+            schema=pa.schema([("cells", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())]),
+        )
+
+    # In two steps, so that no group holds a row of every task.
+    sums = surveyed.filter("cells is not null").select("cells", "salt", "counts")
+    for keys in (["cells", "salt"], ["cells"]):
+        sums = sums.groupBy(*keys).applyInArrow(add, "cells int, salt int, counts binary")
+    found = sums.toArrow()  # at most 2 ** CELL_BITS counts
+    total = np.zeros((1 << CELL_BITS) // ROW_CELLS * ROW_CELLS, np.int64).reshape(-1, ROW_CELLS)
+    for cells, counts in zip(found.column("cells").to_pylist(), found.column("counts").to_pylist()):
+        total[cells] = np.frombuffer(counts, np.int64)
+    order = np.empty(total.size, np.uint32)
+    order[np.argsort(total.ravel(), kind="stable")] = np.arange(total.size, dtype=np.uint32)
+    return order
 
-    return docs.mapInArrow(number, "doc_id long, n_shingles long, node long")
+
+def _placed(values: np.ndarray, firsts: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """Shingles renumbered by the place of their cell, so that the global order is that of numbers;
+    ascending inside each text."""
+    low = values & np.uint64((1 << (64 - CELL_BITS)) - 1)
+    place = order[_cells(values)].astype(np.uint64)
+    return sorted_inside(place << np.uint64(64 - CELL_BITS) | low, firsts)
 
 
 def _prefixes(docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
@@ -104,7 +152,7 @@ def _prefixes(docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
     """
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = shared.value, set()
+        seen = set()
         for batch in batches:
             for _, values, firsts in _sets(batch, words):
                 sizes = np.diff(firsts)
@@ -114,21 +162,16 @@ def _prefixes(docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
                     if sizes[k] and node not in seen:
                         seen.add(node)
                         fresh[k] = True
-                owner = np.repeat(np.arange(len(sizes)), sizes)
-                keep = fresh[owner]
-                values, owner = values[keep], owner[keep]
-                rank = counts[(values >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
-                order = np.lexsort((values, rank, owner))
-                values, owner = values[order], owner[order]
-                place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-                size = sizes[owner]
-                front = place < size - (percent * size + 99) // 100 + 1
+                values = _placed(values, firsts, shared.value)
+                front = np.where(fresh, sizes - (percent * sizes + 99) // 100 + 1, 0)
+                at = frames.ranges(firsts[:-1], firsts[:-1] + front)
+                owner = np.repeat(np.arange(len(sizes)), front)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        _signed(values[front]),
-                        _signed(nodes[owner[front]]),
-                        pa.array(size[front].astype(np.int32)),
-                        pa.array(place[front].astype(np.int32)),
+                        _signed(values[at]),
+                        _signed(nodes[owner]),
+                        pa.array(sizes[owner].astype(np.int32)),
+                        pa.array((at - firsts[owner]).astype(np.int32)),
                     ],
                     names=["key", "node", "n", "place"],
                 )
@@ -208,20 +251,22 @@ def _met(prefixes: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(meet, f"key long, node long, n int, place int, {others}")
 
 
-def _filter_places(nodes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two bits of the membership filter for each node."""
-    found = (mixed(nodes), mixed(nodes ^ SALT))
+def _filter_places(nodes: np.ndarray, ids: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two bits of the membership filter for each node with its document."""
+    both = nodes + mixed(ids ^ SALT)
+    found = (mixed(both), mixed(both ^ SALT))
     return tuple((hashes & np.uint64(bits - 1)).astype(np.int64) for hashes in found)
 
 
 def _filter_of(nodes: DataFrame) -> np.ndarray:
-    """The membership filter, as words of 32 bits."""
+    """The membership filter of (node, doc) rows, as words of 32 bits."""
     count = nodes.count()
     bits = 1 << max(16, min(FILTER_BITS, 16 * max(count, 1)).bit_length() - 1)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = np.concatenate(_filter_places(_unsigned(batch.column(0)), bits))
+            own = (_unsigned(batch.column(0)), _unsigned(batch.column(1)))
+            at = np.concatenate(_filter_places(*own, bits))
             yield pa.RecordBatch.from_arrays(
                 [pa.array((at >> 5).astype(np.int32)), pa.array(np.int64(1) << (at & 31))],
                 names=["word", "bits"],
@@ -234,159 +279,206 @@ def _filter_of(nodes: DataFrame) -> np.ndarray:
     return table
 
 
-def _segments(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
-    """node, fragment, part (its shingles there, ascending) and bitmap (in fragment 0) of the
-    given nodes, and of a few others that the filter lets through."""
-    shared = docs.sparkSession.sparkContext.broadcast(_filter_of(nodes))
+def _segments(docs: DataFrame, words: int, nodes: DataFrame, shared) -> DataFrame:
+    """node, doc, fragment and part (its shingles there, ascending) of the given (node, doc) rows, and
+    of a few others that the filter lets through."""
+    asked = docs.sparkSession.sparkContext.broadcast(_filter_of(nodes))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = shared.value, set()
+        known, seen = asked.value, set()
         for batch in batches:
-            for _, values, firsts in _sets(batch, words):
+            ids = pc.fill_null(batch.column(0), NO_ID)
+            for first, values, firsts in _sets(batch, words):
                 found = set_numbers(values, firsts)
+                own_ids = _unsigned(ids.slice(first, len(found)))
                 kept = found != 0
-                for at in _filter_places(found, len(known) * 32):
+                for at in _filter_places(found, own_ids, len(known) * 32):
                     kept &= (known[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1
                 rows = []
                 for k in np.flatnonzero(kept):
-                    node = int(found[k])
-                    if node in seen:
+                    node, doc = int(found[k]), int(own_ids[k])
+                    if (node, doc) in seen:
                         continue
-                    seen.add(node)
+                    seen.add((node, doc))
                     own = values[firsts[k] : firsts[k + 1]]
+                    own = _placed(own, np.array([0, len(own)]), shared.value)
                     cuts = np.searchsorted(own >> np.uint64(62), np.arange(FRAGMENTS + 1))
                     for part in range(FRAGMENTS):
                         piece = own[cuts[part] : cuts[part + 1]].tobytes()
-                        rows.append((node, part, piece, bitmap(own) if part == 0 else None))
+                        rows.append((node, doc, part, piece))
                 if rows:
-                    own_nodes, parts, pieces, maps = zip(*rows)
+                    own_nodes, own_docs, parts, pieces = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
                         [
                             _signed(np.array(own_nodes, np.uint64)),
+                            _signed(np.array(own_docs, np.uint64)),
                             pa.array(parts, pa.int32()),
                             pa.array(pieces, pa.binary()),
-                            pa.array(maps, pa.binary()),
                         ],
-                        names=["node", "fragment", "part", "bitmap"],
+                        names=["node", "doc", "fragment", "part"],
                     )
 
-    found = docs.mapInArrow(cut, "node long, fragment int, part binary, bitmap binary")
-    return found.dropDuplicates(["node", "fragment"])
+    return frames.written(docs.mapInArrow(cut, "node long, doc long, fragment int, part binary"))
+
 
+def bitmaps(values: np.ndarray, firsts: np.ndarray) -> list[bytes]:
+    """Of every set; bit k is the parity of the shingles that fall on it: two sets differ in at least
+    as many shingles as their bitmaps differ in bits."""
+    count = len(firsts) - 1
+    owner = np.repeat(np.arange(count), np.diff(firsts))
+    at = owner * BITMAP + (values % np.uint64(BITMAP)).astype(np.int64)
+    bits = (np.bincount(at, minlength=count * BITMAP) & 1).astype(np.uint8)
+    packed = np.packbits(bits).reshape(count, BITMAP // 8)
+    return [row.tobytes() for row in packed]
 
-def bitmap(values: np.ndarray) -> bytes:
-    """Bit k is the parity of the shingles that fall on it: two sets differ in at least as many
-    shingles as their bitmaps differ in bits."""
-    counts = np.bincount((values % np.uint64(BITMAP)).astype(np.int64), minlength=BITMAP)
-    return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
+def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may be links by their bitmaps, with sizes and documents: a, n_a, doc_a,
+    b, n_b, doc_b."""
 
-def _linked(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, n_a, b, n_b) that are links, by partial overlaps summed over fragments."""
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch.column(1).to_numpy(), batch.column(4).to_numpy()
+            maps = [_bits(batch.column(k)) for k in (6, 7)]
+            differ = ONES[maps[0] ^ maps[1]].sum(axis=1, dtype=np.int64)
+            kept = differ <= n_a.astype(np.int64) + n_b - 2 * least_overlap(n_a, n_b, percent)
+            left = batch.filter(pa.array(kept))
+            yield pa.RecordBatch.from_arrays(left.columns[:6], names=left.schema.names[:6])
+
+    for end in ("a", "b"):
+        own = nodes.select(
+            F.col("node").alias(end), F.col("n").alias(f"n_{end}"), F.col("doc").alias(f"doc_{end}"),
+            F.col("bitmap").alias(f"map_{end}"),
+        )
+        pairs = pairs.join(own, end)
+    pairs = pairs.select("a", "n_a", "doc_a", "b", "n_b", "doc_b", "map_a", "map_b")
+    return pairs.mapInArrow(
+        compare, "a long, n_a int, doc_a long, b long, n_b int, doc_b long"
+    )
+
+
+def _bits(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), BITMAP // 8)
+
+
+def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
+    """The pairs of _likely() that are links, by partial overlaps summed over fragments."""
+    ends = pairs.select(F.col("a").alias("node"), F.col("doc_a").alias("doc")).unionByName(
+        pairs.select(F.col("b").alias("node"), F.col("doc_b").alias("doc"))
+    )
+    segments = _segments(docs, words, ends.distinct(), shared)
 
     def overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             counts = [
                 len(np.intersect1d(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), True))
-                for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())
+                for x, y in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(counts, pa.int64())],
-                names=["a", "n_a", "b", "n_b", "common"],
+                [*batch.columns[:5], pa.array(counts, pa.int64())],
+                names=["a", "n_a", "b", "n_b", "fragment", "common"],
             )
 
-    left = segments.select(F.col("node").alias("a"), "fragment", F.col("part").alias("part_a"))
-    right = segments.select(F.col("node").alias("b"), "fragment", F.col("part").alias("part_b"))
-    joined = pairs.join(left, "a").join(right, ["b", "fragment"])
-    partial = joined.select("a", "n_a", "b", "n_b", "part_a", "part_b").mapInArrow(
-        overlap, "a long, n_a int, b long, n_b int, common long"
+    left = segments.select(
+        F.col("node").alias("a"), F.col("doc").alias("doc_a"), "fragment", F.col("part").alias("part_a")
     )
-    total = partial.groupBy("a", "n_a", "b", "n_b").agg(F.sum("common").alias("common"))
-    union = F.col("n_a") + F.col("n_b") - F.col("common")
-    return total.filter(F.col("common") * 100 >= union * percent).select("a", "b")
-
-
-def _across(met: DataFrame, labels: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
-    """Pairs at a shingle whose nodes are in different components and may be links."""
-    rows = met.select("key", "node", "n", "place").join(labels, "node", "left")
-    rows = frames.written(rows.withColumn("label", F.coalesce("label", "node")))
-    mixed_keys = rows.groupBy("key").agg(
-        F.min("label").alias("__low"), F.max("label").alias("__high"), F.count("*").alias("__n")
+    right = segments.select(
+        F.col("node").alias("b"), F.col("doc").alias("doc_b"), "fragment", F.col("part").alias("part_b")
+    )
+    joined = pairs.join(left, ["a", "doc_a"]).join(right, ["b", "doc_b", "fragment"])
+    partial = joined.select("a", "n_a", "b", "n_b", "fragment", "part_a", "part_b").mapInArrow(
+        overlap, "a long, n_a int, b long, n_b int, fragment int, common long"
     )
-    mixed_keys = mixed_keys.filter("__low <> __high").select(
-        "key", F.ceil(F.col("__n") / BLOCK).cast("int").alias("__blocks")
+    # A document that is repeated as a whole gives the same partial count again.
+    each = [F.max(F.when(F.col("fragment") == k, F.col("common"))) for k in range(FRAGMENTS)]
+    total = partial.groupBy("a", "n_a", "b", "n_b").agg(
+        *(own.alias(f"c{k}") for k, own in enumerate(each))
     )
-    maps = segments.filter("fragment = 0").select("node", "bitmap")
-    own = F.pmod(F.xxhash64("node"), F.col("__blocks")).cast("int")
-    rows = rows.join(mixed_keys, "key").join(maps, "node").withColumn("__own", own)
+    common = sum((F.coalesce(f"c{k}", F.lit(0)) for k in range(FRAGMENTS)), F.lit(0))
+    union = F.col("n_a") + F.col("n_b") - common
+    return total.filter(common * 100 >= union * percent).select("a", "b")
+
+
+def _crowded(met: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The rows of shingles with more nodes than were compared one by one, with their bitmaps and the
+    number of blocks."""
+    counts = met.groupBy("key").agg(F.count("*").alias("__n")).filter(F.col("__n") > FIRST + 1)
+    counts = counts.select("key", F.ceil(F.col("__n") / BLOCK).cast("int").alias("blocks"))
+    rows = met.select("key", "node", "n", "place").join(counts, "key")
+    return frames.written(rows.join(nodes.select("node", "bitmap"), "node"))
+
+
+def _across(crowded: DataFrame, labels: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs (a, b) at a shingle whose nodes are in different components and may be links: all of
+    them, or for each node only the one whose bitmap is nearest."""
+    rows = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A row meets every block of its shingle once: in the blocks (own, j) and (j, own).
-    rows = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("__blocks") - 1)))
+    rows = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select(
-        "key", "node", "n", "place", "label", "bitmap", "__own",
-        F.least("__own", "__j").alias("__low"), F.greatest("__own", "__j").alias("__high"),
+        "key", "node", "n", "place", "label", "bitmap", "own",
+        F.least("own", "__j").alias("low"), F.greatest("own", "__j").alias("high"),
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[pa.RecordBatch] = []
         for batch in batches:
             table = pa.Table.from_batches([*waiting, batch]).combine_chunks()
-            names = [table.column(k).to_numpy() for k in (0, 7, 8)]
-            new = np.flatnonzero(
-                np.logical_or.reduce([name[1:] != name[:-1] for name in names])
-            ) + 1
+            new = _borders(table)
             if len(new):  # all but the last block are complete
-                yield from _pairs_of(table.slice(0, new[-1]), percent)
+                yield from _pairs_of(table.slice(0, new[-1]), percent, nearest)
                 waiting = table.slice(new[-1]).to_batches()
             else:
                 waiting = table.to_batches()
         if waiting:
-            yield from _pairs_of(pa.Table.from_batches(waiting).combine_chunks(), percent)
+            yield from _pairs_of(pa.Table.from_batches(waiting).combine_chunks(), percent, nearest)
+
+    dealt = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high")
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
 
-    dealt = rows.repartition("key", "__low", "__high").sortWithinPartitions("key", "__low", "__high")
-    return dealt.mapInArrow(compare, "a long, n_a int, b long, n_b int").distinct()
+def _borders(table: pa.Table) -> np.ndarray:
+    """Where a new block begins."""
+    names = [table.column(k).to_numpy() for k in (0, 7, 8)]
+    return np.flatnonzero(np.logical_or.reduce([name[1:] != name[:-1] for name in names])) + 1
 
 
-def _pairs_of(table: pa.Table, percent: int) -> Iterator[pa.RecordBatch]:
+def _pairs_of(table: pa.Table, percent: int, nearest: bool) -> Iterator[pa.RecordBatch]:
     """The pairs of whole blocks."""
     if not table.num_rows:
         return
-    key, node, n, place, label, own, low, high = (
-        table.column(k).to_numpy() for k in (0, 1, 2, 3, 4, 6, 7, 8)
-    )
-    maps = np.frombuffer(b"".join(table.column(5).to_pylist()), np.uint8).reshape(len(key), -1)
-    new = np.flatnonzero((key[1:] != key[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])) + 1
+    node, n, place, label, own, low, high = (table.column(k).to_numpy() for k in (1, 2, 3, 4, 6, 7, 8))
+    maps = _bits(table.column(5).combine_chunks())
+    new = _borders(table)
     out: list[np.ndarray] = []
-    for first, last in zip([0, *new], [*new, len(key)]):
+    for first, last in zip([0, *new], [*new, len(node)]):
+        if (label[first:last] == label[first]).all():
+            continue
         block = np.arange(first, last)
         same = low[first] == high[first]
         others = block if same else block[own[block] == high[first]]
         for at in block if same else block[own[block] == low[first]]:
-            b = others[others > at] if same else others
+            b = others[others > at] if same and not nearest else others
             b = b[label[b] != label[at]]
             b = b[possible(n[at], place[at], n[b], place[b], percent)]
             if not len(b):
                 continue
             differ = ONES[maps[b] ^ maps[at]].sum(axis=1, dtype=np.int64)
-            b = b[differ <= n[at] + n[b] - 2 * least_overlap(n[b], n[at], percent)]
+            near = differ <= n[at] + n[b] - 2 * least_overlap(n[b], n[at], percent)
+            b = b[near]
+            if len(b) and nearest:
+                b = b[[differ[near].argmin()]]
             if len(b):
-                out.append(np.stack([np.full(len(b), node[at]), np.full(len(b), n[at]), node[b], n[b]]))
+                out.append(np.stack([np.full(len(b), node[at]), node[b]]))
     if out:
-        a, n_a, b, n_b = np.unique(np.concatenate(out, axis=1), axis=1)
-        yield _ordered(a, n_a, b, n_b)
-
-
-def _ordered(a, n_a, b, n_b) -> pa.RecordBatch:
-    turn = a > b
-    columns = [np.where(turn, b, a), np.where(turn, n_b, n_a), np.where(turn, a, b), np.where(turn, n_a, n_b)]
-    kinds = (np.int64, np.int32, np.int64, np.int32)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(column.astype(kind)) for column, kind in zip(columns, kinds)],
-        names=["a", "n_a", "b", "n_b"],
-    )
+        found = np.concatenate(out, axis=1)
+        found = np.unique(np.sort(found, axis=0), axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(found[0]), pa.array(found[1])], names=["a", "b"])
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id.
+    """One row per document: doc_id, n_shingles, component_id, and node (the number of its set, 0 if
+    that is empty).
 
     Two documents are linked if 100 * common >= percent * union of their sets of distinct `words`-word
     shingles; a text of fewer words is one shingle. component_id is the least doc_id reached by
@@ -395,44 +487,35 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     all of a component are) or repeat. Other columns are not read.
     """
     docs = frames.texts(docs)
-    numbered = frames.written(_numbered(docs, words))
-    shared = docs.sparkSession.sparkContext.broadcast(_cell_counts(docs, words))
-    met = frames.written(_met(_prefixes(docs, words, percent, shared), percent))
-    nodes = met.select("node").distinct()
-    segments = frames.written(_segments(docs, words, nodes))
-    sizes = numbered.filter("node <> 0").groupBy("node").agg(
-        F.max("n_shingles").cast("int").alias("n")
+    surveyed = frames.written(_surveyed(docs, words))
+    shared = docs.sparkSession.sparkContext.broadcast(_cell_order(surveyed))
+    numbered = surveyed.filter("cells is null")
+    nodes = numbered.filter("node <> 0").groupBy("node").agg(
+        F.first("n_shingles").cast("int").alias("n"),
+        F.first("bitmap").alias("bitmap"),
+        F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("doc"),
     )
-    first = None
-    for k in range(FIRST):
-        own = met.filter(F.col(f"other{k}").isNotNull()).select(
-            F.col("node").alias("x"), "n", F.col(f"other{k}").alias("y")
-        )
-        first = own if first is None else first.unionByName(own)
+    met = frames.written(_met(_prefixes(docs, words, percent, shared), percent))
+    nodes = frames.written(nodes.join(met.select("node").distinct(), "node", "left_semi"))
+    first = met.select(
+        "node", F.explode(F.array(*(f"other{k}" for k in range(FIRST)))).alias("other")
+    ).filter("other is not null")
     first = first.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")
-    ).filter("a <> b").distinct()
-    first = first.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("n_a")), "a").join(
-        sizes.select(F.col("node").alias("b"), F.col("n").alias("n_b")), "b"
-    )
-    links = frames.written(_linked(first, segments, percent))
-    labels = components(links)
-    across = _across(met, labels, segments, percent)
-    more = _linked(across, segments, percent)
-    # Links between components join their labels.
-    ends = more
-    for end in ("a", "b"):
-        named = labels.select(F.col("node").alias(end), F.col("label").alias(f"__{end}"))
-        ends = ends.join(named, end, "left").withColumn(f"__{end}", F.coalesce(f"__{end}", end))
-    bridges = ends.select(F.col("__a").alias("a"), F.col("__b").alias("b"))
-    joined = components(bridges).select(F.col("node").alias("label"), F.col("label").alias("__top"))
-    bridged = more.select(F.col("a").alias("node")).unionByName(
-        more.select(F.col("b").alias("node"))
-    )
-    known = labels.select("node").unionByName(bridged).distinct()
-    tops = known.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    tops = tops.join(joined, "label", "left").select("node", F.coalesce("__top", "label").alias("__top"))
-    placed = numbered.join(tops, "node", "left").withColumn(
+        F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
+    ).distinct()
+    first = frames.written(_likely(first, nodes, percent))
+    links = frames.written(_linked(first, docs, words, percent, shared))
+    crowded = _crowded(met, nodes)
+    for nearest in (True, False):
+        labels = frames.written(components(links))
+        across = frames.written(_likely(_across(crowded, labels, percent, nearest), nodes, percent))
+        if across.isEmpty():
+            continue
+        more = _linked(across, docs, words, percent, shared)
+        stars = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
+        links = frames.written(stars.unionByName(more))
+    tops = components(links).select("node", F.col("label").alias("__top"))
+    placed = numbered.select("doc_id", "n_shingles", "node").join(tops, "node", "left").withColumn(
         "__top", F.when(F.col("node") != 0, F.coalesce("__top", "node"))
     )
     least = placed.filter("__top is not null").groupBy("__top").agg(
@@ -442,9 +525,47 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         "doc_id",
         "n_shingles",
         F.when(F.col("node") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+        "node",
     )
 
 
+def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The documents without all but one of every component: the one with the least id stays.
+
+    Documents without shingles all stay. Of rows that repeat the id and the shingles of the one that
+    stays, one stays. Null ids go if their component has another id. Columns are as they were.
+    """
+    found = frames.written(near_duplicates(docs, words, percent).filter("node <> 0"))
+    found = found.withColumn("__stays", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    gone = found.filter("not __stays").select("doc_id", "node").distinct()
+    repeated = found.filter("__stays").groupBy("doc_id", "node").count().filter("count > 1")
+    numbered = _with_node(frames.with_rows(docs), words)
+
+    def apart(side: DataFrame, how: str) -> DataFrame:
+        side = bounded_side(side.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")))
+        same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("node") == F.col("__node"))
+        return numbered.join(side, same, how)
+
+    if repeated.isEmpty():
+        return apart(gone, "left_anti").select("row.*")
+    once = apart(gone.unionByName(repeated.select("doc_id", "node")), "left_anti")
+    nth = F.row_number().over(Window.partitionBy("doc_id", "node").orderBy(F.xxhash64("row")))
+    again = apart(repeated, "left_semi").withColumn("__nth", nth).filter("__nth = 1")
+    return once.select("row.*").unionByName(again.select("row.*"))
+
+
+def _with_node(docs: DataFrame, words: int) -> DataFrame:
+    """doc_id, node and row of the documents."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes = [set_numbers(values, firsts) for _, values, firsts in _sets(batch, words)]
+            nodes = np.concatenate(nodes) if nodes else np.zeros(0, np.uint64)
+            yield frames.carried(batch, [batch.column(0), _signed(nodes)], ["doc_id", "node"])
+
+    return docs.mapInArrow(number, frames.carrying("doc_id long, node long", docs))
+
+
 SQL = r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(
@@ -475,4 +596,5 @@ JOIN (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id) US
 
 
 def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
-    return near_duplicates(frames.table(spark, folder, "documents"))
+    found = near_duplicates(frames.table(spark, folder, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id")

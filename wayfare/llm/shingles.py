@@ -45,7 +45,7 @@ def mixed(values: np.ndarray) -> np.ndarray:
 
 
 def set_numbers(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """A 64-bit number of every set, the same for equal sets; 0 for empty ones."""
+    """A 64-bit number of every set, the same for equal sets in any order; 0 for empty ones."""
     sizes = np.diff(firsts)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(values + MIX[1]))])
     found = mixed((sums[firsts[1:]] - sums[firsts[:-1]]) ^ mixed(sizes.astype(np.uint64)))
@@ -53,6 +53,13 @@ def set_numbers(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     return found
 
 
+def sorted_inside(values: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+    """The values, ascending inside each text; in place."""
+    for first, end in zip(firsts[:-1].tolist(), firsts[1:].tolist()):
+        values[first:end].sort()
+    return values
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(hash of each word of all texts, number of words before each text and at the end).
 
@@ -101,8 +108,9 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> tuple[np.
         extra = mixed(extra + counts[short].astype(np.uint64))
         values = np.concatenate([values, extra])
         owners = np.concatenate([owners, short])
-    order = np.lexsort((values, owners))
-    values, owners = values[order], owners[order]
+        order = np.argsort(owners, kind="stable")
+        values, owners = values[order], owners[order]
+    values = sorted_inside(values, np.searchsorted(owners, np.arange(len(counts) + 1)))
     new = np.ones(len(values), bool)
     new[1:] = (values[1:] != values[:-1]) | (owners[1:] != owners[:-1])
     values, owners = values[new], owners[new]
