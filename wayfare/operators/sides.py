@@ -50,6 +50,12 @@ def bounded_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     limit it is returned without a hint: Spark then shuffles both inputs and AQE splits the
     hot keys, which is exact too because every caller joins against unique keys.
     """
+    kept, size = measured(df)
+    return F.broadcast(kept) if size <= limit else kept
+
+
+def measured(df: DataFrame) -> tuple[DataFrame, int]:
+    """The frame computed once into the shared folder, and its estimated bytes."""
     row = reduce(
         lambda total, f: total + _value_bytes(F.col(f"`{f.name}`"), f.dataType),
         df.schema.fields,
@@ -57,7 +63,7 @@ def bounded_side(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame:
     )
     size = Observation()
     kept = materialise(df.observe(size, F.sum(row.cast("long")).alias("bytes")))
-    return F.broadcast(kept) if (size.get["bytes"] or 0) <= limit else kept
+    return kept, size.get["bytes"] or 0
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:

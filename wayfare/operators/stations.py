@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wayfare.operators.sides import bounded_side
+from wayfare.operators.sides import BROADCAST_LIMIT, bounded_side, materialise, measured
 
 # Fixed value: largest coordinate deviation, in degrees, of a renamed station.
 NEAR_DEGREES = 0.000005
@@ -84,8 +84,9 @@ def near_matches(
 
     The places are put on a grid finer than the radius. A right point in the left point's
     own or an adjoining cell is surely near, so such cells only contribute their lowest
-    key: a cell with any number of points is one row. Only cells at the rim are compared
-    point by point, after copies of one place were reduced to their lowest key.
+    key: a cell with any number of points is one row. Cells at the rim are compared point by
+    point, but only those, and of them only the points, whose key is not above the one already
+    found: among many points near many others that leaves few.
     """
     width = radius / CELLS_PER_RADIUS
 
@@ -108,10 +109,18 @@ def near_matches(
     )
     sure = (F.abs("dx") <= SURE_CELLS) & (F.abs("dy") <= SURE_CELLS)
 
-    inner = around.filter(sure).join(whole_cells, ["cx", "cy"]).select(lx, ly, "hit")
+    # One pass over the cells around: the best sure hit, and the rim cells that could beat it.
+    reached = around.withColumn("sure", sure).join(whole_cells, ["cx", "cy"]).groupBy(lx, ly).agg(
+        F.min(F.when(F.col("sure"), F.col("hit"))).alias("best"),
+        F.collect_list(F.when(~F.col("sure"), F.struct("cx", "cy", F.col(f"hit.{key}").alias("low")))).alias("rim"),
+    )
+    reached = materialise(reached)
+    inner = reached.filter("best is not null").select(lx, ly, F.col("best").alias("hit"))
+    open_rim = F.filter("rim", lambda c: F.col("best").isNull() | (c["low"] <= F.col(f"best.{key}")))
     rim = (
-        around.filter(~sure)
+        reached.select(lx, ly, "best", F.inline(open_rim))
         .join(places, ["cx", "cy"])
+        .filter(F.col("best").isNull() | (F.col(key) <= F.col(f"best.{key}")))
         .filter((F.abs(F.col(lx) - F.col(rx)) < radius) & (F.abs(F.col(ly) - F.col(ry)) < radius))
         .select(lx, ly, candidate.alias("hit"))
     )
@@ -159,12 +168,20 @@ def _crossings(ring: Column, x: Column, y: Column) -> Column:
     return F.size(F.filter(crossings, lambda hit: hit))
 
 
-def zone_cells(zones: DataFrame, cell: float = ZONE_CELL) -> DataFrame:
-    """Lookup cells: for each grid cell, the zones whose bounding box touches it, by id.
+def gathered_rings(zones: DataFrame) -> DataFrame:
+    """``zones`` (one row per ring: ``zone_id``, ``ring``) with all rings of a zone together, holes and
+    islands included; a point is inside if they together cross oddly."""
+    return zones.groupBy("zone_id").agg(F.collect_list("ring").alias("rings"))
+
 
-    ``zones`` has one row per ring (``zone_id``, ``ring``); the rings of a zone are gathered,
-    holes and islands included, and a point is inside if all rings together cross oddly.
+def zone_cells(gathered: DataFrame, cell: float = ZONE_CELL) -> DataFrame:
+    """Lookup cells: for each grid cell, the ids of the zones that may contain a point of it, and
+    whether they contain all of it (``sure``).
+
+    A cell that no edge's bounding box touches is wholly inside or outside; its centre tells which,
+    and outside it is no row. ``gathered`` has the rings of each zone.
     """
+
     def bound(axis: str, pick) -> Column:
         return pick(F.flatten(F.transform("rings", lambda r: F.transform(r, lambda p: p[axis]))))
 
@@ -173,15 +190,48 @@ def zone_cells(zones: DataFrame, cell: float = ZONE_CELL) -> DataFrame:
             F.floor(bound(axis, F.array_min) / cell), F.floor(bound(axis, F.array_max) / cell)
         )
 
-    gathered = zones.groupBy("zone_id").agg(F.collect_list("ring").alias("rings"))
+    left, low = F.col("cx") * cell, F.col("cy") * cell
+    # A little wider than the cell, so that rounding cannot call a touched cell untouched.
+    slack = cell * 1e-6
+
+    def touches(a: Column, b: Column) -> Column:
+        return (
+            (F.greatest(a["x"], b["x"]) >= left - slack)
+            & (F.least(a["x"], b["x"]) <= left + cell + slack)
+            & (F.greatest(a["y"], b["y"]) >= low - slack)
+            & (F.least(a["y"], b["y"]) <= low + cell + slack)
+        )
+
+    def touched(ring: Column) -> Column:
+        closed = F.concat(ring, F.slice(ring, 1, 1))
+        edges = F.size(ring)
+        return F.exists(
+            F.zip_with(F.slice(closed, 1, edges), F.slice(closed, 2, edges), touches), lambda hit: hit
+        )
+
+    cells = gathered.withColumn("cx", F.explode(span("x"))).withColumn("cy", F.explode(span("y")))
+    classed = cells.withColumns(
+        {
+            "sure": ~F.exists("rings", touched),
+            "inside": _inside(F.col("rings"), left + cell / 2, low + cell / 2),
+        }
+    )
     return (
-        gathered.withColumn("cx", F.explode(span("x")))
-        .withColumn("cy", F.explode(span("y")))
+        classed.filter("not sure or inside")
         .groupBy("cx", "cy")
-        .agg(F.sort_array(F.collect_list(F.struct("zone_id", "rings"))).alias("candidates"))
+        .agg(F.sort_array(F.collect_list(F.struct("zone_id", "sure"))).alias("candidates"))
     )
 
 
+def _inside(rings: Column, x: Column, y: Column) -> Column:
+    total = F.aggregate(
+        F.transform(rings, lambda ring: _crossings(ring, x, y)),
+        F.lit(0),
+        lambda count, ring_count: count + ring_count,
+    )
+    return total % 2 == 1
+
+
 def with_zone(
     points: DataFrame,
     zones: DataFrame,
@@ -193,25 +243,26 @@ def with_zone(
     """Adds the lowest id among the zones containing the point, or null.
 
     Each point looks up one grid cell, so points are neither multiplied nor regrouped, and
-    with a broadcast lookup they are not shuffled either. The polygons, not the points, are
-    what is gathered per cell.
+    with a broadcast lookup they are not shuffled either. The lookup holds ids; rings are only
+    looked at for cells on a zone's edge, from one map of all zones. Zones whose rings are too
+    large for that (``BROADCAST_LIMIT``) are refused: cut them into parts first.
     """
     px, py = F.col(x), F.col(y)
-    lookup = bounded_side(zone_cells(zones, cell))
+    gathered, size = measured(gathered_rings(zones))
+    if size > BROADCAST_LIMIT:
+        raise ValueError("the zones' rings are too large to be sent to all tasks")
+    rings = gathered.agg(F.map_from_entries(F.collect_list(F.struct("zone_id", "rings")))).scalar()
+    lookup = bounded_side(zone_cells(gathered, cell))
 
     def contains(zone: Column) -> Column:
-        total = F.aggregate(
-            F.transform(zone["rings"], lambda ring: _crossings(ring, px, py)),
-            F.lit(0),
-            lambda count, ring_count: count + ring_count,
-        )
-        return total % 2 == 1
+        return zone["sure"] | _inside(F.col("_rings")[zone["zone_id"]], px, py)
 
     located = points.withColumns({"cx": F.floor(px / cell), "cy": F.floor(py / cell)}).join(
         lookup, ["cx", "cy"], "left"
     )
     first = F.get(F.filter(F.col("candidates"), contains), F.lit(0))
-    return located.withColumn(name, first["zone_id"]).drop("cx", "cy", "candidates")
+    found = located.withColumn("_rings", rings).withColumn(name, first["zone_id"])
+    return found.drop("cx", "cy", "candidates", "_rings")
 
 
 def station_zones(
@@ -219,4 +270,4 @@ def station_zones(
 ) -> DataFrame:
     """The station dimension with its zone; stations outside all zones are dropped."""
     stations = station_dimension(rides, start, end, clock)
-    return with_zone(stations, zones, name="Taxi area code").na.drop().orderBy("id")
+    return with_zone(stations, zones, name="Taxi area code").na.drop()
