@@ -663,6 +663,51 @@ def glm_eval(spark, folder):
     return fits.regression_metrics(scored.filter("split IS NOT NULL"), "split")
 
 
+@query(
+    "glm_terms",
+    with_trips(
+        _mode_sql("taxis")
+        + """, groups AS (SELECT peak_hours AS p, avg(trip_duration) AS m FROM processed
+  WHERE trip_duration > 0 GROUP BY 1)
+SELECT 'peak_hours' AS term, round(ln((SELECT m FROM groups WHERE p = 1) / (SELECT m FROM groups WHERE p = 0)), 4)
+  AS coefficient
+UNION ALL SELECT '(intercept)', round(ln((SELECT m FROM groups WHERE p = 0)), 4)""",
+        study=True,
+    ),
+)
+def glm_terms(spark, folder):
+    """A log-linear model on one yes-or-no feature, unpenalised: its predictions are group means."""
+    from pyspark.ml.feature import VectorAssembler
+
+    trips = study_mode(spark, folder, "taxis").filter("trip_duration > 0")
+    table = cells.label_cells(trips.select("peak_hours", "trip_duration"), "trip_duration", ["peak_hours"])
+    ready = VectorAssembler(inputCols=["peak_hours"], outputCol="features").transform(materialise(table))
+    summary = fits.glm_summary(fits.fit_log_linear(ready, penalty=0.0), ["peak_hours"])
+    return summary.filter("term IN ('peak_hours', '(intercept)')").select(
+        "term", F.round("coefficient", 4).alias("coefficient")
+    )
+
+
+_SUMMED = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "quality_summary",
+    " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", count({c}) AS \"count\", round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
+        f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
+        f"CAST(max({c}) AS DOUBLE) AS max FROM lineitem"
+        for c in _SUMMED
+    ),
+)
+def quality_summary(spark, folder):
+    """The summary part of the quality report of a raw table (its quartiles are approximate)."""
+    raw = spark.read.parquet(f"{folder}/lineitem.parquet").select(*_SUMMED, "l_returnflag")
+    _, _, summary = reports.quality_report(raw, [filters.passenger_rule("l_quantity")])
+    rounded = [F.round(c, 6).alias(c) for c in ("mean", "stddev")]
+    return summary.select("column", "count", *rounded, "min", "max")
+
+
 # ---- evaluation of a fixed rule, which SQL can follow ----
 
 _RULED = f""", {_PAIRED}, ruled AS (

@@ -39,13 +39,13 @@ def fit_boosted(train: DataFrame, iterations: int = GBT_ITERATIONS, depth: int =
     ).fit(train)
 
 
-def fit_log_linear(train: DataFrame):
+def fit_log_linear(train: DataFrame, penalty: float = GLM_REGULARISATION):
     """Gaussian with a log link: every label must be positive."""
     return GeneralizedLinearRegression(
         family="gaussian",
         link="log",
         maxIter=GLM_ITERATIONS,
-        regParam=GLM_REGULARISATION,
+        regParam=penalty,
         weightCol="weight",
     ).fit(train.filter(F.col("label") > 0))
 

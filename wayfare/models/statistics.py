@@ -31,15 +31,18 @@ def value_counts(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
-def exact_quantiles(counts: DataFrame, shares: list[float]) -> DataFrame:
+def exact_quantiles(counts: DataFrame, shares: list[float], most: int = 1_000_000) -> DataFrame:
     """For each share the smallest value whose cumulative count reaches it.
 
-    The running total is over the distinct values of :func:`value_counts`, a table bounded
-    by the duration limit.
+    The running total is over the distinct values of :func:`value_counts` in one task. Durations
+    have few; a table with more than ``most`` distinct values is refused.
     """
     upto = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    running = counts.select(
+    # One row more than allowed is enough to tell, so no task ever gets the whole of a larger table.
+    place = F.row_number().over(Window.orderBy("value"))
+    told = F.when(place > most, F.raise_error(F.lit(f"more than {most} distinct values"))).otherwise(F.col("n"))
+    running = counts.limit(most + 1).withColumn("n", told.cast("long")).select(
         "value",
         F.sum("n").over(upto).alias("reached"),
         F.sum("n").over(everything).alias("total"),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wayfare.functions.calendar import minutes
 from wayfare.operators import filters
@@ -157,12 +158,39 @@ def null_report(df: DataFrame) -> DataFrame:
 
 
 def summary_report(df: DataFrame, *columns: str) -> DataFrame:
-    """Count, mean, deviation, extremes and approximate quartiles of the columns."""
-    return (df.select(*columns) if columns else df).summary()
+    """One row per numeric column: non-null count, mean, sample deviation, extremes and approximate
+    quartiles, all in one pass."""
+    numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
+    chosen = list(columns) or numeric
+    figures = {
+        "count": lambda v: F.count(v),
+        "mean": lambda v: F.avg(v),
+        "stddev": lambda v: F.stddev_samp(v),
+        "min": lambda v: F.min(v),
+        "max": lambda v: F.max(v),
+        "quartiles": lambda v: F.percentile_approx(v, [0.25, 0.5, 0.75]),
+    }
+    one = df.agg(
+        *[
+            figure(F.col(f"`{c}`").cast("double")).alias(f"{name}{i}")
+            for i, c in enumerate(chosen)
+            for name, figure in figures.items()
+        ]
+    )
+    lines = F.array(
+        *[
+            F.struct(F.lit(c).alias("column"), *[F.col(f"{name}{i}").alias(name) for name in figures])
+            for i, c in enumerate(chosen)
+        ]
+    )
+    return one.select(F.inline(lines)).select(
+        "column", "count", "mean", "stddev", "min", "max",
+        *[F.col("quartiles")[k].alias(name) for k, name in enumerate(("q25", "q50", "q75"))],
+    )
 
 
 def quality_report(
     raw: DataFrame, rules: list[filters.Rule]
-) -> tuple[DataFrame, DataFrame]:
-    """The rule report and the null report of a raw feed."""
-    return rule_report(raw, rules), null_report(raw)
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rule report, the null report and the summary of a raw feed."""
+    return rule_report(raw, rules), null_report(raw), summary_report(raw)
