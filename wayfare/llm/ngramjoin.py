@@ -399,19 +399,25 @@ def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, shared)
     return total.filter(common * 100 >= union * percent).select("a", "b")
 
 
-def _crowded(met: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The rows of shingles with more nodes than were compared one by one, with their bitmaps and the
-    number of blocks."""
+def _crowded(met: DataFrame) -> DataFrame:
+    """The rows of shingles with more nodes than were compared one by one, with the number of
+    blocks."""
     counts = met.groupBy("key").agg(F.count("*").alias("__n")).filter(F.col("__n") > FIRST + 1)
     counts = counts.select("key", F.ceil(F.col("__n") / BLOCK).cast("int").alias("blocks"))
-    rows = met.select("key", "node", "n", "place").join(counts, "key")
-    return frames.written(rows.join(nodes.select("node", "bitmap"), "node"))
+    return frames.written(met.select("key", "node", "n", "place").join(counts, "key"))
 
 
-def _across(crowded: DataFrame, labels: DataFrame, percent: int, nearest: bool) -> DataFrame:
+def _across(
+    crowded: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, nearest: bool
+) -> DataFrame:
     """Pairs (a, b) at a shingle whose nodes are in different components and may be links: all of
     them, or for each node only the one whose bitmap is nearest."""
     rows = crowded.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    rows = frames.written(rows)
+    # Shingles whose nodes are all in one component are done.
+    open_keys = rows.groupBy("key").agg(F.min("label").alias("__low"), F.max("label").alias("__high"))
+    open_keys = open_keys.filter("__low <> __high").select("key")
+    rows = rows.join(open_keys, "key", "left_semi").join(nodes.select("node", "bitmap"), "node")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A row meets every block of its shingle once: in the blocks (own, j) and (j, own).
     rows = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -505,10 +511,10 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     ).distinct()
     first = frames.written(_likely(first, nodes, percent))
     links = frames.written(_linked(first, docs, words, percent, shared))
-    crowded = _crowded(met, nodes)
+    crowded = _crowded(met)
     for nearest in (True, False):
         labels = frames.written(components(links))
-        across = frames.written(_likely(_across(crowded, labels, percent, nearest), nodes, percent))
+        across = frames.written(_likely(_across(crowded, labels, nodes, percent, nearest), nodes, percent))
         if across.isEmpty():
             continue
         more = _linked(across, docs, words, percent, shared)
