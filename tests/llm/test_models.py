@@ -143,3 +143,25 @@ def test_no_labels(spark):
     labels = spark.createDataFrame([], "doc_id long, toxic int")
     model = toxicity.fit(toxicity.labelled_texts(docs, labels))
     assert {r.predicted for r in toxicity.toxicity(docs, model).collect()} == {0}
+
+
+def test_rare_n_grams_count_at_every_size(spark):
+    chance = random.Random(5)
+    rows, marks = [], []
+    for k in range(240):
+        words = ["".join(chance.choice("abcdefgh") for _ in range(chance.randrange(2, 7))) for _ in range(20)]
+        if k % 6 == 0:  # each toxic document has a word that occurs once
+            words[3] = "zq" + "".join(chance.choice("vwxyz") for _ in range(5))
+        rows.append((k, " ".join(words)))
+        marks.append((k, int(k % 6 == 0)))
+    docs = frame(spark, rows + odd_rows())
+    labelled = toxicity.labelled_texts(docs, spark.createDataFrame(marks, "doc_id long, toxic int"))
+    score = lambda model, d=docs: sorted(
+        (-1 if r.doc_id is None else r.doc_id, round(r.score, 9)) for r in toxicity.toxicity(d, model).collect()
+    )
+    small, large = toxicity.fit(labelled), toxicity.fit(labelled, entries=300)
+    assert isinstance(small.evidence, toxicity.Evidence) and isinstance(large.evidence, toxicity.Tables)
+    assert large.evidence.grams.count() == len(small.evidence.keys) > 300
+    assert score(large) == score(small)
+    assert [r.row.doc_id for r in toxicity.toxicity(frame(spark, rows[:1]), large, rows=True).collect()] == [0]
+    assert score(large, frame(spark, [])) == []

@@ -5,6 +5,9 @@ the continuation counts of the whole training corpus. So an expression that neit
 as likely under both, and a rare one differs only as far as its own counts do. A word's evidence is
 the difference of its two log-likelihoods; divided by lengths, it is compared for the document and
 for its most toxic words, and a logistic curve turns that into a score.
+
+All n-grams are kept. A model measured to be small is sent to the tasks; a larger one stays a table,
+whose totals come from grouped joins and which the distinct words are joined with. Both give the same.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm import frames
@@ -29,7 +32,7 @@ ORDER = 7
 DISCOUNT = 0.9
 #: Folds that are learned from.
 FOLDS = (0, 1, 3)
-#: N-grams in the model that tasks get; if there are more, the rarest are left to the backoff.
+#: N-grams of a model that is sent to the tasks; if there are more, all of them stay in tables.
 MODEL_ENTRIES = 1_000_000
 #: Labelled documents that the logistic curve is fitted on, about.
 CURVE_DOCUMENTS = 20_000
@@ -192,37 +195,181 @@ def cut(words: list[bytes]) -> list[bytes]:
     ]
 
 
-def counted_grams(labelled: DataFrame, entries: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct n-grams, their counts by side) of (text, side) rows; all rows are counted.
+def used_folds(fold_place: int | None) -> list[int]:
+    return [k for k in range(len(FOLDS)) if k != fold_place]
 
-    If there are more than `entries` n-grams, those below a count are left out: the least count that
-    leaves no more.
-    """
-    counted = frames.written(count_grams(labelled))
-    sides = [f"n{side}" for side in range(2 * len(FOLDS))]
-    total = sum((F.col(side) for side in sides), F.lit(0))
-    by_count = counted.groupBy(F.least(total, F.lit(10_000)).alias("n")).count().collect()
-    kept, least = 0, 0
-    for row in sorted(by_count, reverse=True):
-        if kept + row["count"] > entries:
-            least = row["n"] + 1
-            break
-        kept += row["count"]
-    found = counted.filter(total >= least).toArrow()
-    frames.removed(counted)
+
+def collected(counted: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct n-grams, their counts by side) of a counted table that was measured to be small."""
+    found = counted.toArrow()
     keys = found.column("gram").to_numpy().astype(np.int64).view(np.uint64)
-    return keys, np.stack([found.column(side).to_numpy() for side in sides])
+    return keys, np.stack([found.column(f"n{side}").to_numpy() for side in range(2 * len(FOLDS))])
 
 
 def evidence_without(keys: np.ndarray, counts: np.ndarray, fold_place: int | None) -> Evidence:
     """The evidence of all folds but one."""
-    used = [k for k in range(len(FOLDS)) if k != fold_place]
+    used = used_folds(fold_place)
     toxic = sum(counts[2 * k + 1] for k in used)
     ordinary = sum(counts[2 * k] for k in used)
     seen = toxic + ordinary > 0
     return evidence(keys[seen], toxic[seen], ordinary[seen])
 
 
+#: Models in one table: without each fold, and of all folds.
+PLACES = (*range(len(FOLDS)), None)
+# The operations on n-grams as SQL.
+GRAM_LENGTH = "shiftright(gram, 56)"
+GRAM_CONTEXT = "(shiftright(gram & 72057594037927935L, 8) | shiftleft(shiftright(gram, 56) - 1L, 56))"
+GRAM_SUFFIX = (
+    "((gram & (shiftleft(1L, cast(8 * (shiftright(gram, 56) - 1) as int)) - 1L))"
+    " | shiftleft(shiftright(gram, 56) - 1L, 56))"
+)
+
+
+class Tables(NamedTuple):
+    """The same as Evidence, as tables (gram, v0, ...) and (context, c0, ...) with a column per model."""
+
+    grams: DataFrame
+    contexts: DataFrame
+    place: int | None
+
+    def of(self, words: DataFrame) -> DataFrame:
+        """word, value: the summed difference of every distinct word."""
+        model = PLACES.index(self.place)
+
+        def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in frames.shorter(batches, 4096):
+                own = frames.raw_column(batch.column(0))
+                if own:
+                    keys, owner = grams(own)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).take(pa.array(owner)),
+                            pa.array(np.arange(len(keys)) - np.searchsorted(owner, owner)),
+                            pa.array(keys.view(np.int64)),
+                            pa.array(context_of(keys).view(np.int64)),
+                        ],
+                        names=["word", "at", "gram", "context"],
+                    )
+
+        found = words.mapInArrow(pieces, "word binary, at long, gram long, context long")
+        found = found.join(
+            bounded_side(self.grams.select("gram", F.col(f"v{model}").alias("v"))), "gram", "left"
+        ).join(
+            bounded_side(self.contexts.select("context", F.col(f"c{model}").alias("c"))), "context", "left"
+        )
+        # Summed in the order of the word, as floating-point sums depend on it; a word has few n-grams.
+        values = F.array_sort(F.collect_list(F.struct("at", F.coalesce("v", "c", F.lit(0.0)).alias("value"))))
+        return found.groupBy("word").agg(
+            F.aggregate(values, F.lit(0.0), lambda total, x: total + x["value"]).alias("value")
+        )
+
+
+def table_evidence(counted: DataFrame) -> Tables:
+    """The evidence of all models from a table of counted n-grams, by grouped joins alone.
+
+    Every group and every join key has no more than 256 rows: n-grams that differ in one byte.
+    """
+    count = range(len(PLACES))
+    side = {
+        f"{name}{m}": sum((F.col(f"n{2 * k + own}") for k in used_folds(place)), F.lit(0).cast("long"))
+        for m, place in enumerate(PLACES)
+        for own, name in enumerate("ot")
+    }
+    base = counted.select("gram", *(value.alias(name) for name, value in side.items()))
+    level = base.select(
+        "gram", *((F.col(f"t{m}") + F.col(f"o{m}") > 0).cast("long").alias(f"n{m}") for m in count)
+    )
+    levels = []
+    for _ in range(ORDER - 1):
+        level = frames.written(
+            level.filter(f"{GRAM_LENGTH} > 1")
+            .groupBy(F.expr(GRAM_SUFFIX).alias("gram"))
+            .agg(*(F.sum((F.col(f"n{m}") > 0).cast("long")).alias(f"n{m}") for m in count))
+        )
+        levels.append(level)
+
+    same = Window.partitionBy(F.expr(GRAM_CONTEXT))
+    total = lambda name: F.sum(name).over(same)
+    kinds = lambda name: F.sum((F.col(name) > 0).cast("long")).over(same)
+    shared = None
+    for level in reversed(levels):
+        parts = level.select(
+            "gram",
+            F.expr(f"if({GRAM_LENGTH} > 1, {GRAM_SUFFIX}, null)").alias("suffix"),
+            *(F.col(f"n{m}") for m in count),
+            *(F.greatest(total(f"n{m}"), F.lit(1)).alias(f"total{m}") for m in count),
+            *(kinds(f"n{m}").alias(f"kinds{m}") for m in count),
+        )
+        if shared is None:
+            parts = parts.select("*", *(F.lit(1 / 256).alias(f"p{m}") for m in count))
+        else:
+            parts = parts.join(shared, "suffix", "left")
+        shared = bounded_side(
+            parts.select(
+                F.col("gram").alias("suffix"),
+                *(
+                    (
+                        F.greatest(F.col(f"n{m}") - F.lit(DISCOUNT), F.lit(0.0)) / F.col(f"total{m}")
+                        + F.lit(DISCOUNT) * F.col(f"kinds{m}") / F.col(f"total{m}")
+                        * F.coalesce(f"p{m}", F.lit(1 / 256))
+                    ).alias(f"p{m}")
+                    for m in count
+                ),
+            )
+        )
+    names = [f"{name}{m}" for m in count for name in "to"]
+    parts = base.select(
+        "gram",
+        F.expr(GRAM_CONTEXT).alias("context"),
+        F.expr(GRAM_SUFFIX).alias("suffix"),
+        *names,
+        *(total(name).alias(f"total_{name}") for name in names),
+        *(kinds(name).alias(f"kinds_{name}") for name in names),
+    ).join(shared, "suffix")
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = lambda name: batch.column(name).to_numpy(zero_copy_only=False)
+            values, of_contexts = [], []
+            for m in count:
+                logs, left_logs = [], []
+                for name in (f"t{m}", f"o{m}"):
+                    counts, whole = column(name), column(f"total_{name}")
+                    left = np.where(whole > 0, DISCOUNT * column(f"kinds_{name}") / np.maximum(whole, 1), 1.0)
+                    own = np.maximum(counts - DISCOUNT, 0) / np.maximum(whole, 1)
+                    logs.append(np.log(own + left * column(f"p{m}")))
+                    left_logs.append(np.log(left))
+                of_contexts.append(left_logs[0] - left_logs[1])
+                seen = column(f"t{m}") + column(f"o{m}") > 0
+                values.append(np.where(seen, logs[0] - logs[1], of_contexts[-1]))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("gram"), batch.column("context"), *map(pa.array, values + of_contexts)],
+                names=["gram", "context", *(f"v{m}" for m in count), *(f"c{m}" for m in count)],
+            )
+
+    fields = [f"{name}{m} double" for name in "vc" for m in count]
+    found = frames.written(parts.mapInArrow(differences, ", ".join(["gram long", "context long", *fields])))
+    for level in levels:
+        frames.removed(level)
+    # All rows of a context have the same values.
+    contexts = found.groupBy("context").agg(*(F.max(f"c{m}").alias(f"c{m}") for m in count))
+    return Tables(found.select("gram", *(f"v{m}" for m in count)), frames.written(contexts), None)
+
+
+def described(words: list[bytes], rates: list[float]) -> np.ndarray:
+    """Of a text's words with their differences per byte: whether there are any, the difference per
+    byte of all, and those of the TOP words."""
+    row = np.zeros(DOC_FEATURES)
+    if words:
+        rates = np.array(rates)
+        sizes = np.array([len(word) + 1 for word in words])
+        row[0], row[1] = 1, rates @ sizes / sizes.sum()
+        top = np.sort(rates[np.argpartition(-rates, TOP - 1)[:TOP]] if len(rates) > TOP else rates)
+        row[2 : 2 + len(top)] = top[::-1]
+    return row
+
+
 class Scorer:
     """Features of texts, with the evidence of known words kept."""
 
@@ -230,7 +377,7 @@ class Scorer:
         self.model, self.known = model, {}
 
     def features(self, texts: list[bytes]) -> np.ndarray:
-        """Per text: whether it has words, the difference per byte, and those of its TOP words."""
+        """A row of described() per text."""
         split = [cut(words_of(raw)) for raw in texts]
         new = list({word for words in split for word in words if word not in self.known})
         if new:
@@ -240,15 +387,41 @@ class Scorer:
                 new = list({word for words in split for word in words})
                 values = self.model.of(new) / np.array([len(word) + 1 for word in new])
             self.known.update(zip(new, values.tolist()))
-        rows = np.zeros((len(texts), DOC_FEATURES))
-        for row, words in zip(rows, split):
-            if words:
-                rates = np.array([self.known[word] for word in words])
-                sizes = np.array([len(word) + 1 for word in words])
-                row[0], row[1] = 1, rates @ sizes / sizes.sum()
-                top = np.sort(rates[np.argpartition(-rates, TOP - 1)[:TOP]] if len(rates) > TOP else rates)
-                row[2 : 2 + len(top)] = top[::-1]
-        return rows
+        rows = [described(words, [self.known[word] for word in words]) for words in split]
+        return np.array(rows).reshape(len(texts), DOC_FEATURES)
+
+
+def with_known(docs: DataFrame, tables: Tables) -> DataFrame:
+    """The documents with `known`, the evidence of their distinct words, joined from the tables."""
+    docs = frames.written(docs.withColumn("__row", F.monotonically_increasing_id()))
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in frames.shorter(batches):
+            own, words = [], []
+            for number, raw in zip(batch.column(0).to_pylist(), frames.raw_column(batch.column(1))):
+                distinct = set(cut(words_of(raw)))
+                own += [number] * len(distinct)
+                words += distinct
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(own, pa.int64()), pa.array(words, pa.binary())], names=["__row", "word"]
+            )
+
+    words = docs.select("__row", "text").mapInArrow(split, "__row long, word binary")
+    values = bounded_side(tables.of(words.select("word").distinct()))
+    known = words.join(values, "word").groupBy("__row").agg(
+        F.collect_list(F.struct("word", "value")).alias("known")
+    )
+    return docs.join(known, "__row", "left").drop("__row")
+
+
+def known_features(batch: pa.RecordBatch, text: str = "text") -> np.ndarray:
+    """A row of described() per text of a batch of with_known()."""
+    rows = []
+    for raw, pairs in zip(frames.raw_column(batch.column(text)), batch.column("known").to_pylist()):
+        rates = {pair["word"]: pair["value"] / (len(pair["word"]) + 1) for pair in pairs or ()}
+        words = cut(words_of(raw))
+        rows.append(described(words, [rates[word] for word in words]))
+    return np.array(rows).reshape(batch.num_rows, DOC_FEATURES)
 
 
 class Curve(NamedTuple):
@@ -288,7 +461,7 @@ def fit_curve(rows: np.ndarray, marks: np.ndarray, ridge: float = 1.0, rounds: i
 
 
 class Model(NamedTuple):
-    evidence: Evidence
+    evidence: Evidence | Tables
     curve: Curve
 
 
@@ -304,6 +477,7 @@ def labelled_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame, curve_documents: int = CURVE_DOCUMENTS, entries: int = MODEL_ENTRIES) -> Model:
     """Learns from (doc_id, text, toxic) rows outside fold 2, all of which are counted.
 
+    A model of more than `entries` n-grams stays in tables; the results are the same.
     The curve is fitted on about curve_documents of them, chosen by a hash of the id; each is
     described by the models of the other folds, which have not seen it.
     """
@@ -315,29 +489,40 @@ def fit(labelled: DataFrame, curve_documents: int = CURVE_DOCUMENTS, entries: in
         )
     )
     side = (F.col("place") * 2 + F.col("toxic")).cast("int")
-    keys, counts = counted_grams(labelled.select("text", side.alias("side")), entries)
+    counted = frames.written(count_grams(labelled.select("text", side.alias("side"))))
+    if counted.count() <= entries:
+        keys, counts = collected(counted)
+        frames.removed(counted)
+        without = lambda place: evidence_without(keys, counts, place)
+    else:
+        tables = table_evidence(counted)
+        frames.removed(counted)
+        without = lambda place: tables._replace(place=place)
     count, grain = labelled.count(), 1 << 20
     share = min(grain, int(grain * curve_documents / max(count, 1)) + 1)
     chosen = labelled.filter(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < share)
     rows, marks = [], []
     for k in range(len(FOLDS)):
         own = chosen.filter(F.col("place") == k).select("text", "toxic")
-        for row, mark in _described(own, evidence_without(keys, counts, k)):
+        for row, mark in _described(own, without(k)):
             rows.append(row)
             marks.append(mark)
     frames.removed(labelled)
     curve = fit_curve(np.array(rows).reshape(len(rows), DOC_FEATURES), np.array(marks, float))
-    return Model(evidence_without(keys, counts, None), curve)
+    return Model(without(None), curve)
 
 
-def _described(rows: DataFrame, model: Evidence) -> list[tuple[tuple[float, ...], int]]:
+def _described(rows: DataFrame, model: Evidence | Tables) -> list[tuple[tuple[float, ...], int]]:
     """The features of (text, mark) rows, in a fixed order."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    stored = isinstance(model, Tables)
+    shared = rows.sparkSession.sparkContext.broadcast(None if stored else model)
+    if stored:
+        rows = with_known(rows, model)
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(shared.value)
+        scorer = None if stored else Scorer(shared.value)
         for batch in frames.shorter(batches):
-            found = scorer.features(frames.raw_column(batch.column(0)))
+            found = known_features(batch) if stored else scorer.features(frames.raw_column(batch.column(0)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(found), pa.list_(pa.float64())), batch.column(1)], names=["row", "mark"]
             )
@@ -356,16 +541,17 @@ def toxicity(docs: DataFrame, model: Model, limit: float = 0.3, rows: bool = Fal
     Null texts are empty; texts without words have the score of no evidence. Ids may be null or
     repeat; other columns are not read.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    stored = isinstance(model.evidence, Tables)
+    shared = docs.sparkSession.sparkContext.broadcast(model._replace(evidence=None) if stored else model)
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _scorers:
+        if name not in _scorers and not stored:
             _scorers.clear()
             _scorers[name] = Scorer(shared.value.evidence)
-        scorer = _scorers[name]
+        scorer = _scorers.get(name)
         for batch in frames.shorter(batches):
-            found = scorer.features(frames.raw_column(batch.column(1)))
+            found = known_features(batch) if stored else scorer.features(frames.raw_column(batch.column(1)))
             scores = shared.value.curve.scores(found)
             predicted = pa.array((scores >= limit).astype(np.int32))
             yield frames.carried(
@@ -376,6 +562,8 @@ def toxicity(docs: DataFrame, model: Model, limit: float = 0.3, rows: bool = Fal
 
     docs = frames.with_rows(docs) if rows else frames.texts(docs)
     fields = frames.carrying("doc_id long, score double, predicted int", docs)
+    if stored:
+        docs = with_known(docs, model.evidence)
     return docs.mapInArrow(run, fields)
 
 
