@@ -126,6 +126,37 @@ def test_personal_data_of_documents(spark):
     assert pii.personal_digests(frame(spark, []), empty).collect() == []
 
 
+def personal_documents(first, count):
+    """(id, text) of prose with personal data in known forms, and digit groups that are none."""
+    chance = random.Random(first)
+    digits = lambda n: "".join(chance.choice("0123456789") for _ in range(n))
+    rows = []
+    for k in range(first, first + count):
+        words = prose(k, 40, 30)
+        host = chance.choice(["mail.example.org", "corp.net", "uni.edu"])
+        words[5] = f"contact {chance.choice('abcde')}{digits(2)}.{chance.choice(['kim', 'lee'])}@{host}"
+        words[12] = "server " + ".".join(str(chance.randrange(256)) for _ in range(4))
+        words[20] = f"phone +{digits(2)} {digits(3)} {digits(3)} {digits(4)}"
+        words[27] = f"order {digits(3)}-{digits(5)}"
+        words[33] = f"at home {chance.choice(['x', 'y'])} [note] {digits(4)}.{digits(2)}"
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def test_forms_unknown_to_the_rules_are_added(spark):
+    model = pii.fit(frame(spark, personal_documents(0, 400)))
+    found = {kind: 0 for kind in range(4)}
+    for k, text in personal_documents(10_000, 100):
+        raw, spans = pii.rewritten(text.encode(), pii.base_spans(text.encode()))
+        base, added = pii.find(raw, model)
+        assert not {s for s in spans if s[2] != pii.CARD} & set(base)
+        for start, end, kind in spans:
+            found[kind] += any(a <= start and end <= b for a, b, _ in added)
+    assert min(found[pii.EMAIL], found[pii.IP], found[pii.PHONE]) >= 95, found
+    plain = " ".join(prose(1, 80, 30)) + " order 123-45678"
+    assert pii.find(plain.encode(), model) == ([], [])
+
+
 KEY = r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 
 
