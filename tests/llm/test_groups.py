@@ -114,7 +114,7 @@ def test_best_rows_are_those_of_all_pairs(spark):
     centres = chance.normal(size=(5, 6))
     rows = [(k, (centres[k % 5] + 0.2 * chance.normal(size=6)).tolist()) for k in range(700)]
     rows += [(1000 + k, rows[0][1]) for k in range(40)]  # a common vector
-    rows += [(2000, None), (2100, [1.0, None, 0, 0, 0, 0]), (2200, [float("nan")] * 6), (None, [0.1] * 6), (700, [0.0] * 6)]
+    rows += [(2000, None), (2100, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2200, [float("nan")] * 6), (None, [0.1] * 6), (700, [0.0] * 6)]
     schema = "vec_id long, embedding array<double>, score string, rank int"
     table = spark.createDataFrame([(i, v, "s", 1) for i, v in rows], schema)
     asked = table.filter(F.col("vec_id") % 20 == 0)
