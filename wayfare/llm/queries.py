@@ -7,11 +7,14 @@ from wayfare.llm import (
     decontaminate,
     eliasfano,
     language,
+    licenses,
     mtree,
     ngramjoin,
     packing,
+    periods,
     pii,
     prefixcounts,
+    prefixtrie,
     secretscan,
     toxicity,
 )
@@ -27,10 +30,14 @@ QUERIES = {
     "op8_byte_network": language.op8_byte_network,
     "op9_kneser_ney": toxicity.op9_kneser_ney,
     "op10_prefix_counts": prefixcounts.op10_prefix_counts,
+    "op11_prefix_trie": prefixtrie.op11_prefix_trie,
+    "op12_licenses": licenses.op12_licenses,
+    "op13_periodic_runs": periods.op13_periodic_runs,
     "pipeline": corpus_pipeline.run,
 }
 SQL: dict[str, str] = {
     "op1_m_tree": mtree.SQL,
     "op2_decontaminate": decontaminate.SQL,
     "op3_ngram_join": ngramjoin.SQL,
+    "op11_prefix_trie": prefixtrie.SQL,
 }
