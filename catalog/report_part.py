@@ -500,6 +500,36 @@ def pca_weather(spark, folder):
     )
 
 
+@query(
+    "pca_two_measures",
+    with_trips(
+        _mode_sql("bikes")
+        + """, used AS (SELECT time_bin, "Temperature" AS a, "Wind Speed" AS b FROM processed
+  WHERE "Temperature" IS NOT NULL AND "Wind Speed" IS NOT NULL),
+m AS (SELECT avg(a) AS ma, avg(b) AS mb, covar_pop(a, a) AS aa, covar_pop(a, b) AS ab, covar_pop(b, b) AS bb FROM used),
+l AS (SELECT *, (aa + bb) / 2 + sqrt(pow((aa - bb) / 2, 2) + ab * ab) AS big FROM m),
+v AS (SELECT *, ab / sqrt(ab * ab + pow(big - aa, 2)) AS va, (big - aa) / sqrt(ab * ab + pow(big - aa, 2)) AS vb FROM l),
+d AS (SELECT *, CASE WHEN CASE WHEN abs(va) >= abs(vb) THEN va ELSE vb END < 0 THEN -1 ELSE 1 END AS turn,
+  CASE WHEN CASE WHEN abs(vb) >= abs(va) THEN -vb ELSE va END < 0 THEN -1 ELSE 1 END AS other FROM v)
+SELECT time_bin, count(*) AS rows, round(avg(((a - ma) * va + (b - mb) * vb) * turn), 6) AS pca_a,
+  round(avg((-(a - ma) * vb + (b - mb) * va) * other), 6) AS pca_b,
+  round(any_value(big / (aa + bb)), 9) AS explained FROM used, d GROUP BY time_bin""",
+        study=True,
+    ),
+)
+def pca_two_measures(spark, folder):
+    """Components of two measures, for which SQL has a closed form."""
+    scored, found = statistics.with_components(
+        study_mode(spark, folder, "bikes"), ["Temperature", "Wind Speed"]
+    )
+    return scored.groupBy("time_bin").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.round(F.avg("pca_a"), 6).alias("pca_a"),
+        F.round(F.avg("pca_b"), 6).alias("pca_b"),
+        F.lit(round(float(found.explained[0]), 9)).alias("explained"),
+    )
+
+
 def _reduced(spark, folder):
     trips = study_mode(spark, folder, "bikes").filter("trip_duration > 0").na.drop()
     return trips.withColumn("reduced", F.pow("trip_duration", F.lit(0.2)))
@@ -552,6 +582,53 @@ def anova_two_terms(spark, folder):
     )
 
 
+_GROUPED = """, used AS (SELECT ln(count) AS x, month AS g, pow(trip_duration, CAST(0.2 AS DOUBLE)) AS y
+  FROM processed WHERE "Temperature" IS NOT NULL AND trip_duration > 0),
+m AS (SELECT count(*) AS n, count(DISTINCT g) AS k, regr_sxx(x, x) AS xx, regr_sxy(y, x) AS xy, regr_syy(y, x) AS yy FROM used),
+each AS (SELECT g, regr_sxx(x, x) AS xx, regr_sxy(y, x) AS xy, regr_syy(y, x) AS yy FROM used GROUP BY g),
+w AS (SELECT sum(xx) AS wxx, sum(xy) AS wxy, sum(yy) AS wyy FROM each) """
+
+
+@query(
+    "anova_category",
+    with_trips(
+        _mode_sql("bikes")
+        + _GROUPED
+        + """SELECT 'month' AS term, round(yy - wyy, 6) AS sum_sq, CAST(k - 1 AS DOUBLE) AS df,
+  round(((yy - wyy) / (k - 1)) / (wyy / (n - k)), 4) AS f FROM m, w
+UNION ALL SELECT 'Residual', round(wyy, 6), n - k, NULL FROM m, w""",
+        study=True,
+    ),
+)
+def anova_category(spark, folder):
+    table = cells.label_cells(_reduced(spark, folder), "reduced", ["month"])
+    return statistics.anova_type2(table, [], ["month"]).select(
+        "term", F.round("sum_sq", 6).alias("sum_sq"), "df", F.round("f", 4).alias("f")
+    )
+
+
+@query(
+    "anova_mixed",
+    with_trips(
+        _mode_sql("bikes")
+        + _GROUPED
+        + """, e AS (SELECT *, wyy - wxy * wxy / wxx AS sse, yy - xy * xy / xx AS line FROM m, w)
+SELECT 'log_count' AS term, round(wyy - sse, 6) AS sum_sq, CAST(1 AS DOUBLE) AS df,
+  round((wyy - sse) / (sse / (n - k - 1)), 4) AS f FROM e
+UNION ALL SELECT 'month', round(line - sse, 6), k - 1, round(((line - sse) / (k - 1)) / (sse / (n - k - 1)), 4) FROM e
+UNION ALL SELECT 'Residual', round(sse, 6), n - k - 1, NULL FROM e""",
+        study=True,
+    ),
+)
+def anova_mixed(spark, folder):
+    """A number, the logarithm of the hour's trips, beside a category."""
+    trips = _reduced(spark, folder).withColumn("log_count", F.log("count"))
+    table = cells.label_cells(trips, "reduced", ["log_count", "month"])
+    return statistics.anova_type2(table, ["log_count"], ["month"]).select(
+        "term", F.round("sum_sq", 6).alias("sum_sq"), "df", F.round("f", 4).alias("f")
+    )
+
+
 @query("anova_type2")
 def anova_type2(spark, folder):
     numeric, categorical = [*WEATHER_MEASURES, "count"], ["PULocationID", "DOLocationID", "day_of_week", "month"]
@@ -559,6 +636,17 @@ def anova_type2(spark, folder):
     return statistics.anova_type2(table, numeric, categorical)
 
 
+@query("anova_study_bikes")
+def anova_study_bikes(spark, folder):
+    """All of the study's significance models of one mode."""
+    return modelling.study_anovas(study_mode(spark, folder, "bikes"), modelling.BIKE_ANOVAS)
+
+
+@query("anova_study_taxis")
+def anova_study_taxis(spark, folder):
+    return modelling.study_anovas(study_mode(spark, folder, "taxis"), modelling.TAXI_ANOVAS)
+
+
 # ---- models ----
 
 
@@ -633,6 +721,21 @@ def encode_features(spark, folder):
     return encoded.select(*compare.PAIR_KEYS, "label", "weight", vector_to_array("features").alias("features"))
 
 
+@query(
+    "class_totals",
+    with_trips(
+        f"""{_LEVELS.rstrip()}, classed AS (SELECT CASE WHEN year = 2022 THEN 'test' WHEN year = 2021 AND month > 8
+    THEN 'validation' WHEN year = 2020 OR year = 2021 THEN 'train' END AS split,
+  CAST(CASE WHEN trip_difference > 0 THEN 1 ELSE 0 END AS DOUBLE) AS label FROM paired JOIN weather USING ({_HOUR}))
+SELECT split, label, CAST(count(*) AS DOUBLE) AS rows FROM classed GROUP BY ALL""",
+        study=True,
+    ),
+)
+def class_totals(spark, folder):
+    """The pairs of each class and split that the classifier is fitted on and judged by."""
+    return cells.class_totals(modelling.class_table(*paired_outcomes(spark, folder)), "split")
+
+
 @query("mlp_eval")
 def mlp_eval(spark, folder):
     scored = modelling.scored_classes(*paired_outcomes(spark, folder)).filter("split IS NOT NULL")
@@ -691,21 +794,28 @@ def glm_terms(spark, folder):
 _SUMMED = ["l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
+def _quartile_sql(column: str, share: float) -> str:
+    return (
+        f"(SELECT min(v) FROM (SELECT CAST({column} AS DOUBLE) AS v, row_number() OVER (ORDER BY {column}) AS place, "
+        f"count(*) OVER () AS n FROM lineitem WHERE {column} IS NOT NULL) WHERE place >= ceil({share} * n))"
+    )
+
+
 @query(
     "quality_summary",
     " UNION ALL ".join(
         f"SELECT '{c}' AS \"column\", count({c}) AS \"count\", round(avg(CAST({c} AS DOUBLE)), 6) AS mean, "
         f"round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS stddev, CAST(min({c}) AS DOUBLE) AS min, "
-        f"CAST(max({c}) AS DOUBLE) AS max FROM lineitem"
+        f"CAST(max({c}) AS DOUBLE) AS max, {_quartile_sql(c, 0.25)} AS q25, {_quartile_sql(c, 0.5)} AS q50, "
+        f"{_quartile_sql(c, 0.75)} AS q75 FROM lineitem"
         for c in _SUMMED
     ),
 )
 def quality_summary(spark, folder):
-    """The summary part of the quality report of a raw table (its quartiles are approximate)."""
+    """The summary part of the quality report of a raw table."""
     raw = spark.read.parquet(f"{folder}/lineitem.parquet").select(*_SUMMED, "l_returnflag")
     _, _, summary = reports.quality_report(raw, [filters.passenger_rule("l_quantity")])
-    rounded = [F.round(c, 6).alias(c) for c in ("mean", "stddev")]
-    return summary.select("column", "count", *rounded, "min", "max")
+    return summary.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
 
 
 # ---- evaluation of a fixed rule, which SQL can follow ----

@@ -2,11 +2,13 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.ml.classification import MultilayerPerceptronClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from wayfare.models import cells, features, fits, statistics
+from wayfare.models import cells, descent, features, fits, perceptron, statistics
 from wayfare.models.tails import f_upper_tail
 
 
@@ -73,22 +75,84 @@ def test_confusion_keeps_both_columns(spark):
     assert tuple(fits.confusion(table).first()) == (1, 0.0, 2.0)
 
 
-def test_repeat_by_weight(spark):
-    table = spark.createDataFrame([(1, 3.0), (2, 25.0)], "k int, weight double")
-    exact = {r[0]: r[1] for r in cells.repeat_by_weight(table, chunk=4).groupBy("k").count().collect()}
-    assert exact == {1: 3, 2: 25}
+@pytest.fixture(scope="module")
+def classed(spark):
+    """Weighted cells of two classes that overlap, with dense and sparse feature rows."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for k in range(120):
+        x = [float(rng.integers(0, 4)), 0.0, float(rng.normal()), 1.0 if k % 3 else 0.0]
+        label = float(rng.random() < 1 / (1 + np.exp(-(x[0] - 1.5 + x[2] * x[3]))))
+        vector = Vectors.dense(x) if k % 2 else Vectors.sparse(4, [(i, v) for i, v in enumerate(x) if v])
+        rows.append((vector, label, float(rng.integers(0, 6))))
+    return spark.createDataFrame(rows, ["features", "label", "weight"])
+
+
+def _repeated(cells):
+    each = F.sequence(F.lit(1), F.col("weight").cast("int"))
+    return cells.filter("weight > 0").withColumn("i", F.explode(each)).select("features", "label")
+
+
+def test_gradient_of_a_block():
+    rng = np.random.default_rng(2)
+    layers, rows = [3, 4, 3], rng.normal(size=(9, 3))
+    labels, weights = rng.integers(0, 3, 9), rng.uniform(0, 3, 9)
+    place = perceptron.starting_parameters(layers, 1) + 0.1
+    _, gradient = perceptron.block_loss(layers, place, rows, labels, weights)
+    for k in range(len(place)):
+        step = np.zeros(len(place))
+        step[k] = 1e-6
+        high, low = (perceptron.block_loss(layers, place + s, rows, labels, weights)[0] for s in (step, -step))
+        assert gradient[k] == pytest.approx((high - low) / 2e-6, rel=1e-4, abs=1e-5)
+
+
+def test_weights_count_as_repeated_rows(classed):
+    layers = [4, 5, 2]
+    place = perceptron.starting_parameters(layers, 3)
+    single = _repeated(classed).withColumn("weight", F.lit(1.0))
+    loss, gradient = perceptron.total_loss(perceptron.packed_blocks(classed), layers, place)
+    many_loss, many = perceptron.total_loss(perceptron.packed_blocks(single), layers, place)
+    assert loss == pytest.approx(many_loss) and np.allclose(gradient, many)
+    assert len(gradient) == perceptron.parameter_count(layers)
+
+
+@pytest.mark.parametrize("layers, iterations", [([4, 2], 200), ([4, 3, 2], 40)])
+def test_fit_equals_sparks_fit_of_repeated_rows(classed, layers, iterations):
+    """Without a hidden layer there is one minimum: the same loss and scores. With one, the loss gets no
+    higher than that of Spark's fit from the same start."""
+    start = perceptron.starting_parameters(layers, 5)
+    own = perceptron.fit_perceptron(classed, layers, iterations, start=start, tolerance=1e-9)
+    spark_fit = MultilayerPerceptronClassifier(
+        layers=layers, maxIter=iterations, tol=1e-9, initialWeights=Vectors.dense(start)
+    ).fit(_repeated(classed))
+    blocks = perceptron.packed_blocks(classed)
+    first, *losses = (
+        perceptron.total_loss(blocks, layers, place)[0]
+        for place in (start, own.weights.toArray(), spark_fit.weights.toArray())
+    )
+    assert losses[0] < first and losses[0] <= losses[1] * 1.01
+    rows = own.transform(classed).select("probability", "label", "weight").collect()
+    shown = sum(-np.log(r["probability"][int(r["label"])]) * r["weight"] for r in rows) / sum(r["weight"] for r in rows)
+    assert shown == pytest.approx(losses[0])  # the model that scores is the one that was fitted
+    if len(layers) == 2:
+        assert losses[0] == pytest.approx(losses[1], rel=5e-3)
+        theirs = spark_fit.transform(classed).select("probability").collect()
+        gaps = [abs(a["probability"][1] - b["probability"][1]) for a, b in zip(rows, theirs)]
+        assert np.mean(gaps) < 0.02
+
+
+def test_no_training_rows(classed):
+    with pytest.raises(ValueError):
+        perceptron.fit_perceptron(classed.filter("weight > 99"), [4, 2], 3)
+
 
+def test_minimum_of_a_narrow_valley():
+    def valley(x):
+        a, b = 1 - x[0], x[1] - x[0] ** 2
+        return a * a + 100 * b * b, np.array([-2 * a - 400 * x[0] * b, 200 * b])
 
-def test_rows_beyond_the_bound_keep_their_shares(spark):
-    """A thousand light cells of one class and one heavy cell of the other."""
-    rows = [(k, 0.0, 1.0) for k in range(20_000)] + [(-1, 1.0, 20_000.0)]
-    table = spark.createDataFrame(rows, "k int, label double, weight double")
-    found = cells.repeat_by_weight(table, max_training_rows=10_000).groupBy("label").count()
-    counts = {r["label"]: r["count"] for r in found.collect()}
-    assert abs(sum(counts.values()) - 10_000) < 200
-    assert abs(counts[1.0] / sum(counts.values()) - 0.5) < 0.01
-    again = cells.repeat_by_weight(table, max_training_rows=10_000).count()
-    assert again == sum(counts.values())
+    place, values = descent.minimise(valley, np.array([-1.2, 1.0]), 200, 1e-14)
+    assert np.allclose(place, 1, atol=1e-4) and values == sorted(values, reverse=True)
 
 
 def test_fits_on_cells_equal_fits_on_rows(weighted):
@@ -213,6 +277,87 @@ def test_quantiles_are_exact(spark):
     assert got == {p: ordered[int(np.ceil(p * len(values))) - 1] for p in shares}
 
 
+def test_quantiles_of_hot_groups_over_many_tasks(spark):
+    """A third of the values in one group, ties, and a group of one value; every task holds a range."""
+    rng = random.Random(7)
+    values = {"hot": [rng.randrange(400) for _ in range(3000)], "one": [5], "few": [1, 1, 2]}
+    values |= {f"g{k}": [rng.gauss(0, 9) for _ in range(rng.randrange(1, 90))] for k in range(40)}
+    rows = [(g, float(v)) for g, own in values.items() for v in own]
+    counts = spark.createDataFrame(rows, "g string, value double").groupBy("g", "value").count().withColumnRenamed("count", "n")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        shares = [0.0, 0.25, 0.5, 0.999, 1.0]
+        got = {(r["g"], r["share"]): r["value"] for r in statistics.exact_quantiles(counts, shares, ("g",)).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    expected = {
+        (g, p): sorted(own)[max(int(np.ceil(p * len(own))), 1) - 1] for g, own in values.items() for p in shares
+    }
+    assert got == expected
+    assert statistics.exact_quantiles(counts.filter("false"), shares, ("g",)).collect() == []
+
+
+def test_correlations_of_shifted_columns(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 3)) @ rng.normal(size=(3, 3)) + 1e9
+    rows = [(*map(float, r), 7.0) for r in x] + [(None, 1.0, 1.0, 7.0)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, same double")
+    got = {(r["a"], r["b"]): r["correlation"] for r in statistics.correlation_matrix(df, ["a", "b", "c", "same"]).collect()}
+    expected = np.corrcoef(x.T)
+    for i, p in enumerate("abc"):
+        for j, q in enumerate("abc"):
+            assert got[p, q] == pytest.approx(expected[i, j], abs=1e-6)
+    assert np.isnan(got["a", "same"]) and np.isnan(got["same", "same"])
+
+
+def test_components_of_repeated_rows_and_one_column(spark):
+    rows = [(1.0, 2.0)] * 30 + [(3.0, 1.0)] * 10 + [(None, 5.0)]
+    scored, found = statistics.with_components(spark.createDataFrame(rows, "a double, b double"), ["a", "b"])
+    x = np.array(rows[:-1], float)
+    assert np.allclose(found.centre, x.mean(0)) and found.explained[0] == pytest.approx(1.0)
+    assert scored.count() == 40 and found.loadings[:, 0].max() == pytest.approx(np.abs(found.loadings[:, 0]).max())
+
+
+def test_large_labels_keep_their_spread(spark):
+    """Labels around 1e9 that differ by ones: squares of the labels would lose all of it."""
+    rng = random.Random(1)
+    rows = [(k % 7, 1e9 * (1 + k % 2) + rng.gauss(0, 1), float(rng.randrange(1, 4))) for k in range(600)]
+    df = spark.createDataFrame(rows, "k int, y double, w double")
+    for weight in (None, "w"):
+        table = cells.label_cells(df, "y", ["k"], weight)
+        for r in table.collect():
+            y = np.array([x[1] for x in rows if x[0] == r["k"]])
+            w = np.array([x[2] if weight else 1.0 for x in rows if x[0] == r["k"]])
+            mean = (y * w).sum() / w.sum()
+            assert r["within"] == pytest.approx((w * (y - mean) ** 2).sum(), rel=1e-6)
+        metrics = fits.regression_metrics(table.withColumn("prediction", F.col("label") + 0.5)).first()
+        y = np.array([x[1] for x in rows])
+        w = np.array([x[2] if weight else 1.0 for x in rows])
+        sst = (w * (y - (y * w).sum() / w.sum()) ** 2).sum()
+        assert metrics["naive_rmse"] == pytest.approx((sst / (w.sum() - 1)) ** 0.5, rel=1e-6)
+    narrow = df.withColumn("y", F.col("y") - F.col("k") % 2 * 0 - 1e9 * (F.col("y") > 1.5e9).cast("int"))
+    one = fits.regression_metrics(cells.label_cells(narrow, "y", ["k"]).withColumn("prediction", F.col("label"))).first()
+    y = np.array([x[1] - (1e9 if x[1] > 1.5e9 else 0) for x in rows])
+    groups = {k: np.mean([v for x, v in zip(rows, y) if x[0] == k]) for k in range(7)}
+    sse = sum((v - groups[x[0]]) ** 2 for x, v in zip(rows, y))
+    assert one["r2"] == pytest.approx(1 - sse / ((y - y.mean()) ** 2).sum(), abs=1e-6)
+
+
+def test_study_models_share_their_sums(spark):
+    """Each table equals the one of its own model alone."""
+    rng = random.Random(2)
+    rows = [(rng.randrange(3), rng.randrange(4), rng.gauss(0, 1), rng.gauss(5, 2)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "g int, h int, x double, y double")
+    table = cells.label_cells(df, "y", ["g", "h", "x"])
+    models = {"all": ["g", "h", "x"], "some": ["x", "h"]}
+    found = statistics.anova_models(table, models, ["x"], ["g", "h"]).collect()
+    for name, terms in models.items():
+        own = [t for t in ("x",) if t in terms], [t for t in ("g", "h") if t in terms]
+        alone = {r["term"]: r["sum_sq"] for r in statistics.anova_type2(table, *own).collect()}
+        assert {r["term"]: pytest.approx(r["sum_sq"]) for r in found if r["model"] == name} == alone
+
+
 def test_negative_power_reverses_the_normal_quantile(spark):
     counts = statistics.value_counts(spark.range(1, 1000), "id")
     rows = statistics.normal_quantile_table(counts, -0.2, steps=9).orderBy("normal_quantile").collect()
@@ -242,7 +387,7 @@ def test_components_equal_the_eigenvectors(spark):
     expected = (x - x.mean(0)) @ vectors[:, ::-1][:, :2]
     got = np.array([[r["pca_a"], r["pca_b"]] for r in scored.orderBy("id").collect()])
     assert np.allclose(np.abs(got), np.abs(expected), atol=1e-8)
-    assert np.allclose(model.explainedVariance.toArray(), (values[::-1] / values.sum())[:2])
+    assert np.allclose(model.explained, (values[::-1] / values.sum())[:2])
 
 
 def test_boxcox_column(spark):

@@ -6,19 +6,15 @@ of the label and the spread around it. Least-squares losses over the cells diffe
 over the trips by a constant, so fits agree while the table no longer grows with the trips.
 """
 
-from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from wayfare.operators.sides import bounded_side
 
 # The categorical features and the measured ones.
 CATEGORIES = ["month", "time_bin", "PULocationID", "DOLocationID", "day_of_week", "weather_pattern"]
 
 
-# Training rows made from weighted cells, about, unless a caller gives another bound.
-TRAINING_ROWS = 50_000_000
-
-
 def weighted_mean(value: Column, weight: Column) -> Column:
     return F.sum(value * weight) / F.sum(weight)
 
@@ -29,22 +25,26 @@ def label_cells(
     """One row per distinct feature row: ``weight``, mean ``label`` and ``within`` squares.
 
     ``weight`` names a column saying how often a row counts, such as the merged table's
-    ``pairs``; without it every row counts once.
+    ``pairs``; without it every row counts once. Squares are of what labels differ from their cell's
+    mean, so large labels do not swallow a small spread: Spark's variance adds these up in one pass,
+    and with weights the means are found first.
     """
-    w = F.lit(1.0) if weight is None else F.col(weight).cast("double")
-    value = F.col(label).cast("double")
     named = [f"`{c}`" for c in features]
-    sums = (
-        rows.na.drop()
-        .groupBy(*named)
-        .agg(
-            F.sum(w).alias("weight"),
-            weighted_mean(value, w).alias("label"),
-            F.sum(w * value * value).alias("squares"),
+    value = F.col(label).cast("double")
+    if weight is None:
+        n = F.count(F.lit(1))
+        return (
+            rows.na.drop()
+            .groupBy(*named)
+            .agg(n.cast("double").alias("weight"), F.avg(value).alias("label"), (F.var_pop(value) * n).alias("within"))
         )
+    kept = rows.na.drop().select(*named, value.alias("_value"), F.col(weight).cast("double").alias("_weight"))
+    w = F.col("_weight")
+    means = bounded_side(
+        kept.groupBy(*named).agg(F.sum(w).alias("weight"), weighted_mean(F.col("_value"), w).alias("label"))
     )
-    within = F.col("squares") - F.col("weight") * F.col("label") * F.col("label")
-    return sums.withColumn("within", F.greatest(within, F.lit(0.0))).drop("squares")
+    away = w * F.pow(F.col("_value") - F.col("label"), 2)
+    return kept.join(means, features).groupBy(*named, "weight", "label").agg(F.sum(away).alias("within"))
 
 
 def difference_cells(outcomes: DataFrame, features: DataFrame, join_keys: list[str]) -> DataFrame:
@@ -85,33 +85,9 @@ def class_cells(outcomes: DataFrame, features: DataFrame, join_keys: list[str])
     )
 
 
-def repeat_by_weight(
-    cells: DataFrame, max_training_rows: int = TRAINING_ROWS, chunk: int = 10_000
-) -> DataFrame:
-    """Each cell as often as its weight, for estimators that know no weights.
-
-    Up to ``max_training_rows`` rows this is exact. Beyond it, pairs having grown with the square
-    of the trips, about that many rows are drawn: a cell gets the whole part of its share, and one
-    more with the chance of the rest (by a hash of the cell, so a run repeats). Every cell, and so
-    every class, keeps its share of the weight in expectation. Heavy cells are split into chunks
-    that are spread over tasks before they are repeated.
-    """
-    total = cells.agg(F.sum("weight")).first()[0] or 0.0
-    unit = max(1.0, total / max_training_rows)
-    share = F.col("weight") / unit
-    keys = [F.col(f"`{f.name}`") for f in cells.schema if not isinstance(f.dataType, (VectorUDT, T.MapType))]
-    chance = F.pmod(F.xxhash64(*keys), F.lit(1 << 30)) / float(1 << 30)
-    copies = F.round(share) if unit == 1.0 else F.floor(share) + (chance < share - F.floor(share)).cast("long")
-    parts = (
-        cells.withColumn("copies", copies.cast("long"))
-        .filter("copies > 0")
-        .withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("copies") - 1) / chunk))))
-        .repartition("part", *[c for c in CATEGORIES if c in cells.columns])
-    )
-    rest = F.least(F.lit(chunk), F.col("copies") - F.col("part") * chunk)
-    return parts.withColumn("copy", F.explode(F.sequence(F.lit(1), rest))).drop(
-        "part", "copy", "copies", "weight"
-    )
+def class_totals(cells: DataFrame, *by: str) -> DataFrame:
+    """What each class weighs: the rows that a fit on these cells stands for."""
+    return cells.groupBy(*by, "label").agg(F.sum("weight").alias("rows"))
 
 
 def category_levels(cells: DataFrame, categories: list[str], train: str) -> DataFrame:

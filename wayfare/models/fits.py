@@ -1,6 +1,7 @@
 """The three models and their evaluation over weighted cells."""
 
-from pyspark.ml.classification import MultilayerPerceptronClassifier
+from functools import reduce
+
 from pyspark.ml.regression import (
     GBTRegressor,
     GeneralizedLinearRegression,
@@ -10,27 +11,21 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.functions.calendar import weekday_name
-from wayfare.models.cells import TRAINING_ROWS, repeat_by_weight, weighted_mean
+from wayfare.models.cells import weighted_mean
 from wayfare.models.features import feature_width
+from wayfare.models.perceptron import fit_perceptron
+from wayfare.operators.sides import bounded_side, materialise
 
 # Settings of the study's models.
-HIDDEN_UNITS, CLASSES, MLP_ITERATIONS, MLP_BLOCK, MLP_SEED = 100, 2, 50, 128, 669
+HIDDEN_UNITS, CLASSES, MLP_ITERATIONS, MLP_SEED = 100, 2, 50, 669
 GBT_ITERATIONS, GBT_DEPTH, GBT_SEED = 20, 8, 669
 GLM_ITERATIONS, GLM_REGULARISATION = 10, 0.3
 
 
-def fit_classifier(
-    train: DataFrame, iterations: int = MLP_ITERATIONS, max_training_rows: int = TRAINING_ROWS
-):
-    """Perceptron on encoded class cells. Spark's has no weights, so cells are repeated; if there
-    are more than ``max_training_rows``, about that many are drawn by weight."""
-    rows = repeat_by_weight(train, max_training_rows).select("features", F.col("label").cast("double").alias("label"))
-    return MultilayerPerceptronClassifier(
-        layers=[feature_width(train), HIDDEN_UNITS, CLASSES],
-        maxIter=iterations,
-        blockSize=MLP_BLOCK,
-        seed=MLP_SEED,
-    ).fit(rows)
+def fit_classifier(train: DataFrame, iterations: int = MLP_ITERATIONS):
+    """Perceptron on encoded class cells, each counted by its weight."""
+    layers = [feature_width(train), HIDDEN_UNITS, CLASSES]
+    return fit_perceptron(train, layers, iterations, MLP_SEED)
 
 
 def fit_boosted(train: DataFrame, iterations: int = GBT_ITERATIONS, depth: int = GBT_DEPTH):
@@ -121,22 +116,32 @@ def regression_metrics(scored: DataFrame, *by: str) -> DataFrame:
     """RMSE, R2 and naive RMSE over the trips or pairs that the cells stand for.
 
     The squares within a cell are added to the cell's own error, so the figures are those
-    of the single rows. A single row has no spread: null.
+    of the single rows. Labels are squared as differences from their group's mean, which is found
+    first. A single row has no spread: null.
     """
     w, y, p = F.col("weight"), F.col("label"), F.col("prediction")
-    sums = scored.groupBy(*by).agg(
+    groups = [f"_by{i}" for i in range(len(by))]
+    kept = materialise(
+        scored.select(
+            F.lit(0).alias("_all"), *[F.col(f"`{c}`").alias(g) for c, g in zip(by, groups)],
+            "weight", "label", "prediction", "within",
+        )
+    )
+    means = bounded_side(
+        kept.groupBy("_all", *groups).agg(weighted_mean(y, w).alias("mean")).withColumnsRenamed({g: f"{g}_m" for g in ["_all", *groups]})
+    )
+    same = [F.col(g).eqNullSafe(F.col(f"{g}_m")) for g in ["_all", *groups]]
+    sums = kept.join(means, reduce(lambda a, b: a & b, same)).groupBy("_all", *groups).agg(
         F.sum("weight").alias("n"),
         F.sum(w * F.pow(y - p, 2) + F.col("within")).alias("sse"),
-        weighted_mean(y, w).alias("mean"),
-        F.sum(w * y * y + F.col("within")).alias("squares"),
+        F.sum(w * F.pow(y - F.col("mean"), 2) + F.col("within")).alias("sst"),
     )
-    sst = F.col("squares") - F.col("n") * F.pow(F.col("mean"), 2)
     return sums.select(
-        *by,
+        *[F.col(g).alias(c) for c, g in zip(by, groups)],
         F.col("n").alias("rows"),
         F.sqrt(F.col("sse") / F.col("n")).alias("rmse"),
-        (1 - F.try_divide(F.col("sse"), sst)).alias("r2"),
-        F.sqrt(F.try_divide(sst, F.col("n") - 1)).alias("naive_rmse"),
+        (1 - F.try_divide(F.col("sse"), F.col("sst"))).alias("r2"),
+        F.sqrt(F.try_divide(F.col("sst"), F.col("n") - 1)).alias("naive_rmse"),
     )
 
 

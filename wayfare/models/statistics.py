@@ -1,17 +1,16 @@
 """Distribution checks and significance tests over tables."""
 
+from dataclasses import dataclass
+from functools import reduce
 from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
-from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from wayfare.models.cells import weighted_scales
 from wayfare.models.tails import f_upper_tail
-from wayfare.operators.sides import materialise
+from wayfare.operators.sides import materialise, written_table
 
 
 #: Grids that a search for lambda tries before it gives up.
@@ -31,29 +30,41 @@ def value_counts(rows: DataFrame, column: str) -> DataFrame:
     )
 
 
-def exact_quantiles(counts: DataFrame, shares: list[float], most: int = 1_000_000) -> DataFrame:
-    """For each share the smallest value whose cumulative count reaches it.
+def exact_quantiles(counts: DataFrame, shares: list[float], by: tuple[str, ...] = ()) -> DataFrame:
+    """For each share the smallest value whose cumulative count reaches it, per group of ``by`` columns.
 
-    The running total is over the distinct values of :func:`value_counts` in one task. Durations
-    have few; a table with more than ``most`` distinct values is refused.
+    ``counts`` has the ``by`` columns, ``value`` and ``n``, each value once per group. The values are
+    dealt by range over tasks; the tasks' totals say which of them holds a share's place, and only the
+    values of those tasks are added up one by one. So no task meets more than its range of the values,
+    and one group may hold most of them.
     """
-    upto = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    everything = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One row more than allowed is enough to tell, so no task ever gets the whole of a larger table.
-    place = F.row_number().over(Window.orderBy("value"))
-    told = F.when(place > most, F.raise_error(F.lit(f"more than {most} distinct values"))).otherwise(F.col("n"))
-    running = counts.limit(most + 1).withColumn("n", told.cast("long")).select(
-        "value",
-        F.sum("n").over(upto).alias("reached"),
-        F.sum("n").over(everything).alias("total"),
+    groups = list(by)
+    dealt = materialise(
+        counts.select(*groups, "value", F.col("n").cast("long").alias("n"))
+        .repartitionByRange(*groups, "value")
+        .withColumn("part", F.spark_partition_id())
     )
+    # One row per task and group: few, whatever the table's size.
+    line = Window.partitionBy(*groups).orderBy("part")
+    totals = dealt.groupBy(*groups, "part").agg(F.sum("n").alias("n"))
+    upto = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    everything = F.sum("n").over(line.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
     points = F.array(*[F.lit(float(p)) for p in shares])
-    return (
-        running.withColumn("share", F.explode(points))
-        .filter(F.col("reached") >= F.ceil(F.col("share") * F.col("total")))
-        .groupBy("share")
-        .agg(F.min("value").alias("value"))
+    place = F.greatest(F.ceil(F.col("share") * F.col("total")), F.lit(1))
+    owners = (
+        totals.select(*groups, "part", "n", upto.alias("upto"), everything.alias("total"))
+        .withColumn("share", F.explode(points))
+        .withColumn("place", place - (F.col("upto") - F.col("n")))
+        .filter((F.col("place") > 0) & (F.col("place") <= F.col("n")))
+    )
+    wanted = owners.groupBy(*groups, "part").agg(F.collect_list(F.struct("share", "place")).alias("wanted"))
+    within = Window.partitionBy(*groups, "part").orderBy("value")
+    reached = F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    found = dealt.join(wanted, [*groups, "part"]).withColumn("reached", reached)
+    own = F.filter(
+        "wanted", lambda w: (w["place"] <= F.col("reached")) & (w["place"] > F.col("reached") - F.col("n"))
     )
+    return found.select(*groups, F.explode(own).alias("own"), "value").select(*groups, "own.share", "value")
 
 
 def normal_quantile_table(counts: DataFrame, power: float, steps: int = 99) -> DataFrame:
@@ -74,22 +85,31 @@ def normal_quantile_table(counts: DataFrame, power: float, steps: int = 99) -> D
 
 def describe_counts(counts: DataFrame) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles from a value table."""
+    counts = materialise(counts)
     v, n = F.col("value").cast("double"), F.col("n")
     size = F.sum(n)
     base = counts.agg(
         size.alias("count"),
         (F.sum(v * n) / size).alias("mean"),
-        F.sqrt(
-            F.try_divide(F.sum(v * v * n) - F.pow(F.sum(v * n), 2) / size, size - 1)
-        ).alias("stddev"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
+    middle = base.select("mean").scalar()
+    spread = counts.agg(F.sum(F.pow(v - middle, 2) * n).alias("squares")).scalar()
+    deviation = F.sqrt(F.try_divide(spread, F.col("count") - 1))
     names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
-    quartiles = exact_quantiles(counts, list(names)).agg(
-        *[F.max(F.when(F.col("share") == p, F.col("value"))).alias(name) for p, name in names.items()]
+    quartiles = materialise(exact_quantiles(counts, list(names)))
+    return base.select(
+        "count",
+        "mean",
+        deviation.alias("stddev"),
+        "min",
+        "max",
+        *[
+            quartiles.filter(F.col("share") == p).select("value").scalar().alias(name)
+            for p, name in names.items()
+        ],
     )
-    return base.select("*", *[quartiles.select(name).scalar().alias(name) for name in names.values()])
 
 
 def boxcox_profile(counts: DataFrame, grid: list[float]) -> DataFrame:
@@ -166,78 +186,186 @@ def power_correlations(
 
 
 def correlation_matrix(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Pearson correlations in long form; rows with nulls are left out."""
-    numeric = rows.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).na.drop()
-    places = [(i, j) for i in range(len(columns)) for j in range(i + 1, len(columns))]
-    # The upper triangle in one aggregation.
-    found = numeric.agg(
-        *[F.corr(F.col(f"`{columns[i]}`"), F.col(f"`{columns[j]}`")).alias(f"c{i}_{j}") for i, j in places],
-        *[F.when(F.stddev_pop(F.col(f"`{c}`")) > 0, 1.0).otherwise(float("nan")).alias(f"c{i}_{i}") for i, c in enumerate(columns)],
+    """Pearson correlations in long form; rows with nulls are left out, a constant column gives NaN.
+
+    The columns are written once, which also observes their means; one aggregate of sums and products
+    of what they differ from these then gives all correlations on its single row.
+    """
+    numeric = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"x{i}") for i, c in enumerate(columns)])
+    seen, size = Observation(), len(columns)
+    kept = written_table(numeric.na.drop().observe(seen, *[F.avg(f"x{i}").alias(f"m{i}") for i in range(size)]))
+    x = [F.col(f"x{i}") - F.lit(seen.get[f"m{i}"] or 0.0) for i in range(size)]
+    upper = [(i, j) for i in range(size) for j in range(i, size)]
+    sums = kept.agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.sum(x[i]).alias(f"s{i}") for i in range(size)],
+        *[F.sum(x[i] * x[j]).alias(f"p{i}_{j}") for i, j in upper],
     )
+    shared = sums.select(
+        *[
+            (F.col(f"p{i}_{j}") - F.try_divide(F.col(f"s{i}") * F.col(f"s{j}"), F.col("n"))).alias(f"c{i}_{j}")
+            for i, j in upper
+        ]
+    )
+
+    def correlation(i: int, j: int) -> Column:
+        found = F.try_divide(F.col(f"c{i}_{j}"), F.sqrt(F.col(f"c{i}_{i}")) * F.sqrt(F.col(f"c{j}_{j}")))
+        return F.when(F.col(f"c{i}_{i}").isNotNull(), F.coalesce(found, F.lit(float("nan"))))
+
     lines = F.array(
         *[
-            F.struct(
-                F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("correlation")
-            )
+            F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), correlation(min(i, j), max(i, j)).alias("correlation"))
             for i, a in enumerate(columns)
             for j, b in enumerate(columns)
         ]
     )
-    return found.select(F.inline(lines))
+    return shared.select(F.inline(lines))
+
+
+@dataclass(frozen=True)
+class Components:
+    """Principal components: the centre, one loading vector per component (column) and the share of the
+    whole variance that each explains. A vector's largest loading is positive."""
+
+    columns: tuple[str, ...]
+    centre: np.ndarray
+    loadings: np.ndarray
+    explained: np.ndarray
+
+    def score(self, component: int) -> Column:
+        """A row's score as a plain expression of its columns."""
+        parts = [
+            (F.col(f"`{c}`") - F.lit(float(self.centre[i]))) * F.lit(float(self.loadings[i, component]))
+            for i, c in enumerate(self.columns)
+        ]
+        return reduce(lambda total, part: total + part, parts)
+
+
+def deviation_products(cells: DataFrame, columns: list[str]) -> tuple[float, np.ndarray, np.ndarray]:
+    """Weight, means, and sums of products of deviations from them, over weighted cells.
+
+    Both aggregates have a fixed number of sums, whatever the table's size.
+    """
+    w, size = F.col("weight"), len(columns)
+    first = cells.agg(
+        F.sum(w).alias("n"), *[F.sum(F.col(f"`{c}`") * w).alias(f"s{i}") for i, c in enumerate(columns)]
+    ).first()
+    if not first["n"]:
+        raise ValueError("no rows")
+    centre = np.array([first[f"s{i}"] / first["n"] for i in range(size)])
+    x = [F.col(f"`{c}`") - F.lit(float(m)) for c, m in zip(columns, centre)]
+    upper = [(i, j) for i in range(size) for j in range(i, size)]
+    found = cells.agg(*[F.sum(x[i] * x[j] * w).alias(f"p{i}_{j}") for i, j in upper]).first()
+    products = np.zeros((size, size))
+    for (i, j), value in zip(upper, found):
+        products[i, j] = products[j, i] = value
+    return float(first["n"]), centre, products
+
+
+def principal_components(rows: DataFrame, columns: list[str], k: int = 2) -> Components:
+    """The first components of the covariance of complete rows.
+
+    Rows that agree in all columns, such as the trips of one hour, are counted as one weighted cell
+    first, so what is added up grows with the distinct rows.
+    """
+    numeric = rows.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in columns]).na.drop()
+    counted = numeric.groupBy(*[f"`{c}`" for c in columns]).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    _, centre, products = deviation_products(materialise(counted), columns)
+    values, vectors = np.linalg.eigh(products)
+    values, vectors = values[::-1], vectors[:, ::-1][:, :k]
+    largest = vectors[np.abs(vectors).argmax(axis=0), np.arange(vectors.shape[1])]
+    total = values.sum() or 1.0
+    return Components(tuple(columns), centre, vectors * np.where(largest < 0, -1.0, 1.0), values[:k] / total)
 
 
 def with_components(rows: DataFrame, columns: list[str], k: int = 2, names=("pca_a", "pca_b")):
-    """Rows with their scores on the first components of the centred columns, and the model."""
+    """Complete rows with their scores on the first components of the centred columns, and the components."""
     complete = rows.na.drop(subset=columns)
-    vectors = VectorAssembler(inputCols=columns, outputCol="_raw").transform(complete)
-    centred = StandardScaler(inputCol="_raw", outputCol="_centred", withMean=True, withStd=False)
-    centred_rows = centred.fit(vectors).transform(vectors)
-    model = PCA(k=k, inputCol="_centred", outputCol="_scores").fit(centred_rows)
-    scores = vector_to_array("_scores")
-    scored = model.transform(centred_rows).withColumns({n: scores[i] for i, n in enumerate(names)})
-    return scored.drop("_raw", "_centred", "_scores"), model
-
-
-def _term_columns(cells: DataFrame, numeric: list[str], categorical: list[str]):
-    """Design columns: (term, column, level); the first level of a category is the base."""
-    design = [(c, c, None) for c in numeric]
-    if categorical:
-        levels = cells.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in categorical]).first()
-        design += [(c, c, level) for c in categorical for level in levels[c][1:]]
-    return design
+    found = principal_components(complete, columns, k)
+    return complete.withColumns({name: found.score(i) for i, name in enumerate(names[:k])}), found
 
 
-def _gram(cells: DataFrame, design, scales) -> np.ndarray:
-    """Weighted products of all design columns, intercept first and label last.
+@dataclass(frozen=True)
+class DesignSums:
+    """Weighted products of all design columns, intercept first and label last, with what is left within
+    the cells. ``terms`` names each design column's term; the first level of a category is its base."""
 
-    Tasks reduce their rows to one triangular table with numpy; Spark adds those up.
+    terms: tuple[str, ...]
+    products: np.ndarray
+    weight: float
+    within: float
+
+
+def design_sums(cells: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DesignSums:
+    """The products that every linear model on these columns needs (cells with ``label``, ``weight`` and
+    ``within``).
+
+    Numbers meet in one aggregate. A level meets numbers in sums grouped by level, and another level in
+    weights grouped by pairs of levels, so no dense design row is ever made; what reaches the driver are
+    the products themselves, whose number only grows with the levels.
     """
-    size = len(design) + 2
-    columns = sorted({column for _, column, _ in design})
-
-    def block(batches):
-        total = np.zeros((size, size))
-        for batch in batches:
-            x = np.ones((len(batch), size))
-            for i, (_, column, level) in enumerate(design, start=1):
-                values = batch[column].to_numpy()
-                if level is None:
-                    mean, deviation = scales[column]
-                    x[:, i] = (values - mean) / (deviation or 1.0)
-                else:
-                    x[:, i] = values == level
-            x[:, -1] = batch["label"].to_numpy()
-            total += x.T @ (x * batch["weight"].to_numpy()[:, None])
-        i, j = np.triu_indices(size)
-        yield pd.DataFrame({"i": i, "j": j, "v": total[i, j]})
-
-    parts = cells.select(*[F.col(f"`{c}`") for c in columns], "label", "weight").mapInPandas(
-        block, "i int, j int, v double"
+    kept, numeric, categorical = materialise(cells), list(numeric), list(categorical)
+    scales = weighted_scales(kept, [*numeric, "label"])
+    named = [f"x{i}" for i in range(len(numeric) + 1)]
+    scaled = [
+        (F.col(f"`{c}`") - F.lit(scales[c][0])) / F.lit((scales[c][1] or 1.0) if c != "label" else 1.0)
+        for c in [*numeric, "label"]
+    ]
+    levels = [F.col(f"`{c}`").alias(f"g{i}") for i, c in enumerate(categorical)]
+    table = kept.select(
+        "weight", "within", *[x.cast("double").alias(n) for x, n in zip(scaled, named)], *levels
     )
-    gram = np.zeros((size, size))
-    for row in parts.groupBy("i", "j").agg(F.sum("v").alias("v")).collect():
-        gram[row["i"], row["j"]] = gram[row["j"], row["i"]] = row["v"]
-    return gram
+    w = F.col("weight")
+    upper = [(i, j) for i in range(len(named)) for j in range(i, len(named))]
+    sums = [F.sum("weight").alias("n"), *[F.sum(F.col(n) * w).alias(n) for n in named]]
+    one = table.agg(
+        *sums,
+        F.sum("within").alias("within"),
+        *[F.sum(F.col(named[i]) * F.col(named[j]) * w).alias(f"p{i}_{j}") for i, j in upper],
+    ).first()
+    # (category, level) of each design column, in order
+    by_level, pairs = {}, []
+    if categorical:
+        groups = [f"g{i}" for i in range(len(categorical))]
+        single = table.groupingSets([[g] for g in groups], *groups).agg(F.grouping_id().alias("kind"), *sums)
+        for row in single.toLocalIterator():
+            i = next(i for i in range(len(groups)) if not row["kind"] >> (len(groups) - 1 - i) & 1)
+            by_level[i, row[f"g{i}"]] = row
+        both = [[a, b] for k, a in enumerate(groups) for b in groups[k + 1 :]]
+        if both:
+            pairs = table.groupingSets(both, *groups).agg(F.grouping_id().alias("kind"), F.sum("weight").alias("n"))
+    columns = []
+    for i in range(len(categorical)):
+        own = sorted(level for k, level in by_level if k == i)
+        columns += [(i, level) for level in own[1:]]
+    first = 1 + len(numeric)
+    place = {key: first + k for k, key in enumerate(columns)}
+    size = first + len(columns) + 1
+    products = np.zeros((size, size))
+
+    def put(i: int, j: int, value: float) -> None:
+        products[i, j] = products[j, i] = value
+
+    at = [*range(1, len(numeric) + 1), size - 1]  # where the numbers and the label stand
+    put(0, 0, one["n"] or 0.0)
+    for k, name in enumerate(named):
+        put(0, at[k], one[name] or 0.0)
+    for i, j in upper:
+        put(at[i], at[j], one[f"p{i}_{j}"] or 0.0)
+    for key, k in place.items():
+        row = by_level[key]
+        put(0, k, row["n"])
+        put(k, k, row["n"])
+        for m, name in enumerate(named):
+            put(at[m], k, row[name])
+    if pairs:
+        for row in pairs.toLocalIterator():
+            i, j = (i for i in range(len(categorical)) if not row["kind"] >> (len(categorical) - 1 - i) & 1)
+            a, b = place.get((i, row[f"g{i}"])), place.get((j, row[f"g{j}"]))
+            if a and b:
+                put(a, b, row["n"])
+    terms = [*numeric, *[categorical[i] for i, _ in columns]]
+    return DesignSums(tuple(terms), products, one["n"] or 0.0, one["within"] or 0.0)
 
 
 def _residual(gram: np.ndarray, columns: list[int]) -> tuple[float, int]:
@@ -251,29 +379,16 @@ def _residual(gram: np.ndarray, columns: list[int]) -> tuple[float, int]:
     return float(gram[-1, -1] - np.sum(projected**2 / values[used])), int(used.sum())
 
 
-def anova_type2(cells: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
-    """Type-II table of a linear model on weighted cells (``label``, ``weight``, ``within``).
-
-    Every model's residual follows from one pass that adds up the products of the design
-    columns. A term whose columns are linear in the others has no degrees of freedom and
-    is listed with nulls instead of a test.
-    """
-    kept = materialise(cells)
-    numeric, categorical = list(numeric), list(categorical)
-    scales = weighted_scales(kept, [*numeric, "label"])
-    centre = scales["label"][0]
-    totals = kept.agg(F.sum("weight"), F.sum("within")).first()
-    design = _term_columns(kept, numeric, categorical)
-    gram = _gram(kept.withColumn("label", F.col("label") - centre), design, scales)
-    everything = list(range(len(design) + 1))
-    full, rank = _residual(gram, everything)
-    error = full + totals[1]
-    error_df = totals[0] - rank
+def type2_lines(sums: DesignSums, terms: list[str]) -> list[tuple]:
+    """(term, squares, degrees of freedom, F, p) of the model of these terms, the residual last."""
+    chosen = [0, *[i for i, t in enumerate(sums.terms, start=1) if t in terms]]
+    full, rank = _residual(sums.products, chosen)
+    error = full + sums.within
+    error_df = sums.weight - rank
     lines = []
-    for term in [*numeric, *categorical]:
-        reduced, reduced_rank = _residual(
-            gram, [0] + [i for i, d in enumerate(design, start=1) if d[0] != term]
-        )
+    for term in terms:
+        others = [i for i in chosen if i == 0 or sums.terms[i - 1] != term]
+        reduced, reduced_rank = _residual(sums.products, others)
         df = rank - reduced_rank
         if df == 0:
             lines.append((term, 0.0, 0.0, None, None))
@@ -282,6 +397,26 @@ def anova_type2(cells: DataFrame, numeric: list[str], categorical: list[str] = (
         f = (squares / df) / (error / error_df)
         lines.append((term, squares, float(df), f, f_upper_tail(f, df, error_df)))
     lines.append(("Residual", error, float(error_df), None, None))
-    return kept.sparkSession.createDataFrame(
-        lines, "term string, sum_sq double, df double, f double, p_value double"
-    )
+    return lines
+
+
+TYPE2 = "term string, sum_sq double, df double, f double, p_value double"
+
+
+def anova_type2(cells: DataFrame, numeric: list[str], categorical: list[str] = ()) -> DataFrame:
+    """Type-II table of a linear model on weighted cells (``label``, ``weight``, ``within``).
+
+    Every model's residual follows from the sums of :func:`design_sums`. A term whose columns are linear
+    in the others has no degrees of freedom and is listed with nulls instead of a test.
+    """
+    sums = design_sums(cells, numeric, categorical)
+    return cells.sparkSession.createDataFrame(type2_lines(sums, [*numeric, *categorical]), TYPE2)
+
+
+def anova_models(
+    cells: DataFrame, models: dict[str, list[str]], numeric: list[str], categorical: list[str] = ()
+) -> DataFrame:
+    """Type-II tables of several models of the same label, by name, from one set of sums."""
+    sums = design_sums(cells, numeric, categorical)
+    lines = [(name, *line) for name, terms in models.items() for line in type2_lines(sums, terms)]
+    return cells.sparkSession.createDataFrame(lines, f"model string, {TYPE2}")

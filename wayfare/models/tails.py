@@ -19,8 +19,8 @@ def _beta_fraction(a: float, b: float, x: float, limit: int = 10_000) -> float:
             c = c if abs(c) > tiny else tiny
             value *= c * d
         if abs(c * d - 1.0) < 1e-14:
-            break
-    return value
+            return value
+    raise ArithmeticError(f"the tail at {a}, {b}, {x} did not converge")
 
 
 def beta_share(a: float, b: float, x: float) -> float:

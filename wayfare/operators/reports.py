@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wayfare.functions.calendar import minutes
+from wayfare.models.statistics import exact_quantiles
 from wayfare.operators import filters
 from wayfare.operators.columns import tagged
 from wayfare.operators.compare import pair_means, pair_totals
@@ -158,18 +159,15 @@ def null_report(df: DataFrame) -> DataFrame:
 
 
 def summary_report(df: DataFrame, *columns: str) -> DataFrame:
-    """One row per numeric column: non-null count, mean, sample deviation, extremes and approximate
-    quartiles, all in one pass."""
+    """One row per numeric column: non-null count, mean, sample deviation, extremes and exact quartiles
+    (the smallest value that so many rows do not exceed).
+
+    The figures come from one pass; for the quartiles the distinct values of all columns are counted
+    together and searched by range, see :func:`wayfare.models.statistics.exact_quantiles`.
+    """
     numeric = [f.name for f in df.schema if isinstance(f.dataType, T.NumericType)]
     chosen = list(columns) or numeric
-    figures = {
-        "count": lambda v: F.count(v),
-        "mean": lambda v: F.avg(v),
-        "stddev": lambda v: F.stddev_samp(v),
-        "min": lambda v: F.min(v),
-        "max": lambda v: F.max(v),
-        "quartiles": lambda v: F.percentile_approx(v, [0.25, 0.5, 0.75]),
-    }
+    figures = {"count": F.count, "mean": F.avg, "stddev": F.stddev_samp, "min": F.min, "max": F.max}
     one = df.agg(
         *[
             figure(F.col(f"`{c}`").cast("double")).alias(f"{name}{i}")
@@ -183,10 +181,17 @@ def summary_report(df: DataFrame, *columns: str) -> DataFrame:
             for i, c in enumerate(chosen)
         ]
     )
-    return one.select(F.inline(lines)).select(
-        "column", "count", "mean", "stddev", "min", "max",
-        *[F.col("quartiles")[k].alias(name) for k, name in enumerate(("q25", "q50", "q75"))],
-    )
+    values = F.array(
+        *[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for c in chosen]
+    )
+    counts = df.select(F.inline(values)).na.drop().groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+    names = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
+    quartiles = (
+        exact_quantiles(counts, list(names), by=("column",))
+        .groupBy("column")
+        .agg(*[F.max(F.when(F.col("share") == p, F.col("value"))).alias(n) for p, n in names.items()])
+    )
+    return one.select(F.inline(lines)).join(F.broadcast(quartiles), "column", "left")
 
 
 def quality_report(
