@@ -86,20 +86,17 @@ def merged(intervals: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-_built: dict[str, ahocorasick.Automaton] = {}
-
-
 def _automaton(name: str, shared) -> ahocorasick.Automaton:
     """One per worker; name tells the broadcasts apart."""
-    if name not in _built:
-        _built.clear()
+    built = frames.kept_by(name)
+    if not built:
         machine = ahocorasick.Automaton()
         for window, own in shared.value.items():
             shown = f" {window.decode('latin-1')} "
             machine.add_word(shown, (len(shown), window.count(b" ") + 1, own))
         machine.make_automaton()
-        _built[name] = machine
-    return _built[name]
+        built[name] = machine
+    return built[name]
 
 
 def scan(raw: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str]]:

@@ -57,6 +57,21 @@ def removed(frame: DataFrame) -> None:
             folder.getFileSystem(session._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+#: What Python workers keep between tasks, by the name of its user; each value is emptied at once.
+_kept: dict[str, dict] = {}
+
+
+def kept_by(user: str) -> dict:
+    """A store that lasts as long as tasks of one user follow each other in a worker.
+
+    Workers are used again by later stages, so another user's store is emptied here: a model does not
+    stay in memory behind the stage that needs it.
+    """
+    for name in [name for name in _kept if name != user]:
+        _kept.pop(name).clear()
+    return _kept.setdefault(user, {}) if user else {}
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, whatever other columns there are; null texts are empty."""
     importable(docs.sparkSession)

@@ -262,9 +262,6 @@ class Reader:
         return total / sum(map(len, words))
 
 
-_readers: dict[str, Reader] = {}
-
-
 def languages(docs: DataFrame, model: Model) -> DataFrame:
     """One row per document: doc_id, lang_pred, score (its mean probability).
 
@@ -275,10 +272,10 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _readers:
-            _readers.clear()
-            _readers[name] = Reader(shared.value)
-        reader, known = _readers[name], shared.value.languages
+        readers = frames.kept_by(name)
+        if not readers:
+            readers[name] = Reader(shared.value)
+        reader, known = readers[name], shared.value.languages
         for batch in frames.shorter(batches):
             texts = batch.column(1).to_pylist()
             named, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))

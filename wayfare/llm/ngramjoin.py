@@ -15,6 +15,7 @@ else is exact.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -75,6 +76,7 @@ def _surveyed(docs: DataFrame, words: int) -> DataFrame:
     def survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
+        frames.kept_by("")  # models of earlier stages are done with
         total = np.zeros(1 << CELL_BITS, np.int64)
         names = ["doc_id", "n_shingles", "node", "bitmap", "cells", "salt", "counts"]
         for batch in batches:
@@ -100,7 +102,7 @@ def _surveyed(docs: DataFrame, words: int) -> DataFrame:
                 *empty,
                 pa.array(used.astype(np.int32)),
                 pa.array(np.full(len(used), salt, np.int32)),
-                pa.array([rows[k].tobytes() for k in used], pa.binary()),
+                pa.array([packed(rows[k]) for k in used], pa.binary()),
             ],
             names=names,
         )
@@ -111,15 +113,24 @@ def _surveyed(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(survey, schema)
 
 
+def packed(counts: np.ndarray) -> bytes:
+    """Counts of neighbouring cells, most of them small, as a few bytes."""
+    return zlib.compress(counts.astype("<i8").tobytes(), 1)
+
+
+def unpacked(data) -> np.ndarray:
+    return np.frombuffer(zlib.decompress(data), "<i8")
+
+
 def _cell_order(surveyed: DataFrame) -> np.ndarray:
     """The place of every cell among all, by the count of shingles in it."""
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(ROW_CELLS, np.int64)
         for counts in table.column("counts"):
-            total += np.frombuffer(counts.as_buffer(), np.int64)
+            total += unpacked(counts.as_buffer())
         return pa.table(
-            {"cells": table.column("cells")[:1], "salt": table.column("salt")[:1], "counts": [total.tobytes()]},
+            {"cells": table.column("cells")[:1], "salt": table.column("salt")[:1], "counts": [packed(total)]},
             schema=pa.schema([("cells", pa.int32()), ("salt", pa.int32()), ("counts", pa.binary())]),
         )
 
@@ -130,7 +141,7 @@ def _cell_order(surveyed: DataFrame) -> np.ndarray:
     found = sums.toArrow()  # at most 2 ** CELL_BITS counts
     total = np.zeros((1 << CELL_BITS) // ROW_CELLS * ROW_CELLS, np.int64).reshape(-1, ROW_CELLS)
     for cells, counts in zip(found.column("cells").to_pylist(), found.column("counts").to_pylist()):
-        total[cells] = np.frombuffer(counts, np.int64)
+        total[cells] = unpacked(counts)
     order = np.empty(total.size, np.uint32)
     order[np.argsort(total.ravel(), kind="stable")] = np.arange(total.size, dtype=np.uint32)
     return order
@@ -246,7 +257,8 @@ def _met(prefixes: DataFrame, percent: int) -> DataFrame:
             kept_out = 0 if alone[tail[0]] else len(kept)
             held = ([column[kept] for column in (key, node, n, place)], kept_out)
 
-    dealt = prefixes.withColumn("__order", F.xxhash64("node")).repartition("key")
+    # The order is worked out behind the shuffle, so that it is not sent.
+    dealt = prefixes.repartition("key").withColumn("__order", F.xxhash64("node"))
     dealt = dealt.sortWithinPartitions("key", "__order", "node").drop("__order")
     return dealt.mapInArrow(meet, f"key long, node long, n int, place int, {others}")
 
@@ -358,7 +370,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def _bits(column: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), BITMAP // 8)
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), -1)
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
@@ -417,7 +429,9 @@ def _across(
     # Shingles whose nodes are all in one component are done.
     open_keys = rows.groupBy("key").agg(F.min("label").alias("__low"), F.max("label").alias("__high"))
     open_keys = open_keys.filter("__low <> __high").select("key")
-    rows = rows.join(open_keys, "key", "left_semi").join(nodes.select("node", "bitmap"), "node")
+    # Half a bitmap differs in no more bits than the whole; _likely() looks at all of it.
+    half = nodes.select("node", F.substring("bitmap", 1, BITMAP // 16).alias("bitmap"))
+    rows = rows.join(open_keys, "key", "left_semi").join(half, "node")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A row meets every block of its shingle once: in the blocks (own, j) and (j, own).
     rows = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -512,6 +526,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     first = frames.written(_likely(first, nodes, percent))
     links = frames.written(_linked(first, docs, words, percent, shared))
     crowded = _crowded(met)
+    for done in (first, met):
+        frames.removed(done)
     for nearest in (True, False):
         labels = frames.written(components(links))
         across = frames.written(_likely(_across(crowded, labels, nodes, percent, nearest), nodes, percent))
@@ -519,7 +535,12 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
             continue
         more = _linked(across, docs, words, percent, shared)
         stars = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
-        links = frames.written(stars.unionByName(more))
+        found = frames.written(stars.unionByName(more))
+        for done in (links, labels, across):
+            frames.removed(done)
+        links = found
+    for done in (crowded, nodes):
+        frames.removed(done)
     tops = components(links).select("node", F.col("label").alias("__top"))
     placed = numbered.select("doc_id", "n_shingles", "node").join(tops, "node", "left").withColumn(
         "__top", F.when(F.col("node") != 0, F.coalesce("__top", "node"))

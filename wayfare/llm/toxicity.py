@@ -531,9 +531,6 @@ def _described(rows: DataFrame, model: Evidence | Tables) -> list[tuple[tuple[fl
     return sorted((tuple(x["row"]), x["mark"]) for x in found.collect())
 
 
-_scorers: dict[str, Scorer] = {}
-
-
 def toxicity(docs: DataFrame, model: Model, limit: float = 0.3, rows: bool = False) -> DataFrame:
     """One row per document: doc_id, score (0 to 1), predicted (1 if score >= limit, else 0), and if
     asked for the whole document as the struct `row`.
@@ -546,10 +543,10 @@ def toxicity(docs: DataFrame, model: Model, limit: float = 0.3, rows: bool = Fal
     name = uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if name not in _scorers and not stored:
-            _scorers.clear()
-            _scorers[name] = Scorer(shared.value.evidence)
-        scorer = _scorers.get(name)
+        scorers = frames.kept_by(name)
+        if not scorers and not stored:
+            scorers[name] = Scorer(shared.value.evidence)
+        scorer = scorers.get(name)
         for batch in frames.shorter(batches):
             found = known_features(batch) if stored else scorer.features(frames.raw_column(batch.column(1)))
             scores = shared.value.curve.scores(found)
