@@ -114,11 +114,12 @@ def test_best_rows_are_those_of_all_pairs(spark):
     centres = chance.normal(size=(5, 6))
     rows = [(k, (centres[k % 5] + 0.2 * chance.normal(size=6)).tolist()) for k in range(700)]
     rows += [(1000 + k, rows[0][1]) for k in range(40)]  # a common vector
+    rows += [(3000, rows[3][1]), (3000, rows[3][1]), (3020, [2.2e6] + [0.0] * 5), (3021, [-2.2e6, 2.0] + [0.5] * 4)]  # twins, large ones
     rows += [(2000, None), (2100, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (2200, [float("nan")] * 6), (None, [0.1] * 6), (700, [0.0] * 6)]
     schema = "vec_id long, embedding array<double>, score string, rank int"
     table = spark.createDataFrame([(i, v, "s", 1) for i, v in rows], schema)
     asked = table.filter(F.col("vec_id") % 20 == 0)
-    for size in (50, 4096):
+    for size in (8, 50, 4096):
         found = mtree.top_k(table, asked, k=7, tree_size=size).collect()
         expected = plain_best(rows, [(i, v) for i, v in rows if i is not None and i % 20 == 0], 7)
         assert sorted(map(tuple, found)) == expected
@@ -140,13 +141,14 @@ def test_bounds_save_computations():
 
     pages = [
         (0, n, p["leaf"], rows[p["rows"]].astype("<i8").tobytes(), p["radii"], p["parents"], p["children"],
-         [[int(r)] for r in p["rows"]] if p["leaf"] else [])
+         [[int(r)] for r in p["rows"]] if p["leaf"] else [], 0.0)
         for n, p in enumerate(mtree.built(rows, largest))
     ]
     tree = mtree.Tree(pd.DataFrame(pages, columns=[x.split()[0] for x in mtree.PAGES.split(", ")]), 3, largest)
-    query = rows[17]
-    found = tree.search(query, 17, True, 5, -np.inf)
-    scores = rows @ query
-    scores[17] = -np.inf
-    assert [s for s, _ in found] == sorted(scores, reverse=True)[:5]
-    assert tree.computed < len(rows) / 2
+    asked = [17, 40, 999]
+    found = tree.search(rows[asked].astype("<i8"), asked, np.full(3, mtree.NO_FLOOR), 5, True)
+    for at, answers in zip(asked, found):
+        scores = rows @ rows[at]
+        scores[at] = -np.inf
+        assert [-s for s, _ in answers] == sorted(scores, reverse=True)[:5]
+    assert tree.computed < 3 * len(rows) / 2

@@ -2,14 +2,15 @@
 
 Inner products become distances by one more coordinate: x gets sqrt(M^2 - |x|^2), M the largest norm,
 and a query gets 0; then d(q, x)^2 = |q|^2 + M^2 - 2 q.x, so nearest is best. Vectors are dealt to the
-nearest of a bounded number of pivots, crowded regions are split, and each part becomes one M-tree of
-bounded size whose pages are rows. A page's entry stores its vector, the covering radius of what is
-below, and its distance to the page's own pivot.
-
-A query searches the tree it lies in first; the score it reaches bounds the search of all others,
-which it visits in blocks of queries. Inside a tree, pages come best first, and an entry is passed
-over without computing its distance if |d(q, pivot) - d(entry, pivot)| - radius is beyond the bound.
-Equal vectors are one entry with their smallest ids, as many as an answer can hold.
+nearest of a bounded number of pivots; a crowded region is cut into shells by distance from its pivot.
+Each part becomes one M-tree of bounded size whose pages are rows. A page's entry stores its vector,
+the covering radius of what is below, and its distance to the page's own pivot.
+
+A query searches the tree it lies in first; the score it reaches bounds the search of all others. Only
+trees whose root's covering ball it can reach get it. Inside a tree a block of queries descends
+together, nearest pages first, and a query passes over an entry without computing its distance if
+|d(q, pivot) - d(entry, pivot)| - radius is beyond its bound. Equal vectors are one entry with their
+smallest ids, as many as an answer can hold.
 """
 
 from __future__ import annotations
@@ -24,19 +25,25 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wayfare.llm import frames
+from wayfare.operators.running import with_running
 
 #: Distinct vectors in one tree, about, and entries of a page.
 TREE, PAGE = 4096, 32
 #: Pivots that vectors are dealt to, at most: a sample of the vectors, sent to all tasks.
 PIVOTS = 1024
-#: Queries in one block.
+#: Queries that descend a tree together.
 BLOCK = 512
-#: Components are whole numbers below this size; vectors with larger ones take no part.
-LARGEST = 1 << 31
+#: Bytes of root vectors that tasks are sent at once; more roots are met in several passes.
+ROOT_BYTES = 32 << 20
+#: Whole numbers of 8 bytes hold components up to here.
+LARGEST = 2.0**62
+
+#: Stands for no floor: every score is above it.
+NO_FLOOR = -(1 << 63)
 
 PAGES = (
     "tree long, page int, leaf boolean, vectors binary, radii array<double>, "
-    "parents array<double>, children array<int>, ids array<array<long>>"
+    "parents array<double>, children array<int>, ids array<array<long>>, reach double"
 )
 
 
@@ -49,10 +56,14 @@ def quantised(vectors: DataFrame, key: str, value: str, scale: int) -> DataFrame
             for vec_id, own in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if vec_id is None or own is None or any(x is None for x in own):
                     continue
-                own = np.floor(scale * np.array(own, np.float64))
-                if np.isfinite(own).all() and (np.abs(own) < LARGEST).all():
-                    ids.append(vec_id)
-                    out.append(own.astype("<i8").tobytes())
+                own = np.array(own, np.float64)
+                if not np.isfinite(own).all():
+                    continue
+                own = np.floor(scale * own)
+                if not (np.abs(own) < LARGEST).all():
+                    raise OverflowError(f"vector {vec_id}: its products are no longs")
+                ids.append(vec_id)
+                out.append(own.astype("<i8").tobytes())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "vector"]
             )
@@ -127,51 +138,85 @@ class Tree:
         self.largest = largest
         self.pages = {}
         for page in pages.itertuples():
-            exact = matrix([page.vectors[k : k + 8 * width] for k in range(0, len(page.vectors), 8 * width)], width)
+            exact = np.frombuffer(page.vectors, "<i8").reshape(-1, width)
             self.pages[page.page] = (
-                page.leaf, exact, np.array(page.radii), np.array(page.parents), page.children, page.ids
-            )
+                page.leaf, exact, exact.astype(float), np.array(page.radii), np.array(page.parents),
+                page.children, page.ids,
+            )
         self.computed = 0
 
-    def search(self, query: np.ndarray, own_id: int, exclude: bool, k: int, floor: float):
-        """The k best (score, id) of at least the score `floor`, ties to smaller ids."""
-        norm = float(query @ query) + self.largest
-        best: list[tuple[int, int]] = []
-
-        def reach(score: float) -> float:
-            return np.sqrt(max(norm - 2 * score, 0.0)) * (1 + 1e-9) + 1e-6
-
-        bound = np.inf if floor == -np.inf else reach(floor)
-        queue = [(0.0, 0, -1.0)]
+    def search(self, queries: np.ndarray, own_ids: list[int], floors: np.ndarray, k: int, home: bool):
+        """For each query the k best (-score, id) of at least its floor, ties to smaller ids.
+
+        Queries are rows of whole numbers. A query's own row is no answer where `home` says that it lies
+        in this tree. Pages come by the least distance at which any query can still reach them.
+        """
+        numbers = queries.astype(float)
+        norms = (numbers**2).sum(axis=1) + self.largest
+        slack = 2e-6 * np.sqrt(norms) + 1e-6
+        floors = floors.copy()
+        best: list[list[tuple[int, int]]] = [[] for _ in queries]
+
+        def reach(own: np.ndarray, score: np.ndarray) -> np.ndarray:
+            return np.sqrt(np.maximum(norms[own] - 2 * score, 0.0)) + slack[own]
+
+        bounds = np.full(len(queries), np.inf)
+        known = np.flatnonzero(floors != NO_FLOOR)
+        bounds[known] = reach(known, floors[known].astype(float))
+        everyone = np.arange(len(queries))
+        queue: list = [(0.0, 0, 0, everyone, np.zeros(len(queries)), None)]
+        order = 0
         while queue:
-            nearest, place, to_pivot = heapq.heappop(queue)
-            if nearest > bound:
-                break
-            leaf, exact, radii, parents, children, ids = self.pages[place]
-            wanted = np.arange(len(exact))
-            if to_pivot >= 0:
-                wanted = np.flatnonzero(np.abs(to_pivot - parents) - radii <= bound)
-            if not len(wanted):
+            _, _, place, own, lows, to_pivot = heapq.heappop(queue)
+            alive = lows <= bounds[own]
+            own = own[alive]
+            if not len(own):
                 continue
-            self.computed += len(wanted)
+            leaf, exact, rows, radii, parents, children, ids = self.pages[place]
+            wanted = np.ones((len(own), len(rows)), bool)
+            if to_pivot is not None:
+                apart = np.abs(to_pivot[alive][:, None] - parents[None, :]) - radii[None, :]
+                wanted = apart <= bounds[own][:, None]
+            some = np.flatnonzero(wanted.any(axis=0))
+            if not len(some):
+                continue
+            self.computed += int(wanted.sum())
             if not leaf:
-                far = np.sqrt(np.maximum(norm - 2 * (exact[wanted] @ query), 0))
-                for at, distance in zip(wanted, far):
-                    low = max(0.0, distance - radii[at])
-                    if low <= bound:
-                        heapq.heappush(queue, (low, int(children[at]), float(distance)))
+                products = numbers[own] @ rows[some].T
+                far = np.sqrt(np.maximum(norms[own][:, None] - 2 * products, 0))
+                low = np.maximum(far - radii[some][None, :], 0)
+                go = wanted[:, some] & (low <= bounds[own][:, None])
+                for at, entry in enumerate(some):
+                    going = np.flatnonzero(go[:, at])
+                    if len(going):
+                        order += 1
+                        heapq.heappush(
+                            queue,
+                            (
+                                float(low[going, at].min()), order, int(children[entry]),
+                                own[going], low[going, at], far[going, at],
+                            ),
+                        )
                 continue
-            scores = exact[wanted].astype(np.int64) @ query.astype(np.int64)
-            for at, score in zip(wanted[scores >= floor], scores[scores >= floor].tolist()):
-                if len(best) < k or score >= -best[-1][0]:
-                    left = list(ids[at])
-                    if exclude and own_id in left and (exact[at] == query).all():
-                        left.remove(own_id)
-                    best = sorted(best + [(-score, own) for own in left[:k]])[:k]
-            if len(best) == k:
-                floor = max(floor, -best[-1][0])
-                bound = min(bound, reach(floor))
-        return [(-score, own) for score, own in best]
+            # Scores that are longs come out right though sums on the way may turn over.
+            scores = queries[own] @ exact[some].T
+            better = wanted[:, some] & (scores >= floors[own][:, None])
+            for at in np.flatnonzero(better.any(axis=1)):
+                query = own[at]
+                found = best[query]
+                for entry in np.flatnonzero(better[at]):
+                    score = int(scores[at, entry])
+                    if len(found) == k and score < -found[-1][0]:
+                        continue
+                    left = list(ids[some[entry]])
+                    if home and own_ids[query] in left and (exact[some[entry]] == queries[query]).all():
+                        left.remove(own_ids[query])
+                    found = sorted(found + [(-score, other) for other in left[:k]])[:k]
+                best[query] = found
+                if len(found) == k:
+                    floors[query] = max(floors[query], -found[-1][0])
+                    bounds[query] = min(bounds[query], reach(np.array([query]), float(floors[query]))[0])
+        return best
 
 
 def top_k(
@@ -186,15 +231,17 @@ def top_k(
     """The k best rows by inner product for every query: query_id, rank, vec_id, score.
 
     Components are floor(scale * x). queries are rows of vectors; a query's own row is no candidate.
-    Ties go to the smaller id. Null ids, null vectors and vectors with null, non-finite or too large
-    components take no part. Vectors of other lengths are read with zeros behind them. Fewer
-    candidates give fewer rows, empty tables none. Repeated rows are candidates of their own. Other
-    columns are not read.
+    Ties go to the smaller id. Null ids, null vectors and vectors with null or non-finite components
+    take no part; components of 2**62 and more are an error, as their products are no longs. Vectors of
+    other lengths are read with zeros behind them. Fewer candidates give fewer rows, empty tables none.
+    Repeated rows are candidates of their own, and as queries they get their answer each. Other columns
+    are not read.
     """
     spark = vectors.sparkSession
     frames.importable(spark)
     rows = frames.written(quantised(vectors, key, value, scale))
-    asked = frames.written(quantised(queries, key, value, scale))
+    asked = quantised(queries, key, value, scale).groupBy("vec_id", "vector")
+    asked = frames.written(asked.agg(F.count("*").alias("twins")))
     # Equal vectors: an answer holds at most k of them beside the query itself.
     nth = F.row_number().over(Window.partitionBy("vector").orderBy("vec_id"))
     distinct = frames.written(
@@ -205,7 +252,6 @@ def top_k(
     )
     width, count = distinct.agg(F.max(F.length("vector")), F.count("*")).first()
     width = (width or 0) // 8
-    schema = "query_id long, rank int, vec_id long, score long"
     if not count or not width:
         zero = asked.join(rows.select("vec_id").limit(0), "vec_id")
         return zero.selectExpr("vec_id as query_id", "1 as rank", "vec_id", "0L as score")
@@ -225,95 +271,145 @@ def top_k(
     def region_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = lifted(matrix(batch.column(0).to_pylist(), width), largest)
-            dots = own @ pivots.value.T
-            far = (pivots.value**2).sum(axis=1)[None, :] - 2 * dots
+            far = (pivots.value**2).sum(axis=1)[None, :] - 2 * (own @ pivots.value.T)
+            nearest = far.argmin(axis=1)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(far.argmin(axis=1).astype(np.int32))],
-                names=[*batch.schema.names, "region"],
+                [
+                    *batch.columns,
+                    pa.array(nearest.astype(np.int32)),
+                    pa.array(distances(own, pivots.value[nearest]) if len(own) else np.zeros(0)),
+                ],
+                names=[*batch.schema.names, "region", "far"],
             )
 
     dealt = distinct.select("vector", "ids").mapInArrow(
-        region_of, "vector binary, ids array<long>, region int"
+        region_of, "vector binary, ids array<long>, region int, far double"
+    )
+    # Shells of equal size around a region's pivot.
+    placed = with_running(dealt, ["region"], ["far", "vector"], {"nth": F.lit(1)})
+    shell = F.floor((F.col("nth") - 1) / tree_size)
+    dealt = frames.written(
+        placed.select("vector", "ids", (F.col("region").cast("long") * (1 << 32) + shell).alias("tree"))
     )
-    dealt = frames.written(dealt)
-    # A crowded region is split into as many trees as it needs; at most PIVOTS rows.
-    parts = dealt.groupBy("region").agg(F.ceil(F.count("*") / tree_size).alias("parts")).collect()
-    sizes = {row["region"]: int(row["parts"]) for row in parts}
-    split = F.create_map(*(F.lit(x) for region in sorted(sizes) for x in (region, sizes[region])))
-    tree = F.col("region").cast("long") * (1 << 32) + F.pmod(F.xxhash64("vector"), split[F.col("region")])
-    dealt = dealt.withColumn("tree", tree)
 
     def build(own: pd.DataFrame) -> pd.DataFrame:
         own = own.sort_values("vector", ignore_index=True)
         rows_here = matrix(own["vector"], width)
+        high = lifted(rows_here, largest)
+        reach = float(distances(high, high[0]).max())
+        whole = np.stack([np.frombuffer(v.ljust(8 * width, bytes(1)), "<i8") for v in own["vector"]])
         out = []
         for place, page in enumerate(built(rows_here, largest)):
             at = page["rows"]
             out.append(
                 (
-                    own["tree"][0], place, page["leaf"], rows_here[at].astype("<i8").tobytes(),
+                    own["tree"][0], place, page["leaf"], whole[at].tobytes(),
                     page["radii"].tolist(), page["parents"].tolist(), page["children"].tolist(),
-                    [list(own["ids"][r]) for r in at] if page["leaf"] else [],
+                    [list(own["ids"][r]) for r in at] if page["leaf"] else [], reach,
                 )
             )
+        # The root's pivot, row 0, as a page of its own that no search enters.
+        out.append((own["tree"][0], -1, False, whole[:1].tobytes(), [], [], [], [], reach))
         return pd.DataFrame(out, columns=[part.split()[0] for part in PAGES.split(", ")])
 
     pages = frames.written(dealt.groupBy("tree").applyInPandas(build, PAGES))
-    homes = dealt.select("vector", "tree")
-    asked = asked.join(homes, "vector").withColumn(
+    tops = frames.written(pages.filter("page = -1").select("tree", F.col("vectors").alias("pivot"), "reach"))
+    pages = pages.filter("page >= 0")
+    asked = asked.join(dealt.select("vector", F.col("tree").alias("home")), "vector").withColumn(
         "block", F.pmod(F.xxhash64("vec_id"), F.lit(max(1, asked.count() // BLOCK + 1)))
     )
-    found = "query_id long, vector binary, home long, vec_id long, score long"
+    asked = frames.written(asked)
+    found = "query_id long, vector binary, vec_id long, score long"
 
     def search(own_pages: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(own_pages) and len(own):
             known = Tree(own_pages, width, largest)
-            here = own_pages["tree"].iloc[0]
-            for row in own.itertuples():
-                query = matrix([row.vector], width)[0]
-                floor = -np.inf if pd.isna(row.floor) else float(row.floor)
-                for score, vec_id in known.search(query, row.vec_id, row.home == here, k, floor):
-                    out.append((row.vec_id, row.vector, row.home, vec_id, score))
+            home = bool(own["home"].iloc[0] == own_pages["tree"].iloc[0])
+            own_ids = own["vec_id"].tolist()
+            for first in range(0, len(own), BLOCK):
+                part = own.iloc[first : first + BLOCK]
+                asking = np.stack([np.frombuffer(v.ljust(8 * width, bytes(1)), "<i8") for v in part["vector"]])
+                floors = part["floor"].to_numpy()
+                ids = own_ids[first : first + BLOCK]
+                for at, answers in enumerate(known.search(asking, ids, floors, k, home)):
+                    vector = part["vector"].iloc[at]
+                    out += [(ids[at], vector, other, -score) for score, other in answers]
         return pd.DataFrame(out, columns=[part.split()[0] for part in found.split(", ")])
 
     # First the tree that the query itself lies in.
-    ready = asked.select(
-        "vec_id", "vector", F.col("tree").alias("home"), "tree", F.lit(None).cast("long").alias("floor")
-    )
-    near = frames.written(
-        pages.groupBy("tree").cogroup(ready.groupBy("tree")).applyInPandas(search, found)
-    )
+    homes = asked.groupBy("home").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    ready = asked.join(homes, "home").select(
+        "vec_id", "vector", "home", F.col("home").alias("tree"),
+        F.pmod(F.xxhash64("vec_id"), F.col("blocks")).alias("block"), F.lit(NO_FLOOR).alias("floor"),
+    )
+    near = frames.written(meeting(pages, ready, search, found))
     floors = near.groupBy(F.col("query_id").alias("vec_id"), "vector").agg(
-        F.min("score").alias("floor"), F.count("*").alias("__n")
-    )
-    # Each row of a repeated query counts its own k.
-    twins = asked.groupBy("vec_id", "vector").agg(F.count("*").alias("__twins"))
-    floors = floors.join(twins, ["vec_id", "vector"]).select(
-        "vec_id", "vector", F.when(F.col("__n") >= F.col("__twins") * k, F.col("floor")).alias("floor")
-    )
-    blocks = asked.join(floors, ["vec_id", "vector"], "left")
-    trees = pages.select("tree").distinct()
-    numbers = blocks.select("block").distinct()
-    # Every tree meets every block of queries; both are copied per meeting, in bounded pieces.
-    trees = pages.select(F.col("tree").alias("__other")).distinct()
-    tree_list = trees.agg(F.sort_array(F.collect_list("__other")).alias("__trees"))
-    block_list = blocks.select("block").distinct().agg(F.collect_list("block").alias("__blocks"))
-    meeting = blocks.join(F.broadcast(tree_list)).withColumn("__other", F.explode("__trees"))
-    meeting = meeting.filter(F.col("__other") != F.col("tree")).select(
-        "vec_id", "vector", F.col("tree").alias("home"), F.col("__other").alias("tree"), "block", "floor"
-    )
-    copies = pages.join(F.broadcast(block_list)).withColumn("block", F.explode("__blocks"))
-    copies = copies.drop("__blocks")
-    far = (
-        copies.groupBy("tree", "block")
-        .cogroup(meeting.groupBy("tree", "block"))
-        .applyInPandas(search, found)
+        F.min("score").alias("low"), F.count("*").alias("n")
     )
+    floors = floors.select("vec_id", "vector", F.when(F.col("n") >= k, F.col("low")).alias("floor"))
+    bounded = asked.drop("twins").join(floors, ["vec_id", "vector"], "left")
+    bounded = frames.written(bounded.withColumn("floor", F.coalesce("floor", F.lit(NO_FLOOR))))
+    others = frames.written(reached_trees(bounded, tops, width, largest))
+    far = meeting(pages, others, search, found)
     best = Window.partitionBy("query_id", "vector").orderBy(F.desc("score"), "vec_id")
-    merged = near.unionByName(far)
-    merged = merged.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
-    return merged.selectExpr("query_id", "rank", "vec_id", "score")
+    merged = near.unionByName(far).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    again = asked.select(F.col("vec_id").alias("query_id"), "vector", F.explode(F.sequence(F.lit(1), F.col("twins").cast("int"))))
+    return merged.join(again, ["query_id", "vector"]).selectExpr("query_id", "rank", "vec_id", "score")
+
+
+def meeting(pages: DataFrame, asked: DataFrame, search, found: str) -> DataFrame:
+    """Trees with the blocks of queries that asked for them; a tree is copied for each block."""
+    blocks = asked.groupBy(F.col("tree").alias("__tree"), F.col("block").alias("__block")).agg(F.count("*"))
+    copies = pages.join(blocks, F.col("tree") == F.col("__tree")).select(
+        *pages.columns, F.col("__block").alias("block")
+    )
+    return copies.groupBy("tree", "block").cogroup(asked.groupBy("tree", "block")).applyInPandas(search, found)
+
+
+def reached_trees(asked: DataFrame, tops: DataFrame, width: int, largest: float) -> DataFrame:
+    """The queries once for each tree but their own whose ball their bound reaches.
+
+    Tasks are sent the roots, some thousandths of the vectors, in passes of bounded size.
+    """
+    size = 8 * width + 24
+    passes = int(tops.count() * size // ROOT_BYTES) + 1
+    fields = "vec_id long, vector binary, home long, tree long, block long, floor long"
+    out = None
+    for k in range(passes):
+        part = tops.filter(F.pmod(F.xxhash64("tree"), F.lit(passes)) == k).orderBy("tree").collect()
+        if not part:
+            continue
+        trees = np.array([row["tree"] for row in part], np.int64)
+        centres = matrix([bytes(row["pivot"]) for row in part], width)
+        radii = np.array([row["reach"] for row in part])
+        shared = asked.sparkSession.sparkContext.broadcast((trees, centres, radii))
+
+        def choose(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            trees, centres, radii = shared.value
+            for batch in frames.shorter(batches, 64):
+                vec_ids, vectors, homes, blocks, floors = batch.columns
+                numbers = matrix(vectors.to_pylist(), width)
+                norms = (numbers**2).sum(axis=1) + largest
+                far = np.sqrt(np.maximum(norms[:, None] - 2 * (numbers @ centres.T), 0))
+                low = floors.to_numpy(zero_copy_only=False).astype(float)
+                reach = np.sqrt(np.maximum(norms - 2 * low, 0)) + 4e-6 * np.sqrt(norms) + 1e-6
+                wanted = far - radii[None, :] <= reach[:, None]
+                wanted &= homes.to_numpy(zero_copy_only=False)[:, None] != trees[None, :]
+                query, tree = np.nonzero(wanted)
+                at = pa.array(query)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        vec_ids.take(at), vectors.take(at), homes.take(at), pa.array(trees[tree]),
+                        blocks.take(at), floors.take(at),
+                    ],
+                    names=["vec_id", "vector", "home", "tree", "block", "floor"],
+                )
+
+        own = asked.select("vec_id", "vector", "home", F.col("block").cast("long"), "floor")
+        chosen = own.mapInArrow(choose, fields)
+        out = chosen if out is None else out.unionByName(chosen)
+    return out
 
 
 SQL = """
