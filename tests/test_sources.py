@@ -139,6 +139,7 @@ def raw(spark, tmp_path):
     (citi / "202101-citibike-tripdata.csv").write_text(
         old + "\n600,2021-01-05 09:00:00,2021-01-05 09:10:00,1,A,40.1,-73.1,2,B,40.2,-73.2,9,s,1990,1\n"
         "600,2021-01-05 09:00:00,2021-01-05 09:10:00,1,A,40.1,-73.1,99,B,40.2,-73.2,9,s,1990,1\n"
+        "600,soon,2021-01-05 09:10:00,1,A,40.1,-73.1,2,B,40.2,-73.2,9,s,\\N,1\n"
     )
     new = ",".join(schemas.BIKES_NEW.names)
     (citi / "202102-citibike-tripdata.csv").write_text(
@@ -159,7 +160,9 @@ def raw(spark, tmp_path):
 def test_whole_run(spark, raw, tmp_path):
     root, months = raw
     curated, out = str(tmp_path / "curated"), str(tmp_path / "out")
-    rows = process.clean_all(spark, root, curated, months)
+    lost = {}
+    rows = process.clean_all(spark, root, curated, months, lost)
+    assert {c: n for c, n in lost.items() if n} == {"starttime": 1, "birth year": 1}
     assert rows == {"yellow": 2, "green": 2, "fhvhv": 2, "citi": 2}
     taxis, bikes = process.curated_trips(spark, curated)
     assert taxis.count() == 6 and bikes.count() == 2
@@ -186,3 +189,48 @@ def test_whole_run(spark, raw, tmp_path):
     modes = spark.read.parquet(f"{out}/taxis")
     assert modes.count() == 6 and {r["split"] for r in modes.collect()} == {"train"}
     assert "weather_pattern" in modes.columns and "pickup_datetime" not in modes.columns
+
+
+def test_months_of_one_layout_are_one_scan(spark, tmp_path):
+    """22 months of two layouts, among them one with its columns in another order."""
+    months = feeds.expand_months()
+    for year, month in months:
+        at = datetime(year, month, 5, 9)
+        code = "long" if year == 2020 else "double"
+        frame = spark.createDataFrame(
+            [(1, at, at, 1.0, 2.0, 1 if code == "long" else 1.0, 1, month, year)],
+            "VendorID long, tpep_pickup_datetime timestamp_ntz, tpep_dropoff_datetime timestamp_ntz, passenger_count double, "
+            f"trip_distance double, RatecodeID {code}, payment_type long, PULocationID long, DOLocationID long",
+        )
+        if year == 2022:
+            frame = frame.withColumn("airport_fee", F.lit(0.0))  # not used by cleaning
+        frame.coalesce(1).write.parquet(str(tmp_path / "yellow" / f"yellow-{year}-{month:02d}.parquet"))
+    trips = feeds.read_months(spark, str(tmp_path), "y", months)
+    plan = trips._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 2
+    rows = trips.collect()
+    assert len(rows) == 22
+    assert all((r["PULocationID"], r["DOLocationID"]) == (r["file_month"], r["file_year"]) for r in rows)
+    assert dict(trips.dtypes)["RatecodeID"] == "int"
+
+
+def test_rejected_values(spark):
+    schema = schemas.T.StructType.fromDDL("a int, b double, c string")
+    text = spark.createDataFrame(
+        [("1", "2.5", "x", "e"), ("one", None, "y", "e"), ("2", "much", None, "e"), ("", "1", "z", "e")],
+        "a string, b string, c string, extra string",
+    )
+    found = {(r["column"], r["value"]) for r in feeds.rejected_values(text, schema).collect()}
+    assert found == {("a", "one"), ("b", "much"), ("a", "")}
+    from pyspark.sql import Observation
+
+    lost = Observation()
+    rows = feeds.typed(text, schema, lost).collect()
+    assert [r["a"] for r in rows] == [1, None, 2, None] and lost.get == {"a": 2, "b": 1, "c": 0}
+
+
+def test_literal_table(spark):
+    table = feeds.literal_table(spark, [(1, "a"), (2, None)], "k int, v string")
+    assert table.dtypes == [("k", "int"), ("v", "string")] and table.count() == 2
+    with pytest.raises(Exception):
+        feeds.literal_table(spark, [("x", "a")], "k int, v string").collect()

@@ -16,7 +16,9 @@ def main() -> None:
     parser.add_argument("--bike-share", type=float, default=1.0)
     given = parser.parse_args()
     spark = build_session()
-    print(process.clean_all(spark, given.raw, given.curated))
+    lost: dict[str, int] = {}
+    print(process.clean_all(spark, given.raw, given.curated, lost=lost))
+    print("values that did not parse:", {column: n for column, n in lost.items() if n})
     shares = {"taxi_share": given.taxi_share, "bike_share": given.bike_share}
     print(process.process_all(spark, given.raw, given.curated, given.out, given.overall, **shares))
     spark.stop()

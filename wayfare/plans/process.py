@@ -28,8 +28,14 @@ def mode_trips(trips: DataFrame, weather: DataFrame, max_seconds: int = filters.
     return with_weather(coded, weather.drop("Date")).drop("pickup_datetime", "dropoff_datetime")
 
 
-def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> dict[str, int]:
-    """Cleans every feed and writes it by month below ``curated``; returns the rows per feed."""
+def clean_all(
+    spark: SparkSession, raw: str, curated: str, months=None, lost: dict[str, int] | None = None
+) -> dict[str, int]:
+    """Cleans every feed and writes it by month below ``curated``; returns the rows per feed.
+
+    ``lost`` receives, per column, the values of the bike files that did not parse (see
+    :func:`wayfare.sources.feeds.rejected_values`); rides without such a value are dropped.
+    """
     months = months or feeds.expand_months()
     stations = feeds.read_feed(spark, raw, "b")
     zones = clean.bike_zones(stations)
@@ -43,12 +49,17 @@ def clean_all(spark: SparkSession, raw: str, curated: str, months=None) -> dict[
         "old": [m for m in months if m < feeds.NEW_BIKES_FROM],
         "new": [m for m in months if m >= feeds.NEW_BIKES_FROM],
     }
+    counters: list = []
     cleaned = [
-        clean.clean_bikes(feeds.read_months(spark, raw, "c", part), stations, layout)
+        clean.clean_bikes(feeds.read_months(spark, raw, "c", part, counters), stations, layout)
         for layout, part in layouts.items()
         if part
     ]
     rows["citi"] = sinks.write_months(feeds.union_feeds(cleaned), f"{curated}/citi", months)
+    if lost is not None:
+        for counter in counters:
+            for column, n in counter.get.items():
+                lost[column] = lost.get(column, 0) + n
     return rows
 
 

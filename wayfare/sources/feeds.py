@@ -1,10 +1,11 @@
 """The trip feeds: where their months lie and how their columns map to the common shape."""
 
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,16 +100,56 @@ def bike_schema(year: int, month: int) -> T.StructType:
     return schemas.BIKES_NEW if (year, month) >= NEW_BIKES_FROM else schemas.BIKES_OLD
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV with a header; without a schema every column is text.
+def read_csv(
+    spark: SparkSession,
+    path: str | list[str],
+    schema: T.StructType | None = None,
+    lost: Observation | None = None,
+) -> DataFrame:
+    """A CSV with a header; without a schema every column is text. Files of one call have one header.
 
     Columns are taken by name, so their order in the file does not matter, extra ones are
-    ignored and a missing one is an error. Values that do not parse become null.
+    ignored and a missing one is an error. Values that do not parse become null; ``lost`` then counts
+    them per column during the scan, and :func:`rejected_values` lists them.
     """
     text = spark.read.option("header", True).csv(path)
-    if schema is None:
-        return text
-    return text.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+    return text if schema is None else typed(text, schema, lost)
+
+
+def _parsed(field: T.StructField):
+    return F.col(f"`{field.name}`").try_cast(field.dataType)
+
+
+def _broken(field: T.StructField):
+    """There is a text, and it is no value of the field's type."""
+    return F.col(f"`{field.name}`").isNotNull() & _parsed(field).isNull()
+
+
+def typed(text: DataFrame, schema: T.StructType, lost: Observation | None = None) -> DataFrame:
+    """Columns of text as the schema's types, and columns it does not name dropped."""
+    if lost is not None:
+        counters = [F.count_if(_broken(f)).alias(f.name) for f in schema]
+        text = text.observe(lost, *counters)
+    return text.select(*[_parsed(f).alias(f.name) for f in schema])
+
+
+def rejected_values(text: DataFrame, schema: T.StructType) -> DataFrame:
+    """One row per value of a table of text that is no value of its column's type: the row as JSON,
+    ``column`` and ``value``. Nothing else of the table is kept."""
+    cells = F.array(
+        *[
+            F.when(_broken(f), F.struct(F.lit(f.name).alias("column"), F.col(f"`{f.name}`").alias("value")))
+            for f in schema
+        ]
+    )
+    row = F.to_json(F.struct(*[f"`{c}`" for c in text.columns]))
+    found = text.select(row.alias("row"), F.explode(F.array_compact(cells)).alias("cell"))
+    return found.select("row", "cell.column", "cell.value")
+
+
+def literal_table(spark: SparkSession, rows: Iterable[tuple], schema: str | T.StructType) -> DataFrame:
+    """A small table written out in code, under a declared schema: a value of another type is an error."""
+    return spark.createDataFrame(list(rows), schema)
 
 
 def harmonise(trips: DataFrame, source: Feed) -> DataFrame:
@@ -135,23 +176,63 @@ def read_feed(spark: SparkSession, root: str, code: str, year: int = 0, month: i
     return read_csv(spark, path, bike_schema(year, month) if code == "c" else source.schema)
 
 
+def _month_of_path(pattern: str) -> tuple:
+    """Year and month of the file a row is read from, by the feed's file pattern."""
+    known = re.escape(pattern).replace(r"\{year\}", r"(\d{4})").replace(r"\{month:02d\}", r"(\d{2})")
+    path = F.col("_metadata.file_path")
+    return tuple(F.regexp_extract(path, known, k).cast("int") for k in (1, 2))
+
+
+def _used_schema(schema: T.StructType, source: Feed) -> T.StructType:
+    """The fields of a file that cleaning uses, under their own names."""
+    common = {own.lower(): name for own, name in source.columns.items()}
+    kinds = {name.lower() for name in source.kinds}
+    used = [f for f in schema if common.get(f.name.lower(), f.name).lower() in kinds]
+    return T.StructType([T.StructField(f.name, f.dataType, True) for f in used])
+
+
 def read_months(
-    spark: SparkSession, root: str, code: str, months: Iterable[tuple[int, int]]
+    spark: SparkSession,
+    root: str,
+    code: str,
+    months: Iterable[tuple[int, int]],
+    lost: list[Observation] | None = None,
 ) -> DataFrame:
     """Several months of a feed as one table.
 
-    The published files change types and gain columns over time, so each month is cast and
-    reduced to the columns that cleaning uses before the union. ``file_year`` and ``file_month``
-    tell which file a row came from.
+    The published files change types and gain columns over time. The months are grouped by what their
+    footers (or headers) say of the columns that cleaning uses; each group is one scan, cast to the
+    common types, and ``file_year`` and ``file_month`` are read off the path of a row's file. So the
+    plan has as many scans as there are layouts, not months. ``lost`` receives one counter of values
+    that do not parse for each scan of text.
     """
-    used = feed(code).kinds
-
-    def month(year: int, number: int) -> DataFrame:
-        trips = read_feed(spark, root, code, year, number)
-        trips = trips.select(*[c for c in used if c in trips.columns]) if used else trips
-        return trips.withColumns({"file_year": F.lit(year), "file_month": F.lit(number)})
-
-    return union_feeds([month(y, m) for y, m in months])
+    source = feed(code)
+    layouts: dict[str, tuple[T.StructType, list[str]]] = {}
+    for year, month in months:
+        path = f"{root}/" + source.path.format(year=year, month=month)
+        if source.is_parquet:
+            layout = _used_schema(spark.read.parquet(path).schema, source)
+            own = layout.json()
+        else:
+            layout = bike_schema(year, month)
+            header = spark.read.option("header", True).csv(path).columns
+            own = repr((layout.names, header))
+        layouts.setdefault(own, (layout, []))[1].append(path)
+    file_year, file_month = _month_of_path(source.path)
+    scans = []
+    for layout, paths in layouts.values():
+        named = {"file_year": file_year, "file_month": file_month}
+        if source.is_parquet:
+            files = spark.read.schema(layout).parquet(*paths)
+            scans.append(harmonise(files.select("*", *[c.alias(n) for n, c in named.items()]), source))
+            continue
+        text = spark.read.option("header", True).csv(paths)
+        counter = None
+        if lost is not None:
+            lost.append(counter := Observation())
+        kept = typed(text.withColumns(named), T.StructType([*layout, *_FILE_FIELDS]), counter)
+        scans.append(kept)
+    return union_feeds(scans)
 
 
 def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:
@@ -160,6 +241,7 @@ def union_feeds(frames: Iterable[DataFrame]) -> DataFrame:
 
 
 FILE_COLUMNS = ["file_year", "file_month"]
+_FILE_FIELDS = [T.StructField(name, T.IntegerType()) for name in FILE_COLUMNS]
 
 
 def trip_shape(trips: DataFrame, **renames: str) -> DataFrame:
