@@ -159,9 +159,20 @@ class Model(NamedTuple):
 
 
 def pieces(words: list[bytes]) -> list[bytes]:
+    """The words, those of more than PIECE bytes in pieces of whole characters."""
     if max(map(len, words), default=0) <= PIECE:
         return words
-    return [word[at : at + PIECE] for word in words for at in range(0, len(word), PIECE)]
+    out = []
+    for word in words:
+        at = 0
+        while len(word) - at > PIECE:
+            end = at + PIECE
+            while word[end] & 0xC0 == 0x80 and end > at + PIECE - 4:
+                end -= 1
+            out.append(word[at:end])
+            at = end
+        out.append(word[at:])
+    return out
 
 
 def fit(docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, kept: int = SAMPLE_WORDS) -> Model:

@@ -412,11 +412,25 @@ def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, shared)
 
 
 def _crowded(met: DataFrame) -> DataFrame:
-    """The rows of shingles with more nodes than were compared one by one, with the number of
-    blocks."""
+    """The rows of shingles with more nodes than were compared one by one, with the number of blocks.
+
+    A shingle is left out if all its nodes have one and the same such shingle next before it: then every
+    pair of them meets there already, and only the first common shingle of a pair matters. So of a
+    passage that many documents share, few shingles stay.
+    """
     counts = met.groupBy("key").agg(F.count("*").alias("__n")).filter(F.col("__n") > FIRST + 1)
     counts = counts.select("key", F.ceil(F.col("__n") / BLOCK).cast("int").alias("blocks"))
-    return frames.written(met.select("key", "node", "n", "place").join(counts, "key"))
+    before = F.lag("key").over(Window.partitionBy("node").orderBy("place"))
+    rows = met.select("key", "node", "n", "place").join(counts, "key").withColumn("__before", before)
+    rows = frames.written(rows)
+    covered = rows.groupBy("key").agg(
+        F.count("*").alias("__n"), F.count("__before").alias("__m"),
+        F.min("__before").alias("__low"), F.max("__before").alias("__high"),
+    )
+    covered = covered.filter("__m = __n and __low = __high").select("key")
+    kept = frames.written(rows.join(covered, "key", "left_anti").drop("__before"))
+    frames.removed(rows)
+    return kept
 
 
 def _across(
