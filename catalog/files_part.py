@@ -8,7 +8,7 @@ from catalog import inputs
 from catalog.trips_part import _fresh_path, _wall_clock, query
 from wayfare.operators.columns import tagged
 from wayfare.plans import process
-from wayfare.sources import feeds, schemas, sinks
+from wayfare.sources import feeds, publish, schemas, sinks
 
 # Station id, zone and new id; the first station's zone is not known.
 STATION_ROWS = [(0, None, "SYS0"), (1, 238, "3.10"), (2, 239, "SYS2")]
@@ -141,7 +141,7 @@ def file_curated(spark, folder):
     """Raw month files of all feeds, of several layouts, cleaned into tables by month and read back."""
     _, target = curated(spark, folder)
     parts = [
-        tagged(_wall_clock(sinks.read_table(spark, f"{target}/{name}")), "feed", name)
+        tagged(_wall_clock(publish.read_months(spark, target, name)), "feed", name)
         for name in ("yellow", "green", "fhvhv", "citi")
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)
@@ -196,3 +196,21 @@ def file_counts(spark, folder):
     out = _fresh_path(spark, "processed")
     process.process_all(spark, root, target, out)
     return sinks.read_table(spark, f"{out}/counts")
+
+
+@query(
+    "file_republished",
+    _CURATED
+    + """SELECT *, CAST(year(pickup_datetime) AS INTEGER) AS year, CAST(month(pickup_datetime) AS INTEGER) AS month
+FROM curated WHERE feed = 'citi' AND NOT (year(pickup_datetime) = 2021 AND month(pickup_datetime) = 3)""",
+)
+def file_republished(spark, folder):
+    """A second release empties one month of one feed; a third dies before it is shown."""
+    _, target = curated(spark, folder)
+    trips = publish.read_months(spark, target, "citi").withColumnsRenamed({"year": "file_year", "month": "file_month"})
+    second = publish.Release(spark, target)
+    second.write_months(trips.filter("false"), "citi", [(2021, 3)])
+    second.commit()
+    third = publish.Release(spark, target)
+    third.write_months(trips.filter("file_year = 2021 AND file_month = 6"), "citi", [(2020, 7), (2021, 6)])
+    return tagged(_wall_clock(publish.read_months(spark, target, "citi")), "feed", "citi")

@@ -9,6 +9,7 @@ from catalog import inputs
 from catalog.inputs import RAW_TAXIS_SQL, with_trips
 from wayfare.functions import calendar, codes
 from wayfare.operators import compare, enrich, filters, reports, sampling, splits
+from wayfare.operators.sides import materialise
 from wayfare.plans import clean, process
 from wayfare.session import shared_folder
 from wayfare.sources import feeds, schemas, sinks
@@ -487,6 +488,21 @@ def variance_rmse(spark, folder):
     )
 
 
+@query(
+    "pair_page",
+    with_trips(
+        f""", {_PAIRED}, numbered AS (SELECT row_number() OVER (ORDER BY {_PAIR}, trip_duration_taxis, trip_duration_bikes) - 1
+    AS number, {_PAIR}, trip_duration_taxis, trip_duration_bikes FROM paired)
+SELECT * FROM numbered WHERE number >= 100 AND number < 600""",
+        study=True,
+    ),
+)
+def pair_page(spark, folder):
+    """A page of the numbered pairs, from the counts alone."""
+    counts = compare.duration_counts(*inputs.modes(inputs.study_trips(spark, folder)))
+    return compare.pair_page(materialise(counts), 100, 500)
+
+
 # ---- per-mode tables and splits ----
 
 _MODE_COLUMNS = (

@@ -188,3 +188,36 @@ def test_a_row_with_very_many_pairs_begins_to_expand(spark, modes, weather):
     row = compare.merged_trips(*modes, weather).limit(1)
     huge = row.withColumn("pairs", F.lit(4 * 10**13).cast("decimal(38,0)"))
     assert len(compare.expand_pairs(huge.coalesce(1), chunk=10**7).limit(3).collect()) == 3
+
+
+def test_pages_of_pairs_equal_slices_of_all(spark):
+    rng = random.Random(12)
+    rows = [
+        (2021, 1, 4, k % 3, 10 + k % 2, 20, 2, rng.choice([None, 5, 6, 60, 61, 600]) if k % 9 else 70 + k, rng.randrange(4), rng.randrange(4))
+        for k in range(60)
+    ]
+    keys = ", ".join(f"{c} int" for c in compare.PAIR_KEYS)
+    counts = spark.createDataFrame(rows, f"{keys}, trip_duration long, n_taxis long, n_bikes long")
+    counts = counts.groupBy(*compare.PAIR_KEYS, "trip_duration").agg(F.sum("n_taxis").alias("n_taxis"), F.sum("n_bikes").alias("n_bikes"))
+    grouped = {}
+    for r in counts.collect():
+        if r["trip_duration"] is not None:
+            own = grouped.setdefault(tuple(r[c] for c in compare.PAIR_KEYS), ([], []))
+            own[0].extend([r["trip_duration"]] * r["n_taxis"])
+            own[1].extend([r["trip_duration"]] * r["n_bikes"])
+    every = [(*key, t, b) for key, (ts, bs) in sorted(grouped.items()) for t in sorted(ts) for b in sorted(bs)]
+    assert len(every) > 100
+    for first, size in ((0, 7), (3, 1), (len(every) // 2, 40), (len(every) - 5, 50), (0, len(every)), (len(every), 5)):
+        found = sorted(map(tuple, compare.pair_page(counts, first, size, chunk=9).collect()))
+        assert found == [(first + k, *row) for k, row in enumerate(every[first : first + size])], (first, size)
+
+
+def test_a_page_of_very_many_pairs(spark):
+    """10**8 pairs of one key: a page from their middle."""
+    keys = ", ".join(f"{c} int" for c in compare.PAIR_KEYS)
+    counts = spark.createDataFrame(
+        [(2021, 1, 4, 9, 10, 20, 2, 100, 5_000, 4_000), (2021, 1, 4, 9, 10, 20, 2, 200, 5_000, 6_000)],
+        f"{keys}, trip_duration long, n_taxis long, n_bikes long",
+    )
+    found = compare.pair_page(counts, 49_999_990, 20).orderBy("number").collect()
+    assert [(r["trip_duration_taxis"], r["trip_duration_bikes"]) for r in found] == [(100, 200)] * 10 + [(200, 100)] * 10

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wayfare.operators import compare
 from wayfare.plans import clean, modelling, process
-from wayfare.sources import feeds, schemas, sinks
+from wayfare.sources import feeds, publish, schemas, sinks
 
 
 def test_months_of_the_study():
@@ -234,3 +234,60 @@ def test_literal_table(spark):
     assert table.dtypes == [("k", "int"), ("v", "string")] and table.count() == 2
     with pytest.raises(Exception):
         feeds.literal_table(spark, [("x", "a")], "k int, v string").collect()
+
+
+def _filed_trips(spark, *months):
+    at = datetime(2021, 1, 5)
+    rows = [(at, at, k, 2, year, month) for k, (year, month) in enumerate(months)]
+    kinds = "pickup_datetime timestamp, dropoff_datetime timestamp, PULocationID int, DOLocationID int"
+    return spark.createDataFrame(rows, f"{kinds}, file_year int, file_month int")
+
+
+def test_a_run_that_dies_midway_changes_nothing(spark, tmp_path):
+    root = str(tmp_path / "curated")
+    months = [(2021, 1), (2021, 2)]
+
+    def shown():
+        return {
+            table: sorted((r["month"], r["PULocationID"]) for r in publish.read_months(spark, root, table).collect())
+            for table in ("yellow", "citi")
+        }
+
+    first = publish.Release(spark, root)
+    for table in ("yellow", "citi"):
+        assert first.write_months(_filed_trips(spark, (2021, 1), (2021, 2), (2021, 2)), table, months) == 3
+    with pytest.raises(ValueError):
+        shown()  # nothing is there before it is published
+    assert first.commit() == 1
+    before = shown()
+    assert before["citi"] == [(1, 0), (2, 1), (2, 2)]
+    # One feed is rewritten, the next one fails: the old months of both stay.
+    second = publish.Release(spark, root)
+    second.write_months(_filed_trips(spark, (2021, 2)), "yellow", [(2021, 2)])
+    with pytest.raises(Exception, match="not named"):
+        second.write_months(_filed_trips(spark, (2021, 3)), "citi", [(2021, 2)])
+    assert shown() == before
+    # A later one empties a month of one feed and leaves the other feed alone.
+    third = publish.Release(spark, root)
+    third.write_months(_filed_trips(spark, (2021, 1)).limit(0), "citi", [(2021, 1)])
+    assert third.commit() == 2
+    assert shown() == {"yellow": before["yellow"], "citi": [(2, 1), (2, 2)]}
+    assert len(publish.read_months(spark, root, "citi", version=1).collect()) == 3
+    assert sorted(publish.delete_unused(spark, root)) == sorted([second.name, third.name])
+    assert shown() == {"yellow": before["yellow"], "citi": [(2, 1), (2, 2)]}
+
+
+def test_two_releases_at_once(spark, tmp_path):
+    root = str(tmp_path / "curated")
+    releases = [publish.Release(spark, root) for _ in range(2)]
+    for k, release in enumerate(releases):
+        release.write_months(_filed_trips(spark, (2021, k + 1)), "yellow", [(2021, k + 1)])
+    # The second finds its number taken.
+    known = publish._versions
+    stale = iter([[], []])
+    publish._versions = lambda spark, root: next(stale, None) or known(spark, root)
+    try:
+        assert [release.commit() for release in releases] == [1, 2]
+    finally:
+        publish._versions = known
+    assert {r["month"] for r in publish.read_months(spark, root, "yellow").collect()} == {1, 2}

@@ -17,6 +17,7 @@ from wayfare.functions.calendar import HOUR_KEYS, with_calendar
 from wayfare.functions.codes import with_pair_codes
 from wayfare.operators import filters
 from wayfare.operators.enrich import with_weather
+from wayfare.operators.running import with_running
 from wayfare.operators.sides import bounded_side, materialise, written_table
 
 PAIR_KEYS = [*HOUR_KEYS, "PULocationID", "DOLocationID", "day_of_week"]
@@ -277,3 +278,74 @@ def difference_spread(outcomes: DataFrame, *by: str) -> DataFrame:
         )
         .select(*by, "pairs", spread.alias("variance"), F.sqrt(spread).alias("naive_rmse"))
     )
+
+
+def pair_page(counts: DataFrame, first: int, size: int, chunk: int = EXPANSION_CHUNK) -> DataFrame:
+    """Pairs number ``first`` up to ``first + size`` of all pairs of stored :func:`duration_counts`, one
+    row each, without building any other.
+
+    Pairs are numbered by key, then taxi duration, then bike duration. Running pair counts over the keys
+    tell which keys the page lies in; within a key of B bike trips, pair r is taxi trip r / B and bike
+    trip r % B in order of duration. So only the trips that the page needs are numbered, and a key of
+    any number of pairs costs no more than its page.
+    """
+    known = counts.filter(F.col("trip_duration").isNotNull())
+    totals = known.groupBy(*PAIR_KEYS).agg(F.sum("n_taxis").alias("taxis"), F.sum("n_bikes").alias("bikes"))
+    totals = totals.filter("taxis > 0 and bikes > 0").withColumns(
+        {"_all": F.lit(0), "pairs": _wide("taxis") * _wide("bikes")}
+    )
+    placed = with_running(totals, ["_all"], PAIR_KEYS, {"upto": F.col("pairs")})
+    before = F.col("upto") - F.col("pairs")
+    start, end = F.lit(first).cast(WIDE), F.lit(first + size).cast(WIDE)
+    keys = materialise(
+        placed.filter((F.col("upto") > start) & (before < end)).select(
+            *PAIR_KEYS,
+            F.col("bikes").cast("long").alias("bikes"),
+            before.cast(WIDE).alias("before"),
+            F.greatest(start - before, F.lit(0).cast(WIDE)).cast("long").alias("low"),
+            (F.least(end, F.col("upto")) - before).cast("long").alias("high"),
+        )
+    )
+    pages = keys.withColumn("part", F.explode(F.sequence(F.lit(0), F.floor((F.col("high") - F.col("low") - 1) / chunk))))
+    low = F.col("low") + F.col("part") * chunk
+    numbers = pages.withColumn("r", F.explode(F.sequence(low, F.least(low + chunk, F.col("high")) - 1))).select(
+        *PAIR_KEYS,
+        (F.col("before") + F.col("r")).cast("long").alias("number"),
+        F.expr("r div bikes").alias("taxi"),
+        F.expr("r % bikes").alias("bike"),
+    )
+
+    def trips(count: str, index: str, wanted: list[tuple[Column, Column]]) -> DataFrame:
+        """The trips of the page's keys that are wanted, numbered by duration."""
+        line = Window.partitionBy(*PAIR_KEYS).orderBy("trip_duration")  # at most max_seconds rows
+        own = known.filter(F.col(count) > 0).join(bounded_side(keys), PAIR_KEYS)
+        upto = F.sum(count).over(line)
+        ranged = own.withColumns({"to": upto, "from": upto - F.col(count)})
+        each = ranged.withColumn(index, F.explode(F.filter(F.array(*_intervals(wanted)), lambda x: x["a"] <= x["b"])))
+        return each.select(
+            *PAIR_KEYS, F.explode(F.sequence(F.col(f"{index}.a"), F.col(f"{index}.b"))).alias(index), "trip_duration"
+        )
+
+    def _intervals(wanted: list[tuple[Column, Column]]) -> list[Column]:
+        """What of the numbers from ``from`` to ``to`` lies in each of the wanted ranges."""
+        return [
+            F.struct(F.greatest("from", a).cast("long").alias("a"), F.least(F.col("to") - 1, b).cast("long").alias("b"))
+            for a, b in wanted
+        ]
+
+    taxi_low, taxi_high = F.expr("low div bikes"), F.expr("(high - 1) div bikes")
+    bike_low, bike_high = F.expr("low % bikes"), F.expr("(high - 1) % bikes")
+    none, last = F.lit(-1).cast("long"), F.col("bikes") - 1
+    short = F.col("high") - F.col("low") < F.col("bikes")  # not every bike trip is met
+    turns = short & (taxi_low < taxi_high)  # it goes on with the first bike trips
+    bike_ranges = [
+        (F.when(short, bike_low).otherwise(0), F.when(short & ~turns, bike_high).otherwise(last)),
+        (F.lit(0).cast("long"), F.when(turns, bike_high).otherwise(none)),
+    ]
+    taxis = trips("n_taxis", "taxi", [(taxi_low, taxi_high)])
+    bikes = trips("n_bikes", "bike", bike_ranges)
+    return (
+        numbers.join(taxis.withColumnRenamed("trip_duration", "trip_duration_taxis"), [*PAIR_KEYS, "taxi"])
+        .join(bikes.withColumnRenamed("trip_duration", "trip_duration_bikes"), [*PAIR_KEYS, "bike"])
+        .select("number", *PAIR_KEYS, "trip_duration_taxis", "trip_duration_bikes")
+    )

@@ -9,7 +9,7 @@ from wayfare.operators import compare, filters
 from wayfare.operators.enrich import prepare_weather, weather_side, with_traffic, with_weather
 from wayfare.operators.sampling import bernoulli_sample
 from wayfare.plans import clean
-from wayfare.sources import feeds, sinks
+from wayfare.sources import feeds, publish, sinks
 
 
 def mode_trips(trips: DataFrame, weather: DataFrame, max_seconds: int = filters.MAX_SECONDS) -> DataFrame:
@@ -31,7 +31,9 @@ def mode_trips(trips: DataFrame, weather: DataFrame, max_seconds: int = filters.
 def clean_all(
     spark: SparkSession, raw: str, curated: str, months=None, lost: dict[str, int] | None = None
 ) -> dict[str, int]:
-    """Cleans every feed and writes it by month below ``curated``; returns the rows per feed.
+    """Cleans every feed and publishes all of them by month below ``curated``; returns the rows per feed.
+
+    Readers see the new months of all feeds at once, when the last one is written, or none of them.
 
     ``lost`` receives, per column, the values of the bike files that did not parse (see
     :func:`wayfare.sources.feeds.rejected_values`); rides without such a value are dropped.
@@ -41,10 +43,10 @@ def clean_all(
     zones = clean.bike_zones(stations)
     street = {"yellow": ("y", clean.clean_yellow), "green": ("g", clean.clean_green),
               "fhvhv": ("hv", clean.clean_for_hire)}
-    rows = {}
+    release, rows = publish.Release(spark, curated), {}
     for name, (code, step) in street.items():
         trips = step(feeds.read_months(spark, raw, code, months), zones)
-        rows[name] = sinks.write_months(trips, f"{curated}/{name}", months)
+        rows[name] = release.write_months(trips, name, months)
     layouts = {
         "old": [m for m in months if m < feeds.NEW_BIKES_FROM],
         "new": [m for m in months if m >= feeds.NEW_BIKES_FROM],
@@ -55,7 +57,8 @@ def clean_all(
         for layout, part in layouts.items()
         if part
     ]
-    rows["citi"] = sinks.write_months(feeds.union_feeds(cleaned), f"{curated}/citi", months)
+    rows["citi"] = release.write_months(feeds.union_feeds(cleaned), "citi", months)
+    release.commit()
     if lost is not None:
         for counter in counters:
             for column, n in counter.get.items():
@@ -69,7 +72,7 @@ def curated_trips(
     """Taxis (all three feeds) and bikes, every month, whole unless a share is asked for."""
 
     def read(name: str, share: float) -> DataFrame:
-        trips = feeds.trip_shape(spark.read.parquet(f"{curated}/{name}"))
+        trips = feeds.trip_shape(publish.read_months(spark, curated, name))
         return trips if share >= 1 else bernoulli_sample(trips, share)
 
     taxis = feeds.union_feeds([read(n, taxi_share) for n in ("yellow", "green", "fhvhv")])

@@ -37,7 +37,7 @@ def shared_folder(spark: SparkSession) -> str:
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", "") or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         folder = tempfile.mkdtemp(prefix="wayfare-")
     if not context.getCheckpointDir():

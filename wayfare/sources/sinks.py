@@ -25,22 +25,10 @@ def write_months(
     already holds one or two months. ``compact`` rebalances first (AQE then splits a month that
     holds much of the data over many tasks).
     """
-    named = F.array(*[F.lit(year * 100 + month) for year, month in months])
-    own = F.col("file_year") * 100 + F.col("file_month")
-    checked = trips.withColumn(
-        "file_year",
-        F.when(F.array_contains(named, own), F.col("file_year")).otherwise(
-            F.raise_error(F.concat(F.lit("trip of a month not named: "), F.coalesce(own.cast("string"), F.lit("null"))))
-        ),
-    )
-    keyed = checked.withColumnsRenamed({"file_year": "year", "file_month": "month"})
+    keyed = _month_keyed(trips, months)
     if compact:
         keyed = keyed.hint("rebalance", "year", "month")
-    each = {
-        f"n{year}_{month}": F.count_if((F.col("year") == year) & (F.col("month") == month))
-        for year, month in months
-    }
-    counted, seen = _observed(keyed, rows=F.count(F.lit(1)), **each)
+    counted, seen = _observed(keyed, rows=F.count(F.lit(1)), **_month_counts(months))
     (
         counted.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -53,6 +41,33 @@ def write_months(
     return seen.get["rows"]
 
 
+def _month_keyed(trips: DataFrame, months: list[tuple[int, int]]) -> DataFrame:
+    """``year`` and ``month`` of a trip's file; a month that is not named is an error."""
+    named = F.array(*[F.lit(year * 100 + month) for year, month in months])
+    own = F.col("file_year") * 100 + F.col("file_month")
+    checked = trips.withColumn(
+        "file_year",
+        F.when(F.array_contains(named, own), F.col("file_year")).otherwise(
+            F.raise_error(F.concat(F.lit("trip of a month not named: "), F.coalesce(own.cast("string"), F.lit("null"))))
+        ),
+    )
+    return checked.withColumnsRenamed({"file_year": "year", "file_month": "month"})
+
+
+def _month_counts(months: list[tuple[int, int]]) -> dict[str, Column]:
+    return {
+        f"n{year}_{month}": F.count_if((F.col("year") == year) & (F.col("month") == month))
+        for year, month in months
+    }
+
+
+def write_new_months(trips: DataFrame, path: str, months: list[tuple[int, int]]) -> dict[tuple[int, int], int]:
+    """Writes a new table by month, as :func:`write_months` does; returns the rows of each month."""
+    counted, seen = _observed(_month_keyed(trips, months), **_month_counts(months))
+    counted.write.partitionBy("year", "month").parquet(path)
+    return {(year, month): seen.get[f"n{year}_{month}"] for year, month in months}
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
