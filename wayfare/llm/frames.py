@@ -116,8 +116,8 @@ def shorter(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.R
             yield batch.slice(first, rows)
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first row, bytes, offsets with one more entry than rows) for runs of rows of bounded size.
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, bytes, offsets with one more entry than rows) for runs of rows of about `size` bytes.
 
     The column is a string array without nulls.
     """
@@ -130,7 +130,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
     first = 0
     while first < len(column):
-        last = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), len(column))
         own = offsets[first : last + 1]
         yield first, data[own[0] : own[-1]], own - own[0]

@@ -39,6 +39,8 @@ FIRST = 3
 FRAGMENTS = 4
 #: Bits of the bitmap of a set.
 BITMAP = 1024
+#: Bytes of text whose shingles a task works out at once, and bitmaps that it counts at once.
+SLICE, MAPS = 500_000, 256
 #: Rows of a shingle in one block; a shingle with more is compared block by block.
 BLOCK = 2000
 #: The membership filter of candidate nodes has 16 bits for each, at most this many.
@@ -60,7 +62,7 @@ def _unsigned(column: pa.Array) -> np.ndarray:
 
 def _sets(batch: pa.RecordBatch, words: int):
     """(first row, shingles, where each text's begin) for slices of a batch of texts."""
-    for first, data, offsets in frames.slices(batch.column(1)):
+    for first, data, offsets in frames.slices(batch.column(1), SLICE):
         yield (first, *shingle_sets(data, offsets, words))
 
 
@@ -336,12 +338,15 @@ def _segments(docs: DataFrame, words: int, nodes: DataFrame, shared) -> DataFram
 def bitmaps(values: np.ndarray, firsts: np.ndarray) -> list[bytes]:
     """Of every set; bit k is the parity of the shingles that fall on it: two sets differ in at least
     as many shingles as their bitmaps differ in bits."""
-    count = len(firsts) - 1
-    owner = np.repeat(np.arange(count), np.diff(firsts))
-    at = owner * BITMAP + (values % np.uint64(BITMAP)).astype(np.int64)
-    bits = (np.bincount(at, minlength=count * BITMAP) & 1).astype(np.uint8)
-    packed = np.packbits(bits).reshape(count, BITMAP // 8)
-    return [row.tobytes() for row in packed]
+    out: list[bytes] = []
+    for first in range(0, len(firsts) - 1, MAPS):
+        own = firsts[first : first + MAPS + 1]
+        count = len(own) - 1
+        owner = np.repeat(np.arange(count), np.diff(own))
+        at = owner * BITMAP + (values[own[0] : own[-1]] % np.uint64(BITMAP)).astype(np.int64)
+        bits = (np.bincount(at, minlength=count * BITMAP) & 1).astype(np.uint8)
+        out += [row.tobytes() for row in np.packbits(bits).reshape(count, BITMAP // 8)]
+    return out
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
