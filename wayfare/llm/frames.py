@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import uuid
 from collections.abc import Iterator
@@ -67,11 +69,24 @@ def kept_by(user: str) -> dict:
     Workers are used again by later stages, so another user's store is emptied here: a model does not
     stay in memory behind the stage that needs it.
     """
-    for name in [name for name in _kept if name != user]:
+    others = [name for name in _kept if name != user]
+    for name in others:
         _kept.pop(name).clear()
+    if others:
+        _give_back()
     return _kept.setdefault(user, {}) if user else {}
 
 
+def _give_back() -> None:
+    """Returns freed memory to the machine, where its C library can; else the worker keeps it for later."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        pass
+
+
 def texts(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Only the id and the text, whatever other columns there are; null texts are empty."""
     importable(docs.sparkSession)

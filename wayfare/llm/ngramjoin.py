@@ -585,7 +585,7 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     found = found.withColumn("__stays", F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = found.filter("not __stays").select("doc_id", "node").distinct()
     repeated = found.filter("__stays").groupBy("doc_id", "node").count().filter("count > 1")
-    numbered = _with_node(frames.with_rows(docs), words)
+    numbered = _with_node(docs, words)
 
     def apart(side: DataFrame, how: str) -> DataFrame:
         side = bounded_side(side.select(F.col("doc_id").alias("__id"), F.col("node").alias("__node")))
@@ -601,15 +601,24 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
 
 
 def _with_node(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, node and row of the documents."""
+    """doc_id, node and row of the documents. The text is only sent once, inside the row."""
+    frames.importable(docs.sparkSession)
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.struct(*(F.col(f"`{name}`") for name in docs.columns)).alias("row"),
+    )
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            nodes = [set_numbers(values, firsts) for _, values, firsts in _sets(batch, words)]
+            texts = pc.fill_null(batch.column(1).field("text").cast(pa.string()), "")
+            nodes = [
+                set_numbers(*shingle_sets(data, offsets, words))
+                for _, data, offsets in frames.slices(texts, SLICE)
+            ]
             nodes = np.concatenate(nodes) if nodes else np.zeros(0, np.uint64)
             yield frames.carried(batch, [batch.column(0), _signed(nodes)], ["doc_id", "node"])
 
-    return docs.mapInArrow(number, frames.carrying("doc_id long, node long", docs))
+    return rows.mapInArrow(number, frames.carrying("doc_id long, node long", rows))
 
 
 SQL = r"""
