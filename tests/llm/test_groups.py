@@ -152,3 +152,34 @@ def test_bounds_save_computations():
         scores[at] = -np.inf
         assert [-s for s, _ in answers] == sorted(scores, reverse=True)[:5]
     assert tree.computed < 3 * len(rows) / 2
+
+
+def test_bitmaps_of_any_width_never_differ_in_more_bits_than_sets_do():
+    chance = np.random.default_rng(5)
+    pool = shingles.mixed(np.arange(1, 9000, dtype=np.uint64))
+    sets = [np.sort(chance.choice(pool, size, replace=False)) for size in (0, 1, 7, 1000, 1024, 1025, 1200, 2500, 7000)]
+    sets.append(np.union1d(sets[-1][40:], pool[:3]))
+    firsts = np.concatenate([[0], np.cumsum([len(own) for own in sets])])
+    maps = ngramjoin.bitmaps(np.concatenate(sets), firsts)
+    assert [len(own) * 8 for own in maps] == [1024] * 5 + [2048] * 2 + [4096] + [8192] * 2
+    places = [(a, b) for a in range(len(sets)) for b in range(len(sets))]
+    differ = ngramjoin.differing([maps[a] for a, _ in places], [maps[b] for _, b in places])
+    for (a, b), found in zip(places, differ.tolist()):
+        apart = len(np.setxor1d(sets[a], sets[b]))
+        assert found <= apart and (found - apart) % 2 == 0
+        assert a != b or found == 0
+    wide = differ[places.index((7, 8))]
+    assert wide > 1000  # two long unlike sets are told apart
+    assert (ngramjoin.folded(maps, 64).shape) == (len(sets), 64)
+
+
+def test_links_between_long_texts_are_found(spark):
+    chance = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(40000)]
+    base = chance.choice(words, 3000).tolist()
+    near = base[:1500] + ["new"] + base[1500:2900]
+    far = base[:1800] + chance.choice(words, 1200).tolist()
+    other = base[:200] + chance.choice(words, 2800).tolist()
+    rows = [(k, " ".join(own)) for k, own in enumerate((far, base, other, near, near[5:]))]
+    found = {r.doc_id: r.component_id for r in ngramjoin.near_duplicates(frame(spark, rows)).collect()}
+    assert found == {0: 0, 1: 1, 2: 2, 3: 1, 4: 1}

@@ -37,8 +37,8 @@ ROW_CELLS = 1 << 12
 FIRST = 3
 #: Fragments of the global order.
 FRAGMENTS = 4
-#: Bits of the bitmap of a set.
-BITMAP = 1024
+#: Least bits of the bitmap of a set, and bits of the folded one that blocks are compared by.
+BITMAP, FOLDED = 1024, 512
 #: Bytes of text whose shingles a task works out at once, and bitmaps that it counts at once.
 SLICE, MAPS = 500_000, 256
 #: Rows of a shingle in one block; a shingle with more is compared block by block.
@@ -337,15 +337,45 @@ def _segments(docs: DataFrame, words: int, nodes: DataFrame, shared) -> DataFram
 
 def bitmaps(values: np.ndarray, firsts: np.ndarray) -> list[bytes]:
     """Of every set; bit k is the parity of the shingles that fall on it: two sets differ in at least
-    as many shingles as their bitmaps differ in bits."""
+    as many shingles as their bitmaps differ in bits.
+
+    A bitmap has at least as many bits as its set has shingles, so that it tells long sets apart as
+    well. The number of bits is a power of two: folded(), a bitmap is that of fewer bits.
+    """
     out: list[bytes] = []
     for first in range(0, len(firsts) - 1, MAPS):
         own = firsts[first : first + MAPS + 1]
-        count = len(own) - 1
-        owner = np.repeat(np.arange(count), np.diff(own))
-        at = owner * BITMAP + (values[own[0] : own[-1]] % np.uint64(BITMAP)).astype(np.int64)
-        bits = (np.bincount(at, minlength=count * BITMAP) & 1).astype(np.uint8)
-        out += [row.tobytes() for row in np.packbits(bits).reshape(count, BITMAP // 8)]
+        sizes = np.diff(own)
+        bits = np.array([max(BITMAP, 1 << (n - 1).bit_length() if n else 0) for n in sizes.tolist()])
+        starts = np.concatenate([[0], np.cumsum(bits)])
+        at = (values[own[0] : own[-1]] & np.repeat((bits - 1).astype(np.uint64), sizes)).astype(np.int64)
+        at += np.repeat(starts[:-1], sizes)
+        odd = (np.bincount(at, minlength=starts[-1]) & 1).astype(np.uint8)
+        raw, ends = np.packbits(odd).tobytes(), (starts // 8).tolist()
+        out += [raw[low:high] for low, high in zip(ends, ends[1:])]
+    return out
+
+
+def folded(maps: list[bytes], size: int) -> np.ndarray:
+    """The bitmaps in rows of `size` bytes each, which none of them may fall short of."""
+    short = [
+        each if len(each) == size
+        else np.bitwise_xor.reduce(np.frombuffer(each, np.uint8).reshape(-1, size)).tobytes()
+        for each in maps
+    ]
+    return np.frombuffer(b"".join(short), np.uint8).reshape(len(maps), size)
+
+
+def differing(left: list[bytes], right: list[bytes]) -> np.ndarray:
+    """In how many bits the bitmaps of each pair differ, at the width of the shorter one."""
+    sizes = np.array([min(len(a), len(b)) for a, b in zip(left, right)], np.int64)
+    out = np.zeros(len(sizes), np.int64)
+    for size in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == size)
+        each = max(1, (BITMAP // 8) * 4096 // size)
+        for at in (rows[k : k + each] for k in range(0, len(rows), each)):
+            own = (folded([side[k] for k in at.tolist()], size) for side in (left, right))
+            out[at] = ONES[np.bitwise_xor(*own)].sum(axis=1, dtype=np.int64)
     return out
 
 
@@ -356,8 +386,7 @@ def _likely(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_a, n_b = batch.column(1).to_numpy(), batch.column(4).to_numpy()
-            maps = [_bits(batch.column(k)) for k in (6, 7)]
-            differ = ONES[maps[0] ^ maps[1]].sum(axis=1, dtype=np.int64)
+            differ = differing(batch.column(6).to_pylist(), batch.column(7).to_pylist())
             kept = differ <= n_a.astype(np.int64) + n_b - 2 * least_overlap(n_a, n_b, percent)
             left = batch.filter(pa.array(kept))
             yield pa.RecordBatch.from_arrays(left.columns[:6], names=left.schema.names[:6])
@@ -379,7 +408,7 @@ def _bits(column: pa.Array) -> np.ndarray:
 
 
 def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, shared) -> DataFrame:
-    """The pairs of _likely() that are links, by partial overlaps summed over fragments."""
+    """The pairs of _likely() that are links, by partial overlaps summed over fragments; written."""
     ends = pairs.select(F.col("a").alias("node"), F.col("doc_a").alias("doc")).unionByName(
         pairs.select(F.col("b").alias("node"), F.col("doc_b").alias("doc"))
     )
@@ -413,7 +442,9 @@ def _linked(pairs: DataFrame, docs: DataFrame, words: int, percent: int, shared)
     )
     common = sum((F.coalesce(f"c{k}", F.lit(0)) for k in range(FRAGMENTS)), F.lit(0))
     union = F.col("n_a") + F.col("n_b") - common
-    return total.filter(common * 100 >= union * percent).select("a", "b")
+    found = frames.written(total.filter(common * 100 >= union * percent).select("a", "b"))
+    frames.removed(segments)
+    return found
 
 
 def _crowded(met: DataFrame) -> DataFrame:
@@ -448,9 +479,7 @@ def _across(
     # Shingles whose nodes are all in one component are done.
     open_keys = rows.groupBy("key").agg(F.min("label").alias("__low"), F.max("label").alias("__high"))
     open_keys = open_keys.filter("__low <> __high").select("key")
-    # Half a bitmap differs in no more bits than the whole; _likely() looks at all of it.
-    half = nodes.select("node", F.substring("bitmap", 1, BITMAP // 16).alias("bitmap"))
-    rows = rows.join(open_keys, "key", "left_semi").join(half, "node")
+    rows = rows.join(open_keys, "key", "left_semi").join(_short(nodes), "node")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     # A row meets every block of its shingle once: in the blocks (own, j) and (j, own).
     rows = rows.withColumn("__j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -476,6 +505,21 @@ def _across(
     return dealt.mapInArrow(compare, "a long, b long").distinct()
 
 
+def _short(nodes: DataFrame) -> DataFrame:
+    """node and bitmap, folded to one width: it differs in no more bits than the whole, which _likely()
+    looks at."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = folded(batch.column(1).to_pylist(), FOLDED // 8)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([row.tobytes() for row in rows], pa.binary())],
+                names=["node", "bitmap"],
+            )
+
+    return nodes.select("node", "bitmap").mapInArrow(fold, "node long, bitmap binary")
+
+
 def _borders(table: pa.Table) -> np.ndarray:
     """Where a new block begins."""
     names = [table.column(k).to_numpy() for k in (0, 7, 8)]
@@ -543,7 +587,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")
     ).distinct()
     first = frames.written(_likely(first, nodes, percent))
-    links = frames.written(_linked(first, docs, words, percent, shared))
+    links = _linked(first, docs, words, percent, shared)
     crowded = _crowded(met)
     for done in (first, met):
         frames.removed(done)
@@ -555,7 +599,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
         more = _linked(across, docs, words, percent, shared)
         stars = labels.filter("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
         found = frames.written(stars.unionByName(more))
-        for done in (links, labels, across):
+        for done in (links, labels, across, more):
             frames.removed(done)
         links = found
     for done in (crowded, nodes):
