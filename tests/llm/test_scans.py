@@ -198,3 +198,16 @@ def test_checked_secrets():
 
 def test_digest_of_nothing():
     assert digest(listed([], pii.KINDS)) == hashlib.sha256(b"").hexdigest()
+
+
+def test_contamination_gives_whole_rows_after_any_number_of_passes(spark):
+    docs = frame(spark, [(1, "a b c d"), (1, "a b c d"), (2, None), (3, "x y"), (4, "c d e")])
+    items = spark.createDataFrame([("p", "b c"), ("q", "d e"), (None, "x")], "item_id string, text string")
+    for limit in (4_000_000, 3):
+        found = decontaminate.contamination(docs, items, size=2, automaton_bytes=limit, rows=True)
+        rows = sorted((r.doc_id, r.row.text or "", r.n_words, r.n_hit, tuple(r["items"])) for r in found.collect())
+        assert rows == [
+            (1, "a b c d", 4, 2, ("p",)), (1, "a b c d", 4, 2, ("p",)), (2, "", 0, 0, ()),
+            (3, "x y", 2, 1, ()), (4, "c d e", 3, 2, ("q",)),
+        ]
+        assert found.schema["row"].dataType == docs.schema

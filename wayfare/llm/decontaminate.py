@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +33,7 @@ WORD_BYTES = bytes(
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
 HITS = (
-    "doc_id long, text string, n_words long, words array<struct<first:int,end:int>>, "
+    "doc_id long, n_words long, words array<struct<first:int,end:int>>, "
     "spans array<struct<start:int,end:int>>, items array<string>"
 )
 INTERVALS = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32())]))
@@ -115,16 +116,23 @@ def scan(raw: bytes, machine) -> tuple[int, list[tuple[int, int]], set[str]]:
     return len(words), merged(intervals), {x for _, (_, _, own) in found for x in own}
 
 
-def _scanned(docs: DataFrame, shared) -> DataFrame:
+def _scanned(docs: DataFrame, shared, last: bool) -> DataFrame:
+    """doc_id, n_words, words, spans and items, with `row` if docs have it. The text comes from there,
+    so that it is sent once; where there is no row it goes on as `text` until the last pass."""
     name = uuid.uuid4().hex
+    whole = "row" in docs.columns
+    onward = [] if whole or last else ["text"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = _automaton(name, shared)
         for batch in frames.shorter(batches):
-            before = batch.column(3).to_pylist()
-            known = batch.column(5).to_pylist()
+            before = batch.column(1).to_pylist()
+            known = batch.column(2).to_pylist()
+            text = batch.column(3)
+            if whole:
+                text = pc.fill_null(text.field("text").cast(pa.string()), "")
             counts, intervals, spans, items = [], [], [], []
-            for row, raw in enumerate(frames.raw_column(batch.column(1))):
+            for row, raw in enumerate(frames.raw_column(text)):
                 count, hit, own = scan(raw, machine)
                 if before[row]:
                     hit = merged(hit + [(x["first"], x["end"]) for x in before[row]])
@@ -140,16 +148,18 @@ def _scanned(docs: DataFrame, shared) -> DataFrame:
                 batch,
                 [
                     batch.column(0),
-                    batch.column(1),
                     pa.array(counts, pa.int64()),
                     pa.array(intervals, INTERVALS),
                     pa.array(spans, SPANS),
                     pa.array(items, pa.list_(pa.string())),
+                    *(text for _ in onward),
                 ],
-                ["doc_id", "text", "n_words", "words", "spans", "items"],
+                ["doc_id", "n_words", "words", "spans", "items", *onward],
             )
 
-    return docs.mapInArrow(run, frames.carrying(HITS, docs))
+    fields = HITS + "".join(f", {column} string" for column in onward)
+    docs = docs.select("doc_id", "words", "items", "row" if whole else "text")
+    return docs.mapInArrow(run, frames.carrying(fields, docs))
 
 
 def contamination(
@@ -180,20 +190,15 @@ def contamination(
     kept = ["row"] if rows else []
     state = state.select(
         "doc_id",
-        "text",
-        F.lit(0).cast("long").alias("n_words"),
-        *(F.lit(None).cast(kind).alias(name) for name, kind in (
-            ("words", "array<struct<first:int,end:int>>"),
-            ("spans", "array<struct<start:int,end:int>>"),
-            ("items", "array<string>"),
-        )),
-        *kept,
-    )
+        F.lit(None).cast("array<struct<first:int,end:int>>").alias("words"),
+        F.lit(None).cast("array<string>").alias("items"),
+        "row" if rows else "text",
+    )
     for k in range(passes):
         part = found.filter(F.pmod(F.xxhash64("window"), F.lit(passes)) == k)
         own = {bytes(row["window"]): tuple(row["items"]) for row in part.toLocalIterator()}
         shared = spark.sparkContext.broadcast(own)
-        state = _scanned(state if k == 0 else frames.written(state), shared)
+        state = _scanned(state if k == 0 else frames.written(state), shared, k == passes - 1)
     frames.removed(found)
     hits = F.aggregate("words", F.lit(0).cast("long"), lambda n, x: n + x["end"] - x["first"])
     found = state.select("doc_id", "n_words", hits.alias("n_hit"), "items", "spans", *kept)

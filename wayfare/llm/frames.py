@@ -72,7 +72,7 @@ def kept_by(user: str) -> dict:
     others = [name for name in _kept if name != user]
     for name in others:
         _kept.pop(name).clear()
-    if others:
+    if others or user not in _kept:  # what a stage before left free goes as well, once a stage
         _give_back()
     return _kept.setdefault(user, {}) if user else {}
 
