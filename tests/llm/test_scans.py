@@ -157,6 +157,25 @@ def test_forms_unknown_to_the_rules_are_added(spark):
     assert pii.find(plain.encode(), model) == ([], [])
 
 
+def test_all_proposals_are_learned_from(spark):
+    crowd = [(k, " ".join(f"a{j % 7}@b.cd" for j in range(2_000))) for k in range(1, 46)]
+    docs = frame(spark, crowd + personal_documents(100, 200)).coalesce(1)  # the crowd comes first
+    every = pii.cells(docs).groupBy("learn").agg({"n": "sum"}).collect()
+    assert dict(every)[True] > 60_000 * 2
+    model = pii.fit(docs)
+    assert max(model.cuts[kind] for kind in (pii.EMAIL, pii.IP, pii.PHONE)) < 2
+    raw, (span,) = pii.rewritten(b"phone +49 301 555 2485 end", [(6, 22, pii.PHONE)])
+    assert any(a <= span[0] and span[1] <= b for a, b, _ in pii.find(raw, model)[1])
+
+
+def test_trees_do_not_depend_on_how_cells_are_spread(spark):
+    docs = frame(spark, personal_documents(0, 60) * 2)
+    one, many = pii.fit(docs.coalesce(1)), pii.fit(docs.repartition(7))
+    assert one.cuts == many.cuts
+    for a, b in zip(one.trees.trees, many.trees.trees, strict=True):
+        assert all((x == y).all() for x, y in zip(a, b, strict=True))
+
+
 KEY = r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 
 

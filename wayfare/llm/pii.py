@@ -4,9 +4,10 @@ Base spans of four kinds are found by fixed rules and always stay. Generators th
 overlapping spans (written-out or bracketed addresses, digit groups of any layout). Boosted trees
 score each proposal; those that reach the cut of their kind and lie in no other span are added.
 
-The trees learn from the corpus itself: proposals of a bounded sample of documents. Positive are those
-that a base span of their kind confirms, and the same spans rewritten in their context into forms that
-the fixed rules do not know (written-out or bracketed addresses, phone numbers without a plus sign);
+The trees learn from the corpus itself, from all proposals of all documents. Equal proposals are counted
+as one cell, and the trees grow from sums over the cells, one job a level. Positive are those that a base
+span of their kind confirms, and the same spans rewritten in their context into forms that the fixed rules
+do not know (written-out or bracketed addresses, phone numbers without a plus sign);
 negative are proposals that touch no base span of their kind. Features are hidden at random while
 learning, so that no single format mark is all that a tree looks at. The cuts are set on rewritten and
 negative proposals of documents that were not learned from, so that added spans keep a stated precision.
@@ -17,12 +18,15 @@ from __future__ import annotations
 import bisect
 import re
 import zlib
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import RDD, StorageLevel
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import frames
@@ -41,11 +45,16 @@ PHONE_DIGITS = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 NO_DIGITS = bytes(byte for byte in range(256) if not 0x30 <= byte <= 0x39)
 ANY_DIGIT = re.compile(rb"[0-9]")
 
-#: Documents that the trees learn from, about; the only bound, and only of the learning.
-SAMPLE_DOCUMENTS = 20_000
-SAMPLE_PROPOSALS = 50_000
-#: Precision that the cut of each kind keeps on the part of the sample not learned from.
+#: Precision that the cut of each kind keeps on the documents not learned from.
 PRECISION = 0.98
+#: Scores are told apart in steps of 1 / LEVELS when a cut is set.
+LEVELS = 1 << 12
+#: A feature is cut into at most this many places.
+PLACES = 32
+#: Gradients are whole multiples of 1 / UNIT, so that sums do not depend on the order of tasks.
+UNIT = 1 << 20
+#: Sets of features that are hidden together.
+MASKS = 256
 
 
 def luhn(digits: bytes) -> bool:
@@ -209,6 +218,10 @@ def features(raw: bytes, span: Span) -> list[float]:
     ]
 
 
+#: Features of a proposal.
+WIDTH = len(features(b"0", (0, 1, IP)))
+
+
 class Tree(NamedTuple):
     """A full binary tree in arrays: per inner node a feature and a cut, per leaf a value."""
 
@@ -216,12 +229,16 @@ class Tree(NamedTuple):
     cut: np.ndarray
     leaf: np.ndarray
 
-    def values(self, rows: np.ndarray) -> np.ndarray:
+    def reached(self, rows: np.ndarray, level: int) -> np.ndarray:
+        """The number, within the level, of the node that each row comes to."""
         node = np.zeros(len(rows), np.int64)
-        for _ in range(int(np.log2(len(self.leaf)))):
+        for _ in range(level):
             right = rows[np.arange(len(rows)), self.feature[node]] > self.cut[node]
             node = 2 * node + 1 + right
-        return self.leaf[node - len(self.feature)]
+        return node - (2**level - 1)
+
+    def values(self, rows: np.ndarray) -> np.ndarray:
+        return self.leaf[self.reached(rows, int(np.log2(len(self.leaf))))]
 
 
 class Boosted(NamedTuple):
@@ -236,58 +253,105 @@ class Boosted(NamedTuple):
         return 1 / (1 + np.exp(-total))
 
 
-def _grown(rows, gradient, hessian, depth: int, ridge: float = 1.0) -> Tree:
-    """One tree by second-order gain, over at most 32 cuts per feature."""
-    inner = 2**depth - 1
-    feature, cut = np.zeros(inner, np.int64), np.full(inner, np.inf)
-    node = np.zeros(len(rows), np.int64)
-    cuts = [np.unique(np.quantile(rows[:, k], np.linspace(0, 1, 33)[1:-1])) for k in range(rows.shape[1])]
-    for at in range(inner):
-        here = np.flatnonzero(node == at)
-        best = 1e-6
-        if len(here):
-            g, h = gradient[here], hessian[here]
-            whole = g.sum() ** 2 / (h.sum() + ridge)
-            for k, places in enumerate(cuts):
-                right = rows[here, k][:, None] > places[None, :]
-                g_right, h_right = g @ right, h @ right
-                gain = (
-                    g_right**2 / (h_right + ridge)
-                    + (g.sum() - g_right) ** 2 / (h.sum() - h_right + ridge)
-                    - whole
+#: Of the trees so far, the tree that grows and its level: gradients and hessians in units, by node of the
+#: level, feature and place.
+Sums = Callable[[Boosted, Tree, int], np.ndarray]
+
+
+def _grown(sums: Callable[[Tree, int], np.ndarray], depth: int, ridge: float = 1.0) -> Tree:
+    """One tree by second-order gain; its cuts are numbers of places."""
+    tree = Tree(np.zeros(2**depth - 1, np.int64), np.full(2**depth - 1, np.inf), np.zeros(2**depth))
+    for level in range(depth):
+        gradient, hessian = sums(tree, level) / UNIT
+        for node, (g, h) in enumerate(zip(gradient, hessian)):
+            at = 2**level - 1 + node
+            g_all, h_all = g[0].sum(), h[0].sum()
+            g_right, h_right = (x[0].sum() - np.cumsum(x, axis=1)[:, :-1] for x in (g, h))
+            gain = (
+                g_right**2 / (h_right + ridge)
+                + (g_all - g_right) ** 2 / (h_all - h_right + ridge)
+                - g_all**2 / (h_all + ridge)
+            )
+            best, right = np.unravel_index(gain.argmax(), gain.shape), (0.0, 0.0)
+            if gain[best] > 1e-6:
+                tree.feature[at], tree.cut[at] = best
+                right = g_right[best], h_right[best]
+            if level == depth - 1:
+                tree.leaf[2 * node] = -(g_all - right[0]) / (h_all - right[1] + ridge)
+                tree.leaf[2 * node + 1] = -right[0] / (right[1] + ridge)
+    return tree
+
+
+def boosted(
+    sums: Sums, share: float, cuts: list[np.ndarray], rounds: int = 40, depth: int = 3, rate: float = 0.3
+) -> Boosted:
+    """Logistic boosting from sums over rows, of which `share` are positive."""
+    share = float(np.clip(share, 1e-3, 1 - 1e-3))
+    grown = Boosted([], float(np.log(share / (1 - share))), rate)
+    for _ in range(rounds):
+        grown.trees.append(_grown(partial(sums, grown), depth))
+    values = [np.append(own, np.inf) for own in cuts]
+    return grown._replace(
+        trees=[
+            tree._replace(
+                cut=np.array(
+                    [values[k][int(cut)] if np.isfinite(cut) else cut for k, cut in zip(tree.feature, tree.cut)]
                 )
-                if len(places) and gain.max() > best:
-                    best = gain.max()
-                    feature[at], cut[at] = k, places[gain.argmax()]
-        right = rows[here, feature[at]] > cut[at]
-        node[here] = 2 * at + 1 + right
-    leaf = np.array(
-        [
-            -gradient[node == k].sum() / (hessian[node == k].sum() + ridge)
-            for k in range(inner, 2 * inner + 1)
+            )
+            for tree in grown.trees
         ]
     )
-    return Tree(feature, cut, leaf)
+
+
+def placed(rows: np.ndarray, cuts: list[np.ndarray]) -> np.ndarray:
+    """Per value the number of cuts below it."""
+    return np.stack([np.searchsorted(own, rows[:, k], "left") for k, own in enumerate(cuts)], axis=1)
+
+
+def hidden(rows: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Three copies of the rows one after another, two with a quarter of the values hidden (-1)."""
+    chosen = np.random.default_rng(7).random((MASKS, rows.shape[1])) < 0.25
+    chosen[:, 0] = False
+    return np.vstack([rows, *(np.where(chosen[(mask + far) % MASKS], -1, rows) for far in (0, MASKS // 2))])
+
+
+def block_sums(
+    rows: np.ndarray, marks: np.ndarray, weights: np.ndarray, grown: Boosted, tree: Tree, level: int
+) -> np.ndarray:
+    """What a block of rows of places adds to the sums."""
+    chances = grown.scores(rows)
+    node = tree.reached(rows, level) * PLACES
+    size = (2**level, PLACES)
+    return np.stack(
+        [
+            np.stack(
+                [np.bincount(node + own, units, size[0] * size[1]).reshape(size) for own in rows.T], axis=1
+            )
+            for units in (
+                np.rint((chances - marks) * UNIT) * weights,
+                np.rint(chances * (1 - chances) * UNIT) * weights,
+            )
+        ]
+    ).astype(np.int64)
+
+
+def cuts_of(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Quantiles of counted values, as many as there are places less one, each once."""
+    order = np.argsort(values, kind="stable")
+    upto = np.cumsum(counts[order])
+    steps = np.linspace(0, 1, PLACES + 1)[1:-1] * upto[-1]
+    return np.unique(values[order][np.searchsorted(upto, steps)])
 
 
 def boost(
     rows: np.ndarray, marks: np.ndarray, rounds: int = 40, depth: int = 3, rate: float = 0.3
 ) -> Boosted:
-    """Logistic boosting; three copies of the rows, two with a quarter of the values hidden (-1)."""
-    chance = np.random.default_rng(7)
-    hidden = [np.where(chance.random(rows.shape) < 0.25, -1.0, rows) for _ in range(2)]
-    for copy in hidden:
-        copy[:, 0] = rows[:, 0]
-    rows, marks = np.vstack([rows, *hidden]), np.tile(marks, 3).astype(float)
-    share = np.clip(marks.mean(), 1e-3, 1 - 1e-3)
-    start = float(np.log(share / (1 - share)))
-    total, trees = np.full(len(rows), start), []
-    for _ in range(rounds):
-        chances = 1 / (1 + np.exp(-total))
-        tree = _grown(rows, chances - marks, chances * (1 - chances), depth)
-        trees.append(tree)
-        total += rate * tree.values(rows)
-    return Boosted(trees, start, rate)
+    """The trees of rows that are held here."""
+    copies, marks = hidden(rows, np.arange(len(rows)) % MASKS), np.tile(marks, 3).astype(float)
+    ones = np.ones(len(copies))
+    cuts = [cuts_of(own, ones) for own in copies.T]
+    sums = partial(block_sums, placed(copies, cuts), marks, ones)
+    return boosted(sums, marks.mean(), cuts, rounds, depth, rate)
 
 
 class Model(NamedTuple):
@@ -323,69 +387,162 @@ class Nearby:
         )
 
 
-def fit(
-    docs: DataFrame, documents: int = SAMPLE_DOCUMENTS, proposals_kept: int = SAMPLE_PROPOSALS
-) -> Model:
-    """Learns from about `documents` documents, chosen by a hash of their id, and no more than about
-    proposals_kept proposals of them. A table without proposals of both marks gives no trees."""
-    docs = frames.texts(docs)
-    count = docs.count()
-    grain = 1 << 20
-    share = min(grain, int(grain * documents / max(count, 1)) + 1)
-    chosen = docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(grain)) < share)
+def cells(docs: DataFrame) -> DataFrame:
+    """All proposals that are learned from (learn) or that set the cuts: n of them have the features `row`
+    (16 bits each), the mark and the number of hidden features `mask`."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in frames.shorter(batches):
-            rows, marks, parts = [], [], []
+            found = Counter()
             for doc_id, raw in zip(batch.column(0).to_pylist(), frames.raw_column(batch.column(1))):
+                learn = (doc_id or 0) % 3 != 0
                 base = base_spans(raw)
                 near = Nearby(base)
                 again, spans = rewritten(raw, base) if base else (raw, [])
                 forms = Nearby(spans)
                 described = [
-                    (raw, span, near.confirms(span), False)
+                    (raw, span, near.confirms(span))
                     for span in proposals(raw)
-                    # What touches a base span of its kind without being it may be right or wrong.
-                    if near.confirms(span) or not any(near.overlapping(span, span[2]))
+                    # What touches a base span of its kind without being it may be right or wrong. Of the
+                    # documents that are not learned from, only what a base span does not find.
+                    if near.confirms(span) and learn or not any(near.overlapping(span, span[2]))
                 ] + [
-                    (again, span, forms.confirms(span), True)
+                    (again, span, forms.confirms(span))
                     for span in (proposals(again) if spans else ())
                     if forms.confirms(span)
                     or forms.touched(span) and not any(forms.overlapping(span, span[2]))
                 ]
-                for text, span, mark, form in described:
-                    rows.append([float(value) for value in features(text, span)])
-                    marks.append(mark)
-                    # Of the documents that are not learned from, only what a base span does not find.
-                    parts.append((doc_id or 0) % 3 or (3 if mark and not form else 0))
+                for text, span, mark in described:
+                    around = text[max(0, span[0] - 8) : span[1] + 8]
+                    row = np.array(features(text, span), np.int16).tobytes()
+                    found[row, mark, learn, zlib.crc32(around) % MASKS if learn else 0] += 1
+            columns = list(zip(*found)) or [()] * 4
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(columns[0], pa.binary()),
+                    pa.array(columns[1], pa.bool_()),
+                    pa.array(columns[2], pa.bool_()),
+                    pa.array(columns[3], pa.int32()),
+                    pa.array(found.values(), pa.int64()),
+                ],
+                names=["row", "mark", "learn", "mask", "n"],
+            )
+
+    found = frames.texts(docs).mapInArrow(describe, "row binary, mark boolean, learn boolean, mask int, n long")
+    return found.groupBy("row", "mark", "learn", "mask").agg(F.sum("n").alias("n"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
+    """(rows, marks, weights, masks) of the cells."""
+    for batch in batches:
+        if batch.num_rows:
+            rows = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int16).reshape(-1, WIDTH)
+            marks, masks, weights = (
+                batch.column(batch.schema.names.index(name)).to_numpy(zero_copy_only=False)
+                for name in ("mark", "mask", "n")
+            )
+            yield rows.astype(np.int64), marks.astype(float), weights, masks
+
+
+def _counted(known: DataFrame) -> list[np.ndarray]:
+    """The cuts of each feature, from all its values and how often each occurs."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = Counter()
+        for rows, _, weights, masks in _blocks(batches):
+            copies, weights = hidden(rows, masks), np.tile(weights, 3)
+            for k, own in enumerate(copies.T):
+                values, at = np.unique(own, return_inverse=True)
+                for value, n in zip(values.tolist(), np.bincount(at, weights).tolist()):
+                    total[k, value] += int(n)
+        features_, values = list(zip(*total)) or [()] * 2
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(features_, pa.int32()), pa.array(values, pa.int32()), pa.array(total.values(), pa.int64())],
+            names=["feature", "value", "n"],
+        )
+
+    found = known.mapInArrow(count, "feature int, value int, n long").groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    counted = np.array([tuple(x) for x in found.collect()], np.int64)  # a value is below a few hundred
+    return [cuts_of(*counted[counted[:, 0] == k, 1:].T) for k in range(WIDTH)]
+
+
+def _placed_blocks(known: DataFrame, cuts: list[np.ndarray]) -> RDD:
+    """The cells with their hidden copies as blocks of (places, marks, weights)."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, marks, weights, masks in _blocks(batches):
+            block = placed(hidden(rows, masks), cuts).astype(np.uint8), marks > 0, weights.astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows, pa.list_(pa.float64())), pa.array(marks, pa.bool_()), pa.array(parts, pa.int32())],
-                names=["row", "mark", "part"],
+                [pa.array([own.tobytes()], pa.binary()) for own in block], names=["places", "marks", "weights"]
             )
 
-    found = chosen.mapInArrow(describe, "row array<double>, mark boolean, part int")
-    kept = found.limit(proposals_kept).collect()
-    # In a fixed order, so that a fit does not depend on the order of tasks.
-    kept = sorted((tuple(x["row"]), x["mark"], x["part"]) for x in kept if x["part"] != 3)
-    if not kept:
-        return Model(None, (2.0,) * len(KINDS))
-    rows = np.array([x[0] for x in kept])
-    marks, parts = np.array([x[1] for x in kept], bool), np.array([x[2] for x in kept], int)
-    learn = parts != 0
-    if marks[learn].all() or not marks[learn].any():
-        return Model(None, (2.0,) * len(KINDS))
-    trees = boost(rows[learn], marks[learn])
-    cuts = []
-    for kind in range(len(KINDS)):
-        own = ~learn & (rows[:, 0] == kind)
-        cuts.append(cut_at(trees.scores(rows[own]), marks[own]) if own.any() else 2.0)
-    return Model(trees, tuple(cuts))
+    def unpack(block: Row) -> tuple[np.ndarray, ...]:
+        return (
+            np.frombuffer(block["places"], np.uint8).reshape(-1, WIDTH),
+            np.tile(np.frombuffer(block["marks"], bool), 3).astype(float),
+            np.tile(np.frombuffer(block["weights"], np.int64), 3),
+        )
+
+    packed = known.mapInArrow(pack, "places binary, marks binary, weights binary")
+    return packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _summed(blocks: RDD, grown: Boosted, tree: Tree, level: int) -> np.ndarray:
+    """The sums over all blocks, by one job; what goes to the driver does not grow with the blocks."""
+
+    def add(own: Iterator[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
+        total = np.zeros((2, 2**level, WIDTH, PLACES), np.int64)
+        for block in own:
+            total += block_sums(*block, grown, tree, level)
+        yield total
+
+    return blocks.mapPartitions(add).treeReduce(np.add)
 
 
-def cut_at(scores: np.ndarray, marks: np.ndarray, precision: float = PRECISION) -> float:
+def _cuts_kept(held: DataFrame, trees: Boosted) -> tuple[float, ...]:
+    """The cut of each kind, from all proposals of the documents not learned from."""
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, marks, weights, _ in _blocks(batches):
+            level = np.floor(trees.scores(rows) * LEVELS).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(rows[:, 0]), pa.array(level), pa.array(marks > 0), pa.array(weights)],
+                names=["kind", "level", "mark", "n"],
+            )
+
+    scored = held.mapInArrow(score, "kind long, level long, mark boolean, n long")
+    found = scored.groupBy("kind", "level", "mark").agg(F.sum("n").alias("n")).collect()
+    cuts = []
+    for kind in range(len(KINDS)):
+        own = np.array([(x["level"] / LEVELS, x["mark"], x["n"]) for x in found if x["kind"] == kind])
+        cuts.append(cut_at(own[:, 0], own[:, 1] > 0, weights=own[:, 2]) if len(own) else 2.0)
+    return tuple(cuts)
+
+
+def fit(docs: DataFrame) -> Model:
+    """Learns from all proposals of all documents. A table without proposals of both marks gives no trees."""
+    every = frames.written(cells(docs))
+    known = every.filter("learn")
+    counts = dict(known.groupBy("mark").agg(F.sum("n")).collect())
+    if len(counts) == 2:
+        cuts = _counted(known)
+        blocks = _placed_blocks(known, cuts)
+        trees = boosted(partial(_summed, blocks), counts[True] / sum(counts.values()), cuts)
+        blocks.unpersist()
+        model = Model(trees, _cuts_kept(every.filter("not learn"), trees))
+    else:
+        model = Model(None, (2.0,) * len(KINDS))
+    frames.removed(every)
+    return model
+
+
+def cut_at(
+    scores: np.ndarray, marks: np.ndarray, precision: float = PRECISION, weights: np.ndarray | None = None
+) -> float:
     """The lowest score from which on the precision holds; 2 (never reached) if there is none."""
     order = np.argsort(-scores, kind="stable")
-    right = np.cumsum(marks[order]) / np.arange(1, len(order) + 1)
+    weights = np.ones(len(order)) if weights is None else weights[order]
+    right = np.cumsum(marks[order] * weights) / np.cumsum(weights)
     last = np.append(np.diff(scores[order]) != 0, True)  # equal scores stay together
     good = np.flatnonzero((right >= precision) & last)
     return float(max(scores[order][good[-1]], 0.5)) if len(good) else 2.0
