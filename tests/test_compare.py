@@ -221,3 +221,15 @@ def test_a_page_of_very_many_pairs(spark):
     )
     found = compare.pair_page(counts, 49_999_990, 20).orderBy("number").collect()
     assert [(r["trip_duration_taxis"], r["trip_duration_bikes"]) for r in found] == [(100, 200)] * 10 + [(200, 100)] * 10
+
+
+def test_pairs_are_spread_by_their_number_and_counts_of_any_size_multiply(spark, modes, weather):
+    few = compare.merged_trips(*modes, weather, key_product=20)
+    assert few.rdd.getNumPartitions() > 8  # more than the session's, though the counts are a few bytes
+    key = (2021, 3, 60, 8, 1, 2, 2)
+    schema = "year int, month int, day int, time_bin int, PULocationID int, DOLocationID int, day_of_week int"
+    counts = spark.createDataFrame(
+        [(*key, 5, 2**40, 0), (*key, 7, 3, 2**41)], schema + ", trip_duration long, n_taxis long, n_bikes long"
+    )
+    found = compare.merged_counts(counts, weather).select("trip_duration_taxis", "pairs", "count_bikes").collect()
+    assert sorted(tuple(x) for x in found) == [(5, 2**81, 2**41), (7, 3 * 2**41, 2**41)]
