@@ -176,6 +176,22 @@ def test_trees_do_not_depend_on_how_cells_are_spread(spark):
         assert all((x == y).all() for x, y in zip(a, b, strict=True))
 
 
+def test_text_is_sent_once_with_its_row(spark, monkeypatch):
+    texts = [*personal_texts()[:40], None, "", "é x@y.de"]
+    docs = frame(spark, list(enumerate(texts)) + [(None, "a@b.cd"), (3, None)])
+    sent, send = [], type(docs).mapInArrow
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, *a, **b: sent.append(self.columns) or send(self, *a, **b))
+    model = pii.Model(None, (2.0,) * 4)
+    whole = pii.personal_data(docs, model, rows=True)
+    assert sent == [["doc_id", "row"]]
+    assert whole.columns == ["doc_id", "text", "redacted", "spans", "row"]
+    assert whole.schema["row"].dataType == docs.schema
+    rows = sorted(whole.collect(), key=lambda r: (str(r.doc_id), r.text))
+    plain = sorted(pii.personal_data(docs, model).collect(), key=lambda r: (str(r.doc_id), r.text))
+    assert [tuple(r)[:4] for r in rows] == [tuple(r) for r in plain]
+    assert all(r.doc_id == r.row.doc_id and r.text == (r.row.text or "") for r in rows)
+
+
 KEY = r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])"
 
 

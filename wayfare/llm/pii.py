@@ -25,6 +25,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -392,6 +393,7 @@ def cells(docs: DataFrame) -> DataFrame:
     (16 bits each), the mark and the number of hidden features `mask`."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames.kept_by("")  # models of earlier stages are done with
         for batch in frames.shorter(batches):
             found = Counter()
             for doc_id, raw in zip(batch.column(0).to_pylist(), frames.raw_column(batch.column(1))):
@@ -581,21 +583,23 @@ def personal_data(docs: DataFrame, model: Model, rows: bool = False) -> DataFram
     spans array<struct<start,end,kind,base>> in code points of the text, and if asked for the whole
     document as the struct `row`.
 
-    Null texts are empty. Ids may be null or repeat; other columns are not read.
+    Null texts are empty. Ids may be null or repeat; other columns are not read. Where the whole document
+    is asked for, its text is sent once, inside it.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    schema = (
-        "doc_id long, text string, redacted string, "
-        "spans array<struct<start:int,end:int,kind:string,base:boolean>>"
-    )
+    schema = "doc_id long, redacted string, spans array<struct<start:int,end:int,kind:string,base:boolean>>"
     kind_type = pa.list_(
         pa.struct([("start", pa.int32()), ("end", pa.int32()), ("kind", pa.string()), ("base", pa.bool_())])
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frames.kept_by("")  # models of earlier stages are done with
         for batch in frames.shorter(batches):
+            text = batch.column(1)
+            if rows:
+                text = pc.fill_null(pc.struct_field(text, "text").cast(pa.string()), "")
             shown, spans = [], []
-            for raw in frames.raw_column(batch.column(1)):
+            for raw in frames.raw_column(text):
                 base, added = find(raw, shared.value)
                 shown.append(redacted(raw, base + added).decode())
                 spans.append(
@@ -607,12 +611,15 @@ def personal_data(docs: DataFrame, model: Model, rows: bool = False) -> DataFram
                 )
             yield frames.carried(
                 batch,
-                [batch.column(0), batch.column(1), pa.array(shown, pa.string()), pa.array(spans, kind_type)],
-                ["doc_id", "text", "redacted", "spans"],
+                [batch.column(0), pa.array(shown, pa.string()), pa.array(spans, kind_type)]
+                + ([] if rows else [text]),
+                ["doc_id", "redacted", "spans"] + ([] if rows else ["text"]),
             )
 
-    docs = frames.with_rows(docs) if rows else frames.texts(docs)
-    return docs.mapInArrow(run, frames.carrying(schema, docs))
+    sent = frames.with_rows(docs).select("doc_id", "row") if rows else frames.texts(docs)
+    found = sent.mapInArrow(run, frames.carrying(schema if rows else schema + ", text string", sent))
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit("")).alias("text") if rows else "text"
+    return found.select("doc_id", text, "redacted", "spans", *(["row"] if rows else []))
 
 
 def redacted(raw: bytes, spans: list[Span]) -> bytes:
