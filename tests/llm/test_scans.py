@@ -6,9 +6,11 @@ import json
 import random
 import re
 import zlib
+from functools import partial
 
 import numpy as np
 import pytest
+from pyspark import RDD
 
 from fixtures import frame, odd_rows, prose
 from wayfare.llm import decontaminate, pii, secretscan
@@ -176,6 +178,39 @@ def test_trees_do_not_depend_on_how_cells_are_spread(spark):
         assert all((x == y).all() for x, y in zip(a, b, strict=True))
 
 
+def test_a_level_of_a_tree_takes_as_many_tasks_as_its_cells_need(spark, monkeypatch):
+    # Partitions by a key are dealt over at least 64, as on a cluster with a fixed number of them.
+    dealt = RDD.partitionBy
+    monkeypatch.setattr(RDD, "partitionBy", lambda self, n=None, *a, **b: dealt(self, max(64, n or 0), *a, **b))
+    held = {
+        "spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.files.maxPartitionBytes": "64k", "spark.sql.files.openCostInBytes": "8k",
+    }
+    before = {key: spark.conf.get(key) for key in held}
+    monkeypatch.setattr(pii, "boosted", partial(pii.boosted, rounds=10))  # 30 levels
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for key, value in held.items():
+            spark.conf.set(key, value)
+        docs = frame(spark, personal_documents(0, 60))
+        spark.sparkContext.setJobGroup("levels", "levels")
+        few = pii.fit(docs)
+        jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("levels")]
+        spark.sparkContext.setJobGroup("others", "others")
+        stages = [tracker.getStageInfo(stage) for job in jobs if job for stage in job.stageIds]
+        assert sum(stage.numTasks for stage in stages if stage) < 30 + 20 * 64
+        # More tasks than the driver takes sums from add them up in a second round.
+        monkeypatch.setattr(pii, "TASK_CELLS", 512)
+        monkeypatch.setattr(pii, "TOGETHER", 2)
+        many = pii.fit(docs)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert few.cuts == many.cuts
+    for a, b in zip(few.trees.trees, many.trees.trees, strict=True):
+        assert all((x == y).all() for x, y in zip(a, b, strict=True))
+
+
 def test_text_is_sent_once_with_its_row(spark, monkeypatch):
     texts = [*personal_texts()[:40], None, "", "é x@y.de"]
     docs = frame(spark, list(enumerate(texts)) + [(None, "a@b.cd"), (3, None)])

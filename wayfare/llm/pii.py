@@ -16,6 +16,7 @@ negative proposals of documents that were not learned from, so that added spans
 from __future__ import annotations
 
 import bisect
+import math
 import re
 import zlib
 from collections import Counter
@@ -26,8 +27,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import RDD, StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wayfare.llm import frames
@@ -56,6 +56,9 @@ PLACES = 32
 UNIT = 1 << 20
 #: Sets of features that are hidden together.
 MASKS = 256
+#: Copies of cells that a task sums up, and tasks whose sums go straight to the driver.
+TASK_CELLS = 1 << 14
+TOGETHER = 64
 
 
 def luhn(digits: bytes) -> bool:
@@ -468,37 +471,74 @@ def _counted(known: DataFrame) -> list[np.ndarray]:
     return [cuts_of(*counted[counted[:, 0] == k, 1:].T) for k in range(WIDTH)]
 
 
-def _placed_blocks(known: DataFrame, cuts: list[np.ndarray]) -> RDD:
-    """The cells with their hidden copies as blocks of (places, marks, weights)."""
+def _placed_blocks(known: DataFrame, cells_known: int, cuts: list[np.ndarray]) -> DataFrame:
+    """The cells with their hidden copies as written blocks of (places, marks, weights); equal ones are one row.
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    There are as many partitions as their number asks for, whatever a shuffle is dealt over, as each level of
+    each tree is a job over them."""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, marks, weights, masks in _blocks(batches):
-            block = placed(hidden(rows, masks), cuts).astype(np.uint8), marks > 0, weights.astype(np.int64)
+            found = placed(hidden(rows, masks), cuts).astype(np.uint8).tobytes()
             yield pa.RecordBatch.from_arrays(
-                [pa.array([own.tobytes()], pa.binary()) for own in block], names=["places", "marks", "weights"]
+                [
+                    pa.array([found[k : k + WIDTH] for k in range(0, len(found), WIDTH)], pa.binary()),
+                    pa.array(np.tile(marks > 0, 3)),
+                    pa.array(np.tile(weights, 3)),
+                ],
+                names=["places", "mark", "n"],
             )
 
-    def unpack(block: Row) -> tuple[np.ndarray, ...]:
-        return (
-            np.frombuffer(block["places"], np.uint8).reshape(-1, WIDTH),
-            np.tile(np.frombuffer(block["marks"], bool), 3).astype(float),
-            np.tile(np.frombuffer(block["weights"], np.int64), 3),
-        )
-
-    packed = known.mapInArrow(pack, "places binary, marks binary, weights binary")
-    return packed.rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
-
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                block = (
+                    b"".join(batch.column(0).to_pylist()),
+                    batch.column(1).to_numpy(zero_copy_only=False).tobytes(),
+                    batch.column(2).to_numpy().tobytes(),
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([own], pa.binary()) for own in block], names=["places", "marks", "weights"]
+                )
 
-def _summed(blocks: RDD, grown: Boosted, tree: Tree, level: int) -> np.ndarray:
-    """The sums over all blocks, by one job; what goes to the driver does not grow with the blocks."""
+    copies = known.mapInArrow(place, "places binary, mark boolean, n long")
+    equal = copies.groupBy("places", "mark").agg(F.sum("n").alias("n"))
+    equal = equal.coalesce(-(-3 * cells_known // TASK_CELLS))
+    return frames.written(equal.mapInArrow(pack, "places binary, marks binary, weights binary"))
+
+
+def _summed(blocks: DataFrame, tasks: int, grown: Boosted, tree: Tree, level: int) -> np.ndarray:
+    """The sums over all blocks, by one job. Its tasks' sums are added by the driver, or, where more tasks
+    than TOGETHER are needed, by a second round of fewer tasks first.
+
+    The job runs in the workers that all other steps use: those of an RDD would be others beside them."""
+    size = (2, 2**level, WIDTH, PLACES)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for places, marks, weights in zip(*(batch.column(k).to_pylist() for k in range(3))):
+                total += block_sums(
+                    np.frombuffer(places, np.uint8).reshape(-1, WIDTH),
+                    np.frombuffer(marks, bool).astype(float),
+                    np.frombuffer(weights, np.int64),
+                    grown,
+                    tree,
+                    level,
+                )
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    def add(own: Iterator[tuple[np.ndarray, ...]]) -> Iterator[np.ndarray]:
-        total = np.zeros((2, 2**level, WIDTH, PLACES), np.int64)
-        for block in own:
-            total += block_sums(*block, grown, tree, level)
-        yield total
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for batch in batches:
+            for own in batch.column(0).to_pylist():
+                total += np.frombuffer(own, np.int64).reshape(size)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
 
-    return blocks.mapPartitions(add).treeReduce(np.add)
+    parts = blocks.mapInArrow(add, "sums binary")
+    if tasks > TOGETHER:
+        parts = parts.repartition(math.isqrt(tasks)).mapInArrow(merge, "sums binary")
+    return sum(np.frombuffer(own["sums"], np.int64).reshape(size) for own in parts.collect())
 
 
 def _cuts_kept(held: DataFrame, trees: Boosted) -> tuple[float, ...]:
@@ -525,12 +565,14 @@ def fit(docs: DataFrame) -> Model:
     """Learns from all proposals of all documents. A table without proposals of both marks gives no trees."""
     every = frames.written(cells(docs))
     known = every.filter("learn")
-    counts = dict(known.groupBy("mark").agg(F.sum("n")).collect())
+    found = known.groupBy("mark").agg(F.sum("n").alias("n"), F.count("n").alias("cells")).collect()
+    counts = {x["mark"]: x["n"] for x in found}
     if len(counts) == 2:
         cuts = _counted(known)
-        blocks = _placed_blocks(known, cuts)
-        trees = boosted(partial(_summed, blocks), counts[True] / sum(counts.values()), cuts)
-        blocks.unpersist()
+        blocks = _placed_blocks(known, sum(x["cells"] for x in found), cuts)
+        sums = partial(_summed, blocks, len(blocks.inputFiles()))
+        trees = boosted(sums, counts[True] / sum(counts.values()), cuts)
+        frames.removed(blocks)
         model = Model(trees, _cuts_kept(every.filter("not learn"), trees))
     else:
         model = Model(None, (2.0,) * len(KINDS))
