@@ -233,3 +233,30 @@ def test_pairs_are_spread_by_their_number_and_counts_of_any_size_multiply(spark,
     )
     found = compare.merged_counts(counts, weather).select("trip_duration_taxis", "pairs", "count_bikes").collect()
     assert sorted(tuple(x) for x in found) == [(5, 2**81, 2**41), (7, 3 * 2**41, 2**41)]
+
+
+def test_a_taxi_row_meets_one_row_of_its_key_and_lists_the_pairs(spark, weather):
+    """A key of 300 x 200 durations, one of a single pair, one without bikes and one without zone."""
+    schema = "year int, month int, day int, time_bin int, PULocationID int, DOLocationID int, day_of_week int"
+    busy, small, alone, lost = ((2021, 3, 60, hour, zone, 2, 2) for hour, zone in ((8, 1), (9, 1), (8, 2), (8, None)))
+    rows = [(*busy, d, 1 + d % 3 if d <= 300 else 0, d % 2) for d in range(1, 401)]
+    rows += [(*small, 7, 2, 5), (*alone, 7, 2, 0), (*lost, 7, 2, 5), (*busy, None, 9, 9)]
+    counts = spark.createDataFrame(rows, schema + ", trip_duration long, n_taxis long, n_bikes long").repartition(4)
+    expected = sorted(
+        [(8, t, b, float(1 + t % 3), t - b, int(t > b), 1, 50.0) for t in range(1, 301) for b in range(1, 401, 2)]
+        + [(9, 7, 7, 10.0, 0, 0, 1, None)],
+        key=lambda row: row[:3],
+    )
+    columns = ["time_bin", "trip_duration_taxis", "trip_duration_bikes", "pairs", "trip_difference"]
+    columns += ["better_travel_type", "peak_hours", "Temperature"]
+    for key_product in (1000, compare.KEY_PRODUCT):
+        merged = compare.merged_counts(counts, weather, key_product=key_product, pairs_type="double")
+        assert dict(merged.dtypes)["pairs"] == "double"
+        assert sorted((tuple(r) for r in merged.select(*columns).collect()), key=lambda row: row[:3]) == expected
+        wide = compare.merged_counts(counts, weather, key_product=key_product)
+        assert dict(wide.dtypes)["pairs"] == compare.WIDE
+        assert wide.selectExpr("sum(pairs)").first()[0] == sum(row[3] for row in expected)
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "posexplode(durations" in plan
+        paired = next(line for line in plan.splitlines() if "Join" in line and "Inner" in line)
+        assert "SortMergeJoin" in paired  # tables this small would be broadcast otherwise
